@@ -1,0 +1 @@
+"""Intentionally empty: every job of this engine is a batch job (see README)."""
