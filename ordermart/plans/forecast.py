@@ -21,6 +21,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ordermart.functions.dates import is_weekend
+from ordermart.session import ensure_checkpoint_dir
+
+
+PREDICTED = ("yhat", "yhat_lower", "yhat_upper")
 
 
 @dataclass(frozen=True)
@@ -66,14 +70,17 @@ def _features(first: dt.date, last: dt.date, model: Model) -> list[Column]:
 
 
 def fit_and_predict(series: DataFrame, horizon: int = 30, model: Model = Model()) -> DataFrame:
-    """Fitted and future values ``(ds, y, yhat, yhat_lower, yhat_upper)``.
+    """Observed and future days ``(ds, y, yhat, yhat_lower, yhat_upper)``; ``y`` is null in the future.
 
-    Empty when the series is.
+    Empty when the series is. The series is checkpointed, so the orders behind
+    it are read once for bounds, fit and prediction.
     """
+    ensure_checkpoint_dir(series.sparkSession)
+    series = series.checkpoint()
     frame = model_frame(series, horizon)
     first, last = series.agg(F.min("ds"), F.max("ds")).first()
     if first is None:
-        return frame.select("ds", "y", *[F.lit(None).cast("double").alias(c) for c in _YHAT])
+        return frame.select("ds", "y", *[F.lit(None).cast("double").alias(c) for c in PREDICTED])
     columns = _features(first, last, model)
     names = [f"x{i}" for i in range(len(columns))]
     wide = frame.select("ds", "y", F.log1p("y").alias("target"), *[c.alias(n) for c, n in zip(columns, names)])
@@ -82,23 +89,18 @@ def fit_and_predict(series: DataFrame, horizon: int = 30, model: Model = Model()
         featuresCol="x", labelCol="target", predictionCol="log_yhat",
         regParam=model.penalty, elasticNetParam=0.0, solver="normal",
     )
-    # Sorted in one partition: one row per day, and a fixed order of addition.
+    # One row per day fits one partition; sorted there, additions have a fixed order.
     fitted = regression.fit(design.filter(F.col("y").isNotNull()).coalesce(1).sortWithinPartitions("ds"))
     margin = model.z * fitted.summary.rootMeanSquaredError
-
-    def back(shift: float) -> Column:
-        return F.expm1(F.col("log_yhat") + F.lit(shift))
-
-    scored = fitted.transform(design)
-    return scored.select("ds", "y", *[back(s).alias(c) for s, c in zip((0.0, -margin, margin), _YHAT)])
-
-
-_YHAT = ("yhat", "yhat_lower", "yhat_upper")
+    shifts = dict(zip(PREDICTED, (0.0, -margin, margin)))
+    return fitted.transform(design).select(
+        "ds", "y", *[F.expm1(F.col("log_yhat") + F.lit(shift)).alias(name) for name, shift in shifts.items()]
+    )
 
 
-def future_only(predicted: DataFrame, series: DataFrame, created_at: dt.datetime) -> DataFrame:
+def future_only(predicted: DataFrame, created_at: dt.datetime) -> DataFrame:
     """Days after the last observed one, clipped at zero and rounded half to even."""
-    last = series.agg(F.max("ds").alias("last"))
+    last = observed(predicted).agg(F.max("ds").alias("last"))
 
     def whole(column: str) -> Column:
         return F.bround(F.greatest(F.col(column), F.lit(0.0)), 0).cast("bigint")
@@ -116,6 +118,11 @@ def future_only(predicted: DataFrame, series: DataFrame, created_at: dt.datetime
     )
 
 
+def observed(predicted: DataFrame) -> DataFrame:
+    """The days of the series itself."""
+    return predicted.filter(F.col("y").isNotNull())
+
+
 def error_metrics(actual: DataFrame, fitted: DataFrame) -> DataFrame:
     """MAPE over days with orders, MAE, RMSE and the number of days both sides have; one row."""
     both = actual.select("ds", "y").join(fitted.select("ds", "yhat").dropna(), "ds")

@@ -19,7 +19,6 @@ from ordermart.plans.star import (
     AS_OF, PRICE_BANDS, agent_dim, customer_dim, menu_item_dim, order_fact, order_item_fact, restaurant_dim,
 )
 from ordermart.schemas import FORECAST, METRICS, MINIMUM_ROWS, MONTHLY_MART, STAR
-from ordermart.session import ensure_checkpoint_dir
 from ordermart.sources.readers import read_present, split_corrupt
 from ordermart.sources.writers import publish
 
@@ -136,16 +135,13 @@ def run_daily(spark: SparkSession, settings: Settings) -> dict[str, DataFrame]:
 
     fact, days = star["fact_orders"], star["dim_date"]
     marts.refresh_mart(f"{home}/{MONTHLY_MART.name}", fact, days, star["dim_restaurant"])
-    write_forecast(spark, home, fact, days, settings.horizon, settings.run_at)
+    write_forecast(home, fact, days, settings.horizon, settings.run_at)
     return star
 
 
-def write_forecast(
-    spark: SparkSession, home: str, fact: DataFrame, calendar: DataFrame, horizon: int, run_at: dt.datetime
-) -> None:
+def write_forecast(home: str, fact: DataFrame, calendar: DataFrame, horizon: int, run_at: dt.datetime) -> None:
     """Replace the forecast table and append one row of error measures."""
-    ensure_checkpoint_dir(spark)
-    series = fc.daily_series(fact, calendar).checkpoint()  # one row per day, read several times
-    predicted = fc.fit_and_predict(series, horizon)
-    publish(fc.stamped(fc.error_metrics(series, predicted), run_at), f"{home}/{METRICS.name}", mode="append")
-    publish(fc.future_only(predicted, series, run_at), f"{home}/{FORECAST.name}")
+    predicted = fc.fit_and_predict(fc.daily_series(fact, calendar), horizon)
+    metrics = fc.error_metrics(fc.observed(predicted), predicted)
+    publish(fc.stamped(metrics, run_at), f"{home}/{METRICS.name}", mode="append")
+    publish(fc.future_only(predicted, run_at), f"{home}/{FORECAST.name}")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ordermart.functions.bands import labelled
@@ -109,13 +109,19 @@ def _scored(customers: DataFrame, orders: DataFrame, as_of: str | dt.date) -> Da
     )
 
 
+def _rfm_label() -> Column:
+    """The rules as one SQL CASE over the three scores."""
+    whens = []
+    for label, *spans in RFM_RULES:
+        tests = [f"{s} BETWEEN {low} AND {high}" for s, (low, high) in zip(("r_score", "f_score", "m_score"), spans)]
+        quoted = label.replace("'", "''")
+        whens.append(f"WHEN {' AND '.join(tests)} THEN '{quoted}'")
+    return F.expr(f"CASE {' '.join(whens)} ELSE '{RFM_OTHERS}' END")
+
+
 def _segmented(customers: DataFrame, orders: DataFrame, as_of: str | dt.date) -> DataFrame:
-    r, f, m = F.col("r_score"), F.col("f_score"), F.col("m_score")
-    rules = [(r.between(*rs) & f.between(*fs) & m.between(*ms), label) for label, rs, fs, ms in RFM_RULES]
-    return (
-        _scored(customers, orders, as_of)
-        .withColumn("rfm_total", r + f + m)
-        .withColumn("rfm_segment", labelled(rules, default=RFM_OTHERS))
+    return _scored(customers, orders, as_of).withColumns(
+        {"rfm_total": F.expr("r_score + f_score + m_score"), "rfm_segment": _rfm_label()}
     )
 
 

@@ -220,13 +220,12 @@ def _series(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
-    series = _series(spark, sf_dir)
-    return fc.future_only(fc.fit_and_predict(series), series, RUN_AT)
+    return fc.future_only(fc.fit_and_predict(_series(spark, sf_dir)), RUN_AT)
 
 
 def _forecast_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    series = _series(spark, sf_dir)
-    return fc.error_metrics(series, fc.fit_and_predict(series))
+    predicted = fc.fit_and_predict(_series(spark, sf_dir))
+    return fc.error_metrics(fc.observed(predicted), predicted)
 
 
 def _week_before(series: DataFrame) -> DataFrame:
