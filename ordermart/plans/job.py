@@ -19,7 +19,7 @@ from ordermart.plans.star import (
     AS_OF, PRICE_BANDS, agent_dim, customer_dim, menu_item_dim, order_fact, order_item_fact, restaurant_dim,
 )
 from ordermart.schemas import FORECAST, METRICS, MINIMUM_ROWS, MONTHLY_MART, STAR
-from ordermart.sources.readers import read_present, split_corrupt
+from ordermart.sources.readers import read_present
 from ordermart.sources.writers import publish
 
 FACT_PARTITIONS = ("order_year", "order_month")
@@ -34,6 +34,7 @@ class Settings:
     source_root: str
     warehouse: str
     source_format: str = "csv"
+    multi_line: bool = False
     calendar_start: str = "2023-01-01"
     calendar_end: str = "2024-12-31"
     as_of: str = AS_OF
@@ -113,15 +114,16 @@ def current_star(spark: SparkSession, warehouse: str) -> dict[str, DataFrame]:
 
 
 def run_daily(spark: SparkSession, settings: Settings) -> dict[str, DataFrame]:
-    """Gate, load, audit, refresh the mart, forecast.
+    """Gate, load, audit, refresh the mart, forecast. A CSV row that does not fit its schema fails the run.
 
     A star is written to a folder of its own and becomes current by one row
     appended to ``runs``, so readers never see a half-written table.
     """
     home = settings.warehouse.rstrip("/")
-    present = read_present(spark, settings.source_root, settings.source_format)
-    quality.require_gate(quality.source_gate(spark, present, settings.minimums))
-    sources = {name: split_corrupt(frame)[0] for name, frame in present.items()}
+    sources = read_present(
+        spark, settings.source_root, settings.source_format, strict=True, multi_line=settings.multi_line
+    )
+    quality.require_gate(quality.source_gate(spark, sources, settings.minimums))
 
     calendar = calendar_dim(
         spark, settings.calendar_start, settings.calendar_end, settings.holidays, settings.peak_months

@@ -18,25 +18,26 @@ class MissingSource(FileNotFoundError):
     """At least one source path does not exist."""
 
 
-def read_source(spark: SparkSession, root: str, table: Table, fmt: str = "csv") -> DataFrame | None:
+def read_source(
+    spark: SparkSession, root: str, table: Table, fmt: str = "csv", strict: bool = False, multi_line: bool = False
+) -> DataFrame | None:
     """One source, or None when its path is absent.
 
     CSV rows that do not fit the schema are kept, with their text in
-    ``_corrupt_record``; see ``split_corrupt``.
+    ``_corrupt_record`` (see ``split_corrupt``); with ``strict`` they fail the
+    job instead. ``multi_line`` admits line breaks inside quotes, at the price
+    that a file is no longer split between tasks.
     """
     path = f"{root.rstrip('/')}/{table.name}.{fmt}"
     try:
         if fmt == "parquet":
             return spark.read.parquet(path).select(*table.columns)
+        # All columns are parsed even for a query on few, so the same rows count as corrupt everywhere.
+        reader = spark.read.options(header=True, escape='"', multiLine=multi_line, columnPruning=False)
+        if strict:
+            return reader.schema(table.schema).csv(path, mode="FAILFAST")
         schema = T.StructType([*table.schema.fields, T.StructField(CORRUPT, T.StringType())])
-        return (
-            spark.read.schema(schema)
-            .option("header", True)
-            .option("escape", '"')
-            .option("mode", "PERMISSIVE")
-            .option("columnNameOfCorruptRecord", CORRUPT)
-            .csv(path)
-        )
+        return reader.schema(schema).csv(path, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return None
@@ -44,17 +45,17 @@ def read_source(spark: SparkSession, root: str, table: Table, fmt: str = "csv")
 
 
 def read_present(
-    spark: SparkSession, root: str, fmt: str = "csv", tables: Mapping[str, Table] = SOURCES
+    spark: SparkSession, root: str, fmt: str = "csv", tables: Mapping[str, Table] = SOURCES, **options: bool
 ) -> dict[str, DataFrame | None]:
     """Every declared source; absent ones map to None, for the gate to report."""
-    return {name: read_source(spark, root, table, fmt) for name, table in tables.items()}
+    return {name: read_source(spark, root, table, fmt, **options) for name, table in tables.items()}
 
 
 def read_sources(
-    spark: SparkSession, root: str, fmt: str = "csv", tables: Mapping[str, Table] = SOURCES
+    spark: SparkSession, root: str, fmt: str = "csv", tables: Mapping[str, Table] = SOURCES, **options: bool
 ) -> dict[str, DataFrame]:
     """Every declared source; raises before any job runs when a path is absent."""
-    frames = read_present(spark, root, fmt, tables)
+    frames = read_present(spark, root, fmt, tables, **options)
     absent = [name for name, frame in frames.items() if frame is None]
     if absent:
         raise MissingSource(f"missing under {root}: {', '.join(absent)}")
