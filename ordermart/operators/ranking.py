@@ -51,6 +51,20 @@ def with_ntile(frame: DataFrame, tiles: int, order: Sequence[Column], name: str)
     return numbered.select(*frame.columns, tile.alias(name))
 
 
+def first_with_ntile(frame: DataFrame, tiles: int, order: Sequence[Column], name: str, limit: int) -> DataFrame:
+    """The first ``limit`` rows by ``order``, each with its ``NTILE(tiles)`` among all rows.
+
+    Their numbers are 1 to ``limit``, so the row count is all that is needed of
+    the rest: no global sort. The frame is checkpointed, since it is read for
+    the count and for the first rows.
+    """
+    ensure_checkpoint_dir(frame.sparkSession)
+    kept = frame.checkpoint()
+    rows = kept.agg(F.count(F.lit(1))).scalar()
+    numbered = kept.orderBy(*order).limit(limit).withColumn("_number", F.row_number().over(Window.orderBy(*order)))
+    return numbered.select(*frame.columns, _tile(F.col("_number") - 1, rows, tiles).alias(name))
+
+
 def ntile_scores(frame: DataFrame, key: str, scores: Mapping[str, Column], tiles: int) -> DataFrame:
     """Several global ``NTILE`` scores of the same rows from a single sort.
 

@@ -11,7 +11,7 @@ from ordermart.functions.bands import labelled
 from ordermart.functions.dates import days_until
 from ordermart.functions.exact import cents, mean_money, mean_tenths, money
 from ordermart.functions.text import same_text
-from ordermart.operators.ranking import ntile_scores, with_ntile
+from ordermart.operators.ranking import first_with_ntile, ntile_scores
 
 # Tier names by quartile.
 CLV_TIERS = ("Champion", "Loyal", "At-Risk", "Dormant")
@@ -69,8 +69,8 @@ def customer_lifetime_value(
 ) -> DataFrame:
     """Customers by lifetime value with quartile and tier; those without a delivered order are left out."""
     by_value = [F.col("net_cents").desc_nulls_first(), F.col("customer_id").asc()]
-    ranked = with_ntile(_buyers(customers, orders), len(CLV_TIERS), by_value, "clv_quartile")
-    best = ranked.orderBy(*by_value).limit(limit)  # the report's length bounds the broadcast
+    # The report's length bounds the broadcast.
+    best = first_with_ntile(_buyers(customers, orders), len(CLV_TIERS), by_value, "clv_quartile", limit)
     return (
         _named(customers).join(F.broadcast(best), "customer_id")
         .orderBy(*by_value)

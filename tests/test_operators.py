@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ordermart.operators.dedup import keep_first
-from ordermart.operators.ranking import ntile_scores, with_ntile, with_row_number
+from ordermart.operators.ranking import first_with_ntile, ntile_scores, with_ntile, with_row_number
 from ordermart.operators.upsert import upsert, upsert_path
 from ordermart.sources.writers import publish
 
@@ -49,6 +49,8 @@ def test_ntile_equals_builtin(spark, size, tiles):
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # force several sort partitions
     try:
         assert rows(with_ntile(frame, tiles, order, "tile")) == rows(builtin)
+        best = builtin.orderBy(*order).limit(50)
+        assert rows(first_with_ntile(frame, tiles, order, "tile", limit=50)) == rows(best)
         numbered = with_row_number(frame, order, "n")
         assert rows(numbered) == rows(frame.withColumn("n", F.row_number().over(Window.orderBy(*order))))
     finally:
