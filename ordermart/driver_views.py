@@ -167,15 +167,25 @@ def calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
     return calendar_of(bounds, HOLIDAYS)
 
 
-_loaded: dict[tuple[str, str], dict[str, DataFrame]] = {}
+_loaded: dict[tuple[str, str], tuple[str, dict[str, DataFrame]]] = {}
 
 
-def star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The star of ``sf_dir``, loaded once per application into the shared folder."""
+def _load(spark: SparkSession, sf_dir: str) -> tuple[str, dict[str, DataFrame]]:
     slot = (spark.sparkContext.applicationId, sf_dir)
     if slot not in _loaded:
         path = scratch_path(spark, "star")
-        _loaded[slot] = load_star(
+        tables = load_star(
             raw_sources(spark, sf_dir), calendar(spark, sf_dir), path, as_of=AS_OF, price_bands=PRICE_BANDS
         )
+        _loaded[slot] = (path, tables)
     return _loaded[slot]
+
+
+def star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The star of ``sf_dir``, loaded once per application into the shared folder."""
+    return _load(spark, sf_dir)[1]
+
+
+def star_path(spark: SparkSession, sf_dir: str) -> str:
+    """Where that star was written."""
+    return _load(spark, sf_dir)[0]

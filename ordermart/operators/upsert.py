@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,12 +40,20 @@ def upsert_path(
 ) -> None:
     """Upsert into a partitioned Parquet table, rewriting only the partitions that incoming touches.
 
-    ``partition_by`` must be part of ``keys``. The merged rows are checkpointed
-    first, because a path cannot be overwritten while a plan still reads it.
+    ``partition_by`` must be part of ``keys``. An absent table is created.
+    Incoming rows are checkpointed because they are read twice, the merged ones
+    because a path cannot be overwritten while a plan still reads it.
     """
     spark = incoming.sparkSession
     ensure_checkpoint_dir(spark)
-    target = spark.read.parquet(path).select(*incoming.columns)
+    incoming = incoming.checkpoint()
+    try:
+        target = spark.read.schema(incoming.schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        publish(incoming, path, partition_by=partition_by)
+        return
     touched = incoming.select(*partition_by).distinct()
     affected = target.join(touched, list(partition_by), "left_semi").select(*incoming.columns)
     merged = upsert(affected, incoming, keys, update).checkpoint()

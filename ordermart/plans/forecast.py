@@ -100,13 +100,13 @@ def fit_and_predict(series: DataFrame, horizon: int = 30, model: Model = Model()
 
 def future_only(predicted: DataFrame, created_at: dt.datetime) -> DataFrame:
     """Days after the last observed one, clipped at zero and rounded half to even."""
-    last = observed(predicted).agg(F.max("ds").alias("last"))
+    last = observed(predicted).agg(F.max("ds")).scalar()
 
     def whole(column: str) -> Column:
         return F.bround(F.greatest(F.col(column), F.lit(0.0)), 0).cast("bigint")
 
     return (
-        predicted.join(F.broadcast(last), F.col("ds") > F.col("last"))
+        predicted.filter(F.col("ds") > last)
         .select(
             F.col("ds").alias("forecast_date"),
             whole("yhat").alias("predicted_orders"),
@@ -123,6 +123,12 @@ def observed(predicted: DataFrame) -> DataFrame:
     return predicted.filter(F.col("y").isNotNull())
 
 
+def forecast_listing(forecast: DataFrame, days: int | None = None) -> DataFrame:
+    """The forecast by day; the first ``days`` of it for a preview."""
+    ordered = forecast.orderBy("forecast_date")
+    return ordered if days is None else ordered.limit(days)
+
+
 def error_metrics(actual: DataFrame, fitted: DataFrame) -> DataFrame:
     """MAPE over days with orders, MAE, RMSE and the number of days both sides have; one row."""
     both = actual.select("ds", "y").join(fitted.select("ds", "yhat").dropna(), "ds")

@@ -99,6 +99,19 @@ def read_star(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     return {name: spark.read.parquet(f"{path}/{name}").select(*table.columns) for name, table in STAR.items()}
 
 
+def read_fact_range(spark: SparkSession, path: str, name: str, first_key: int, last_key: int) -> DataFrame:
+    """Rows of a written fact for an inclusive range of calendar keys.
+
+    Months outside the range are pruned as partitions, days by file statistics.
+    """
+    month = F.col("order_year") * 100 + F.col("order_month")
+    return (
+        spark.read.parquet(f"{path}/{name}")
+        .filter(month.between(first_key // 100, last_key // 100) & F.col("date_id").between(first_key, last_key))
+        .select(*STAR[name].columns)
+    )
+
+
 def audit_star(star: Mapping[str, DataFrame]) -> None:
     """Refuse a star with repeated keys. Orphans and nulls are findings, not failures."""
     broken = quality.key_audit(star).filter(F.col("repeated_keys") > 0).orderBy("table_name").collect()

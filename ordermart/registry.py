@@ -21,11 +21,15 @@ from ordermart.operators.dedup import keep_first
 from ordermart.operators.ranking import with_ntile
 from ordermart.plans import forecast as fc
 from ordermart.plans import marts, quality, reports, segments
+from ordermart.plans.job import read_fact_range
 from ordermart.plans.star import (
     AGENT_TIERS, RATING_BANDS, TIME_OF_DAY, agent_dim, customer_dim, menu_item_dim, order_fact, order_item_fact,
     restaurant_dim,
 )
-from ordermart.sources.readers import run_sql
+from ordermart.schemas import METRICS, MONTHLY_MART, SOURCES
+from ordermart.session import scratch_path
+from ordermart.sources.readers import read_sources, run_sql
+from ordermart.sources.writers import publish
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -185,6 +189,45 @@ def _mart_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.merge_mart(earlier, marts.mart_for_upsert(orders, days, shops))
 
 
+def _date_key_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = read_fact_range(spark, dv.star_path(spark, sf_dir), ORDERS, *RANGE)
+    return reports.orders_between(orders, *RANGE)
+
+
+# ---- written tables, read back ---------------------------------------------
+
+def _csv_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw orders written as CSV and read with their declared schema."""
+    path = scratch_path(spark, "raw")
+    orders = dv.raw_sources(spark, sf_dir)["orders"]
+    orders.write.csv(f"{path}/orders.csv", header=True, escape='"')
+    return read_sources(spark, path, tables={"orders": SOURCES["orders"]}, strict=True)["orders"]
+
+
+def _mart_refresh_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Refreshing twice leaves what refreshing once does."""
+    star, path = dv.star(spark, sf_dir), scratch_path(spark, MONTHLY_MART.name)
+    for _ in range(2):
+        marts.refresh_mart(path, star[ORDERS], star[DAYS], star[SHOPS])
+    return spark.read.parquet(path).select(*MONTHLY_MART.columns)
+
+
+def _mart_upsert_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    star, path = dv.star(spark, sf_dir), scratch_path(spark, MONTHLY_MART.name)
+    orders, days, shops = star[ORDERS], star[DAYS], star[SHOPS]
+    marts.refresh_mart(path, orders.filter(F.col("date_id") <= EARLIER_LOAD_END), days, shops)
+    marts.upsert_mart(path, orders, days, shops)
+    return spark.read.parquet(path).select(*MONTHLY_MART.columns)
+
+
+def _metrics_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Error measures of the earlier and the whole series, appended run by run."""
+    series, path = _series(spark, sf_dir), scratch_path(spark, METRICS.name)
+    for run_at, seen in ((dt.datetime(2000, 1, 1), series.filter(date_key(F.col("ds")) <= EARLIER_LOAD_END)), (RUN_AT, series)):
+        publish(fc.stamped(fc.error_metrics(seen, _week_before(seen)), run_at), path, mode="append")
+    return spark.read.parquet(path)
+
+
 # ---- quality ---------------------------------------------------------------
 
 def _source_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -203,8 +246,6 @@ def _flag_consistency(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _raw_key_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from ordermart.schemas import SOURCES
-
     return quality.key_audit(dv.raw_sources(spark, sf_dir), SOURCES)
 
 
@@ -239,13 +280,11 @@ def _error_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _latest_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two evaluations, of the series as of an earlier load and of the whole; the later one is read."""
-    series = _series(spark, sf_dir)
-    earlier = series.filter(date_key(F.col("ds")) <= EARLIER_LOAD_END)
-    history = fc.stamped(fc.error_metrics(earlier, _week_before(earlier)), dt.datetime(2000, 1, 1)).unionByName(
-        fc.stamped(fc.error_metrics(series, _week_before(series)), RUN_AT)
-    )
-    return fc.latest_metrics(history)
+    return fc.latest_metrics(_metrics_history(spark, sf_dir))
+
+
+def _forecast_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fc.forecast_listing(_forecast(spark, sf_dir), days=7)
 
 
 _QUERIES: dict[str, Query] = {
@@ -271,7 +310,7 @@ _QUERIES: dict[str, Query] = {
     "monthly_growth": _over(reports.monthly_growth, ORDERS, DAYS),
     "monthly_trend_delivered": _over(reports.monthly_trend_delivered, ORDERS, DAYS),
     "yearly_revenue": _over(reports.yearly_revenue, ORDERS, DAYS),
-    "date_key_range": _over(reports.orders_between, ORDERS, first_key=RANGE[0], last_key=RANGE[1]),
+    "date_key_range": _date_key_range,
     "top_restaurants": _over(reports.top_restaurants, ORDERS, SHOPS),
     "top_items": _over(reports.top_items, ITEMS, MENU, SHOPS),
     "cancellation_by_segment": _over(reports.cancellation_by_segment, ORDERS, SHOPS),
@@ -298,6 +337,13 @@ _QUERIES: dict[str, Query] = {
     # marts
     "monthly_mart_refresh": _over(marts.mart_for_refresh, ORDERS, DAYS, SHOPS),
     "monthly_mart_upsert": _mart_upsert,
+    # written tables, read back
+    "csv_orders": _csv_orders,
+    "fact_orders_written": lambda spark, sf_dir: dv.star(spark, sf_dir)[ORDERS],
+    "fact_order_items_written": lambda spark, sf_dir: dv.star(spark, sf_dir)[ITEMS],
+    "mart_refresh_written": _mart_refresh_written,
+    "mart_upsert_written": _mart_upsert_written,
+    "metrics_history_written": _metrics_history,
     # quality
     "source_gate": _source_gate,
     "null_profile": _raw(quality.null_profiles),
@@ -313,6 +359,7 @@ _QUERIES: dict[str, Query] = {
     "daily_series": _series,
     "forecast_features": lambda spark, sf_dir: fc.model_frame(_series(spark, sf_dir)),
     "forecast_daily": _forecast,
+    "forecast_preview": _forecast_preview,
     "forecast_metrics": _forecast_metrics,
     "error_metrics": _error_metrics,
     "latest_metrics": _latest_metrics,

@@ -52,6 +52,8 @@ def test_forecast_properties(spark, weekly):
     assert 110 < sum(workday) / len(workday) < 165  # 137 continues the growth
     metrics = fc.error_metrics(fc.observed(predicted), predicted).first()
     assert metrics.n_observations == 730 and metrics.mape < 5
+    listed = fc.forecast_listing(fc.future_only(predicted, RUN_AT), days=7).collect()
+    assert listed == future[:7]
     again = fc.future_only(fc.fit_and_predict(weekly, horizon=30), RUN_AT).collect()
     assert again == future
 

@@ -108,3 +108,9 @@ def test_upsert_path_rewrites_touched_partitions_only(spark, tmp_path):
         found = spark.read.parquet(path).select("year", "month", "city", "orders", "net")
         assert rows(found) == sorted(MERGED, key=repr)
     assert {p.name for p in (tmp_path / "mart/year=2024/month=2").glob("*.parquet")} == untouched
+
+
+def test_upsert_creates_an_absent_table(spark, tmp_path):
+    path = str(tmp_path / "absent")
+    upsert_path(path, spark.createDataFrame(NEW, SHAPE), ["year", "month", "city"], ["net"], ["year", "month"])
+    assert rows(spark.read.parquet(path).select("year", "month", "city", "orders", "net")) == sorted(NEW, key=repr)

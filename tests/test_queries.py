@@ -8,6 +8,7 @@ import __spark_entry__ as driver
 from check_queries import TABLES, rows_of
 from ordermart import driver_views as dv
 from ordermart.plans import reports
+from ordermart.plans.job import read_fact_range
 
 SF = "/root/testdata/sf0.001"
 
@@ -30,7 +31,7 @@ def test_query_equals_sql(spark, duck, name):
 
 
 def test_only_the_model_has_no_sql():
-    assert set(driver.queries()) - set(driver.oracle_sql()) == {"forecast_daily", "forecast_metrics"}
+    assert set(driver.queries()) - set(driver.oracle_sql()) == {"forecast_daily", "forecast_preview", "forecast_metrics"}
 
 
 def test_entry(spark):
@@ -49,6 +50,17 @@ def test_scans_read_only_what_a_report_needs(spark):
     assert "GreaterThanOrEqual(date_id,19960101)" in scan_of(reports.orders_between(star["fact_orders"], 19960101, 19961231))
 
 
+def test_range_of_days_prunes_months(spark):
+    fact = read_fact_range(spark, dv.star_path(spark, SF), "fact_orders", 19960115, 19960210)
+    assert len(fact.columns) == 20
+    assert sorted(r[0] for r in fact.select("date_id").distinct().collect())[0] >= 19960115
+    plan = scan_of(fact)
+    kept = plan[plan.index("PartitionFilters: ["):plan.index("PushedFilters")]
+    assert "order_year" in kept and "order_month" in kept
+    whole = sorted(tuple(r) for r in dv.star(spark, SF)["fact_orders"].filter("date_id between 19960115 and 19960210").select("order_id").collect())
+    assert sorted(tuple(r) for r in fact.select("order_id").collect()) == whole
+
+
 def test_star_is_loaded_once(spark):
     assert dv.star(spark, SF) is dv.star(spark, SF)
 
