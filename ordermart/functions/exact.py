@@ -7,8 +7,6 @@ round exact decimal quotients half away from zero.
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -24,7 +22,7 @@ def cents(amount: str) -> Column:
 def money(total_cents: Column | str) -> Column:
     """BIGINT cents back to an amount."""
     column = F.col(total_cents) if isinstance(total_cents, str) else total_cents
-    return column.cast(_WIDE) * F.lit(Decimal("0.01"))
+    return column.cast(_WIDE) * F.expr("0.01")
 
 
 def rounded_ratio(numerator: Column, denominator: Column, decimals: int) -> Column:
@@ -37,7 +35,7 @@ def rounded_ratio(numerator: Column, denominator: Column, decimals: int) -> Colu
 
 
 def mean_money(total_cents: Column, count: Column) -> Column:
-    return rounded_ratio(total_cents, count, 0) * F.lit(Decimal("0.01"))
+    return rounded_ratio(total_cents, count, 0) * F.expr("0.01")
 
 
 def mean_tenths(total: Column, count: Column) -> Column:

@@ -43,6 +43,11 @@ class Settings:
     minimums: dict[str, int] = field(default_factory=lambda: dict(MINIMUM_ROWS))
     holidays: tuple[str, ...] = HOLIDAYS
     peak_months: tuple[int, ...] = PEAK_MONTHS
+    price_bands: Bands = PRICE_BANDS
+
+    @property
+    def home(self) -> str:
+        return self.warehouse.rstrip("/")
 
     @property
     def run_id(self) -> str:
@@ -121,42 +126,57 @@ def audit_star(star: Mapping[str, DataFrame]) -> None:
 
 def current_star(spark: SparkSession, warehouse: str) -> dict[str, DataFrame]:
     """The star of the last run that passed its audits."""
-    runs = spark.read.parquet(f"{warehouse}/runs")
+    runs = spark.read.parquet(f"{warehouse.rstrip('/')}/runs")
     last = runs.orderBy(F.desc("run_at"), F.desc("run_id")).first()
-    return read_star(spark, f"{warehouse}/star/{last.run_id}")
+    return read_star(spark, f"{warehouse.rstrip('/')}/star/{last.run_id}")
 
 
-def run_daily(spark: SparkSession, settings: Settings) -> dict[str, DataFrame]:
-    """Gate, load, audit, refresh the mart, forecast. A CSV row that does not fit its schema fails the run.
+def run_load(spark: SparkSession, settings: Settings) -> dict[str, DataFrame]:
+    """Gate the sources, load the star, audit it and make it current.
 
     A star is written to a folder of its own and becomes current by one row
-    appended to ``runs``, so readers never see a half-written table.
+    appended to ``runs``, so readers never see a half-written table. A CSV row
+    that does not fit its schema fails the run.
     """
-    home = settings.warehouse.rstrip("/")
     sources = read_present(
         spark, settings.source_root, settings.source_format, strict=True, multi_line=settings.multi_line
     )
     quality.require_gate(quality.source_gate(spark, sources, settings.minimums))
-
     calendar = calendar_dim(
         spark, settings.calendar_start, settings.calendar_end, settings.holidays, settings.peak_months
     )
-    star = load_star(sources, calendar, f"{home}/star/{settings.run_id}", settings.as_of)
+    star = load_star(
+        sources, calendar, f"{settings.home}/star/{settings.run_id}", settings.as_of, settings.price_bands
+    )
     audit_star(star)
     run = spark.range(1).select(
         F.lit(settings.run_id).alias("run_id"), F.lit(settings.run_at).cast("timestamp_ntz").alias("run_at")
     )
-    publish(run, f"{home}/runs", mode="append")
-
-    fact, days = star["fact_orders"], star["dim_date"]
-    marts.refresh_mart(f"{home}/{MONTHLY_MART.name}", fact, days, star["dim_restaurant"])
-    write_forecast(home, fact, days, settings.horizon, settings.run_at)
+    publish(run, f"{settings.home}/runs", mode="append")
     return star
 
 
-def write_forecast(home: str, fact: DataFrame, calendar: DataFrame, horizon: int, run_at: dt.datetime) -> None:
-    """Replace the forecast table and append one row of error measures."""
-    predicted = fc.fit_and_predict(fc.daily_series(fact, calendar), horizon)
+def run_mart(spark: SparkSession, settings: Settings) -> None:
+    """Replace the monthly mart from the current star."""
+    star = current_star(spark, settings.home)
+    marts.refresh_mart(
+        f"{settings.home}/{MONTHLY_MART.name}", star["fact_orders"], star["dim_date"], star["dim_restaurant"]
+    )
+
+
+def run_forecast(spark: SparkSession, settings: Settings) -> None:
+    """Replace the forecast from the current star and append one row of error measures."""
+    star = current_star(spark, settings.home)
+    series = fc.daily_series(star["fact_orders"], star["dim_date"])
+    predicted = fc.fit_and_predict(series, settings.horizon)
     metrics = fc.error_metrics(fc.observed(predicted), predicted)
-    publish(fc.stamped(metrics, run_at), f"{home}/{METRICS.name}", mode="append")
-    publish(fc.future_only(predicted, run_at), f"{home}/{FORECAST.name}")
+    publish(fc.stamped(metrics, settings.run_at), f"{settings.home}/{METRICS.name}", mode="append")
+    publish(fc.future_only(predicted, settings.run_at), f"{settings.home}/{FORECAST.name}")
+
+
+def run_daily(spark: SparkSession, settings: Settings) -> dict[str, DataFrame]:
+    """Load, refresh the mart, forecast: the whole chain, for any scheduler to call."""
+    star = run_load(spark, settings)
+    run_mart(spark, settings)
+    run_forecast(spark, settings)
+    return star

@@ -233,13 +233,11 @@ def demand_heatmap(orders: DataFrame, calendar: DataFrame) -> DataFrame:
     """Weekdays Monday to Sunday by hours 0 to 23, mean orders, 0 where none."""
     hours = list(range(24))
     cells = hourly_demand(orders, calendar).groupBy("day_name").pivot("order_hour", hours).agg(F.avg("orders"))
-    cells = cells.select("day_name", *[F.col(f"`{h}`").alias(f"h{h}") for h in hours])
-    weekdays = calendar.select("day_name", "day_of_week").distinct()
     return (
-        weekdays.join(cells, "day_name", "left")
-        .fillna(0.0, subset=[f"h{h}" for h in hours])
+        calendar.select("day_name", "day_of_week").distinct()
+        .join(cells, "day_name", "left")
         .orderBy("day_of_week")
-        .select("day_name", *[f"h{h}" for h in hours])
+        .selectExpr("day_name", *[f"coalesce(`{hour}`, 0D) AS h{hour}" for hour in hours])
     )
 
 

@@ -31,6 +31,9 @@ def build_session(app_name: str = "ordermart", master: str | None = None, **conf
     return builder.getOrCreate()
 
 
+_fallback: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
@@ -39,11 +42,10 @@ def shared_dir(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    fallback = tempfile.mkdtemp(prefix="ordermart-")
-    spark.conf.set("spark.checkpoint.dir", fallback)
-    return fallback
+    return _fallback.setdefault(context.applicationId, tempfile.mkdtemp(prefix="ordermart-"))
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:

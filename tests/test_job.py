@@ -8,6 +8,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from ordermart import driver_views as dv
+from ordermart.__main__ import main, settings_from
 from ordermart.plans import quality
 from ordermart.plans.job import AuditFailed, Settings, audit_star, current_star, run_daily
 from ordermart.schemas import SOURCES, STAR
@@ -98,3 +99,14 @@ def test_malformed_rows_fail_the_run(spark, csv_root, tmp_path):
     with pytest.raises(Exception, match="MALFORMED"):
         run_daily(spark, settings(csv_root, tmp_path, multi_line=False))
     assert not (tmp_path / "runs").exists()
+
+
+def test_command_line(spark, first_run):
+    step, conf = settings_from(["forecast", "raw", first_run[0].warehouse + "/", "--horizon", "7"])
+    assert step == "forecast" and conf.horizon == 7 and conf.source_format == "csv"
+    before = spark.read.parquet(f"{conf.home}/ml_model_metrics").count()
+    main(["forecast", "raw", conf.warehouse, "--horizon", "7"])
+    assert spark.read.parquet(f"{conf.home}/ml_order_forecast").count() == 7
+    assert spark.read.parquet(f"{conf.home}/ml_model_metrics").count() == before + 1
+    with pytest.raises(SystemExit):
+        settings_from(["sideways", "raw", "home"])

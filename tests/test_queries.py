@@ -50,6 +50,16 @@ def test_scans_read_only_what_a_report_needs(spark):
     assert "GreaterThanOrEqual(date_id,19960101)" in scan_of(reports.orders_between(star["fact_orders"], 19960101, 19961231))
 
 
+def test_facts_are_summed_before_the_dimension_is_joined(spark):
+    star = dv.star(spark, SF)
+    for report, dimension in ((reports.top_restaurants, "dim_restaurant"), (reports.agent_performance, "dim_delivery_agent"),
+                              (reports.monthly_revenue_trend, "dim_date"), (reports.yearly_revenue, "dim_date")):
+        plan = scan_of(report(star["fact_orders"], star[dimension]))
+        fact = plan[:plan.index("ReadSchema")]  # from the root down to the fact scan
+        # lines further down are nearer to the scan: partial sums, then the shuffle, and only then the join
+        assert fact.rindex("Join") < fact.rindex("Exchange hashpartitioning") < fact.rindex("partial_sum")
+
+
 def test_range_of_days_prunes_months(spark):
     fact = read_fact_range(spark, dv.star_path(spark, SF), "fact_orders", 19960115, 19960210)
     assert len(fact.columns) == 20

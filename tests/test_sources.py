@@ -1,3 +1,5 @@
+from types import SimpleNamespace
+
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -89,6 +91,18 @@ def test_sql_text(spark):
     assert rows(found) == [("a", 2), ("b", 3)]
 
 
+def test_only_a_local_master_falls_back_to_its_own_folder():
+    def session(master):
+        return SimpleNamespace(
+            conf=SimpleNamespace(get=lambda key, default=None: default),
+            sparkContext=SimpleNamespace(master=master, applicationId=f"app-{master}"),
+        )
+
+    assert shared_dir(session("local[2]")) == shared_dir(session("local[2]"))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(session("yarn"))
+
+
 def test_shared_folder_comes_from_the_session(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
     assert build_session() is spark or build_session().sparkContext is spark.sparkContext
