@@ -15,6 +15,11 @@ def as_date(value: str | dt.date | Column) -> Column:
     return F.lit(str(value)).cast("date")
 
 
+def as_timestamp(value: dt.datetime) -> Column:
+    """A naive literal timestamp, whatever the session's time zone."""
+    return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def days_until(as_of: str | dt.date, column: Column) -> Column:
     """Whole days from ``column`` to the reference day."""
     return F.datediff(as_date(as_of), column)

@@ -20,7 +20,7 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ordermart.functions.dates import is_weekend
+from ordermart.functions.dates import as_timestamp, is_weekend
 from ordermart.session import ensure_checkpoint_dir
 
 
@@ -112,7 +112,7 @@ def future_only(predicted: DataFrame, created_at: dt.datetime) -> DataFrame:
             whole("yhat").alias("predicted_orders"),
             whole("yhat_lower").alias("lower_bound"),
             whole("yhat_upper").alias("upper_bound"),
-            F.lit(created_at).cast("timestamp_ntz").alias("created_at"),
+            as_timestamp(created_at).alias("created_at"),
         )
         .orderBy("forecast_date")
     )
@@ -144,7 +144,7 @@ def error_metrics(actual: DataFrame, fitted: DataFrame) -> DataFrame:
 
 def stamped(metrics: DataFrame, evaluated_at: dt.datetime) -> DataFrame:
     return metrics.select(
-        F.lit(evaluated_at).cast("timestamp_ntz").alias("evaluated_at"), "mape", "mae", "rmse", "n_observations"
+        as_timestamp(evaluated_at).alias("evaluated_at"), "mape", "mae", "rmse", "n_observations"
     )
 
 

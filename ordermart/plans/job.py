@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ordermart.functions.bands import Bands
+from ordermart.functions.dates import as_timestamp
 from ordermart.plans import forecast as fc
 from ordermart.plans import marts, quality
 from ordermart.plans.calendar import HOLIDAYS, PEAK_MONTHS, calendar_dim
@@ -150,7 +151,7 @@ def run_load(spark: SparkSession, settings: Settings) -> dict[str, DataFrame]:
     )
     audit_star(star)
     run = spark.range(1).select(
-        F.lit(settings.run_id).alias("run_id"), F.lit(settings.run_at).cast("timestamp_ntz").alias("run_at")
+        F.lit(settings.run_id).alias("run_id"), as_timestamp(settings.run_at).alias("run_at")
     )
     publish(run, f"{settings.home}/runs", mode="append")
     return star

@@ -61,6 +61,15 @@ def test_rounded_trend_matches_status_by_case(orders, calendar):
     assert [r[0] for r in rows(reports.monthly_growth(orders, calendar), "date_str")] == ["2023-03", "2023-04", "2023-05"]
 
 
+def test_null_status_is_neither_kept_nor_cancelled(spark, calendar):
+    orders = make_orders(spark, [
+        ("O1", "C1", "R1", "A1", "2023-01-02", 1, None, 10, "5.00"), ("O2", "C1", "R1", "A1", "2023-01-02", 1, "Delivered", 10, "7.00"),
+    ])
+    assert reports.monthly_revenue_trend(orders, calendar).first().net_revenue_inr == D("7.00")
+    assert {tuple(r)[:2] for r in reports.status_distribution(orders).collect()} == {(None, 1), ("Delivered", 1)}
+    assert reports.kpi_strip(orders).first().total_orders == 2
+
+
 def test_case_decides_which_orders_count(orders, calendar):
     assert rows(reports.yearly_revenue(orders, calendar)) == [(2023, D("409.01"))]  # status text, any case
     delivered = rows(reports.monthly_trend_delivered(orders, calendar).select("date_str", "orders"), "date_str")
