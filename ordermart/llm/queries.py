@@ -5,18 +5,36 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ordermart.llm.common import table
 from ordermart.llm.exact_dedup import exact_dedup
+from ordermart.llm.source_mixing import mix_sources
+from ordermart.llm.warc_revisits import captures, resolve_revisits
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(table(spark, sf_dir, "documents"))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"), keep="largest")
 
 
+def op7_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Header fields are returned as sorted ``name: value`` lines."""
+    found = resolve_revisits(captures(table(spark, sf_dir, "pages")))
+    lines = F.transform("headers", lambda h: F.concat(F.lower(h["name"]), F.lit(": "), h["value"]))
+    return found.select(
+        "record_id", "canonical_url", "response_id", "outcome", F.array_join(F.array_sort(lines), "\n").alias("headers")
+    )
+
+
 def queries() -> dict[str, Query]:
     return {
+        "op2_temperature_mixing": op2_temperature_mixing,
         "op3_exact_dedup": op3_exact_dedup,
+        "op7_warc_revisits": op7_warc_revisits,
     }
