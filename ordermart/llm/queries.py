@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ordermart.llm.common import table
 from ordermart.llm.exact_dedup import exact_dedup
+from ordermart.llm.simhash_dedup import simhash_dedup
 from ordermart.llm.source_mixing import mix_sources
 from ordermart.llm.warc_revisits import captures, resolve_revisits
 
@@ -23,6 +24,10 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"), keep="largest")
 
 
+def op4_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_dedup(table(spark, sf_dir, "documents"))
+
+
 def op7_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Header fields are returned as sorted ``name: value`` lines."""
     found = resolve_revisits(captures(table(spark, sf_dir, "pages")))
@@ -36,5 +41,6 @@ def queries() -> dict[str, Query]:
     return {
         "op2_temperature_mixing": op2_temperature_mixing,
         "op3_exact_dedup": op3_exact_dedup,
+        "op4_simhash_dedup": op4_simhash_dedup,
         "op7_warc_revisits": op7_warc_revisits,
     }
