@@ -10,6 +10,7 @@ from ordermart.session import scratch_path
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: A word is a maximal run of anything but blank, tab, line feed, vertical tab, form feed and return.
 WORD = r"[^\x20\x09-\x0D]+"
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,7 +25,12 @@ def stored(frame: DataFrame, name: str) -> DataFrame:
     """
     spark = frame.sparkSession
     path = scratch_path(spark, name)
-    frame.write.parquet(path)
+    before = spark.conf.get(_CLEANUP)
+    spark.conf.set(_CLEANUP, "true")  # nothing reads the shuffles of a table once it is written
+    try:
+        frame.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
     return spark.read.schema(frame.schema).parquet(path)
 
 

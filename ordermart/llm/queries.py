@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ordermart.llm.common import table
 from ordermart.llm.exact_dedup import exact_dedup
+from ordermart.llm.line_dedup import line_dedup
 from ordermart.llm.simhash_dedup import simhash_dedup
 from ordermart.llm.source_mixing import mix_sources
 from ordermart.llm.warc_revisits import captures, resolve_revisits
@@ -28,6 +29,12 @@ def op4_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup(table(spark, sf_dir, "documents"))
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup(table(spark, sf_dir, "documents")).select(
+        "doc_id", "text", F.coalesce(F.size(F.split("text", "\n", -1)), F.lit(0)).cast("long").alias("n_lines")
+    )
+
+
 def op7_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Header fields are returned as sorted ``name: value`` lines."""
     found = resolve_revisits(captures(table(spark, sf_dir, "pages")))
@@ -42,5 +49,6 @@ def queries() -> dict[str, Query]:
         "op2_temperature_mixing": op2_temperature_mixing,
         "op3_exact_dedup": op3_exact_dedup,
         "op4_simhash_dedup": op4_simhash_dedup,
+        "op5_line_dedup": op5_line_dedup,
         "op7_warc_revisits": op7_warc_revisits,
     }
