@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ordermart.llm.common import table
+from ordermart.llm.decontamination import contaminated
 from ordermart.llm.exact_dedup import exact_dedup
+from ordermart.llm.language_id import held_out_language_id
 from ordermart.llm.line_dedup import line_dedup
 from ordermart.llm.simhash_dedup import simhash_dedup
 from ordermart.llm.source_mixing import mix_sources
@@ -44,6 +46,16 @@ def op7_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item, with the item."""
+    found = contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "coverage", "consistency")
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return held_out_language_id(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op2_temperature_mixing": op2_temperature_mixing,
@@ -51,4 +63,6 @@ def queries() -> dict[str, Query]:
         "op4_simhash_dedup": op4_simhash_dedup,
         "op5_line_dedup": op5_line_dedup,
         "op7_warc_revisits": op7_warc_revisits,
+        "op9_decontamination": op9_decontamination,
+        "op10_language_id": op10_language_id,
     }
