@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ordermart.llm.common import stored
+from ordermart.llm.common import Numbering, stored
 
 WINDOW, MIN_LITERALS, MIN_COVERAGE, MIN_CONSISTENCY = 8, 4, 0.6, 0.8
 #: Bits of the bitmap: 64 for each window of the benchmark, within these bounds (2 MB and 16 MB).
@@ -78,13 +78,11 @@ class Template:
     """Canonical words of many texts at once, as flat arrays; ``owner`` tells the text of each word."""
 
     def __init__(self, texts: list[str | None], cache: dict):
-        raw, owner = [], []
-        for i, text in enumerate(texts):
+        distinct, parts = Numbering(), [np.zeros(0, np.int64)]
+        for text in texts:
             words = text.split() if text else []
-            raw += words
-            owner.append(np.full(len(words), i, np.int64))
-        owner = np.concatenate(owner) if owner else np.zeros(0, np.int64)
-        codes, distinct = pd.factorize(np.array(raw, dtype=object)) if raw else (np.zeros(0, np.int64), [])
+            parts.append(np.fromiter(map(distinct.__getitem__, words), np.int64, len(words)))
+        codes, owner = np.concatenate(parts), np.repeat(np.arange(len(texts)), [len(p) for p in parts[1:]])
         if len(cache) > _CACHE:
             cache.clear()
         known = []
@@ -197,13 +195,13 @@ def contaminated(
     )
     grams = stored(items.select("item_key", "n", F.posexplode("keys").alias("at", "key")), "grams")
     widths = [r[0] for r in items.select(F.least(F.col("n"), F.lit(window)).alias("w")).distinct().collect()]
-    bits = MIN_BITS
-    while bits < min(MAX_BITS, 64 * grams.count()):
+    bits, number = MIN_BITS, grams.count()
+    while bits < min(MAX_BITS, 64 * number):
         bits *= 2
     place = F.pmod("key", F.lit(bits))
-    words = grams.select(
-        F.floor(place / 64).alias("word"), F.shiftleft(F.lit(1).cast("long"), (place % 64).cast("int")).alias("bit")
-    ).groupBy("word").agg(F.bit_or("bit").alias("bits")).toPandas()
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), (place % 64).cast("int"))
+    set_bits = grams.select(F.floor(place / 64).alias("word"), bit.alias("bit"))
+    words = set_bits.groupBy("word").agg(F.bit_or("bit").alias("bits")).toPandas()
     bitmap = np.zeros(bits // 64, np.uint64)
     bitmap[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64).view(np.uint64)
     bitmap = spark.sparkContext.broadcast(bitmap)

@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ordermart.llm.common import stored
+from ordermart.llm.common import Numbering, stored
 
 LONGEST, SMOOTHING = 4, 0.5
 #: Entries times languages of the word table and of the n-gram table: 8 MB each as 32-bit floats.
@@ -125,16 +125,14 @@ class Model:
 
     def predict(self, texts: list[str | None], cache: dict) -> tuple[list[str], np.ndarray]:
         """Language and its share of the posterior, all languages equally likely at first."""
-        flat, counts = [], []
+        distinct, parts = Numbering(), [np.zeros(0, np.int64)]
         for text in texts:
             words = words_of(text)
-            flat += words
-            counts.append(len(words))
-        counts = np.array(counts, np.int64)
+            parts.append(np.fromiter(map(distinct.__getitem__, words), np.int64, len(words)))
+        codes, counts = np.concatenate(parts), np.array([len(p) for p in parts[1:]], np.int64)
         langs, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))
-        if not flat or not self.langs:
+        if not len(codes) or not self.langs:
             return langs, scores
-        codes, distinct = pd.factorize(np.array(flat, dtype=object))
         if len(cache) > _CACHE:
             cache.clear()
         rows = np.empty((len(distinct), len(self.langs)), np.float64)

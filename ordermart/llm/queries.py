@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ordermart.llm.common import table
 from ordermart.llm.decontamination import contaminated
 from ordermart.llm.exact_dedup import exact_dedup
+from ordermart.llm.hmm_scoring import score_documents
 from ordermart.llm.language_id import held_out_language_id
 from ordermart.llm.line_dedup import line_dedup
 from ordermart.llm.simhash_dedup import simhash_dedup
@@ -46,6 +47,11 @@ def op7_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_hmm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    return score_documents(table(spark, sf_dir, "documents"), F.crc32(key) % 7 == 2)
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item, with the item."""
     found = contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -63,6 +69,7 @@ def queries() -> dict[str, Query]:
         "op4_simhash_dedup": op4_simhash_dedup,
         "op5_line_dedup": op5_line_dedup,
         "op7_warc_revisits": op7_warc_revisits,
+        "op8_hmm_scoring": op8_hmm_scoring,
         "op9_decontamination": op9_decontamination,
         "op10_language_id": op10_language_id,
     }
