@@ -13,6 +13,7 @@ from ordermart.llm.exact_dedup import exact_dedup
 from ordermart.llm.hmm_scoring import score_documents
 from ordermart.llm.language_id import held_out_language_id
 from ordermart.llm.line_dedup import line_dedup
+from ordermart.llm.quality_classifier import quality_scores
 from ordermart.llm.simhash_dedup import simhash_dedup
 from ordermart.llm.source_mixing import mix_sources
 from ordermart.llm.warc_revisits import captures, resolve_revisits
@@ -38,6 +39,10 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Header fields are returned as sorted ``name: value`` lines."""
     found = resolve_revisits(captures(table(spark, sf_dir, "pages")))
@@ -68,6 +73,7 @@ def queries() -> dict[str, Query]:
         "op3_exact_dedup": op3_exact_dedup,
         "op4_simhash_dedup": op4_simhash_dedup,
         "op5_line_dedup": op5_line_dedup,
+        "op6_quality_classifier": op6_quality_classifier,
         "op7_warc_revisits": op7_warc_revisits,
         "op8_hmm_scoring": op8_hmm_scoring,
         "op9_decontamination": op9_decontamination,
