@@ -16,11 +16,19 @@ from ordermart.llm.line_dedup import line_dedup
 from ordermart.llm.quality_classifier import quality_scores
 from ordermart.llm.simhash_dedup import simhash_dedup
 from ordermart.llm.source_mixing import mix_sources
+from ordermart.llm.suffix_dedup import remove_repeated_passages
 from ordermart.llm.warc_revisits import captures, resolve_revisits
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeated_passages(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", F.size("starts").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op2_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents"))
 
@@ -69,6 +77,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_suffix_array_dedup": op1_suffix_array_dedup,
         "op2_temperature_mixing": op2_temperature_mixing,
         "op3_exact_dedup": op3_exact_dedup,
         "op4_simhash_dedup": op4_simhash_dedup,
