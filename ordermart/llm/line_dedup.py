@@ -8,11 +8,13 @@ exact Jaccard similarity of the shingle sets:
 
 1. every member of a band bucket is verified against the least line of the
    bucket, and the links found are joined to components (distributed union-find);
-2. what is left in a bucket are pairs of lines of different components; all of
-   them are verified, and the components are joined again.
+2. buckets that still hold several components are compared line by line inside
+   tasks, by a product of their shingle matrices; only links that join components
+   leave the task, and the components are joined again.
 
-Pairs inside one component need no check, so a large group of near copies costs
-one pair per member and bucket, and still no link between candidates is lost.
+So a large group of near copies costs one pair per member and bucket, pairs are
+never listed, and still no link between candidates is lost. A bucket of more than
+``BLOCK`` lines is compared in blocks, each pair of blocks by a group of its own.
 Of each component the first line in the order (id, position) stays.
 """
 
@@ -29,6 +31,8 @@ from ordermart.llm.common import stored
 from ordermart.llm.components import connected_components
 
 SHINGLE, BANDS, ROWS, SIMILARITY = 8, 16, 5, 0.8
+#: Lines that are compared with each other in one block, and lines and shingles that a task holds at a time.
+BLOCK, _TASK_LINES, _COLUMNS = 2048, 20_000, 4096
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -50,9 +54,8 @@ def _fallbacks(bins: int) -> np.ndarray:
     return np.stack([draw.permutation(bins) for _ in range(bins)])
 
 
-def band_keys(lines: list[str], bands: int = BANDS, rows: int = ROWS, shingle: int = SHINGLE) -> np.ndarray:
-    """Array (line, band) of 64-bit keys; a line shorter than a shingle is one shingle."""
-    bins = bands * rows
+def shingle_hashes(lines: list[str], shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    """(line, hash) of every shingle; a line shorter than a shingle is one shingle."""
     lengths = np.fromiter((len(x) for x in lines), np.int64, len(lines))
     padded = np.maximum(lengths, shingle)
     codes = np.frombuffer(
@@ -67,18 +70,21 @@ def band_keys(lines: list[str], bands: int = BANDS, rows: int = ROWS, shingle: i
             offset += width
         rest >>= 1
         if rest:
-            hashes = hashes[:-width] * _mix(np.uint64([width + 7]))[0] + hashes[width:]
+            hashes = hashes[:-width] * _mix(np.array([width + 7], np.uint64)) + hashes[width:]
             width *= 2
     whole = np.zeros(max(0, len(codes) - shingle + 1), np.uint64)
     for at, part in parts:
         whole = whole * _MULTIPLIER + part[at:at + len(whole)]
-    whole = _mix(whole)
-
     counts = padded - shingle + 1
     line = np.repeat(np.arange(len(lines)), counts)
-    starts = np.concatenate(([0], np.cumsum(padded)[:-1])) if len(lines) else np.zeros(0, np.int64)
-    before = np.concatenate(([0], np.cumsum(counts)[:-1])) if len(lines) else np.zeros(0, np.int64)
-    value = whole[np.arange(len(line)) + np.repeat(starts - before, counts)]
+    shift = (np.cumsum(padded) - padded) - (np.cumsum(counts) - counts)
+    return line, _mix(whole)[np.arange(len(line)) + np.repeat(shift, counts)]
+
+
+def band_keys(lines: list[str], bands: int = BANDS, rows: int = ROWS, shingle: int = SHINGLE) -> np.ndarray:
+    """Array (line, band) of 64-bit keys."""
+    bins = bands * rows
+    line, value = shingle_hashes(lines, shingle)
     empty = np.uint64(0xFFFFFFFFFFFFFFFF)
     signature = np.full(len(lines) * bins, empty)
     slot = line * bins + ((value >> np.uint64(32)) * np.uint64(bins) >> np.uint64(32)).astype(np.int64)
@@ -111,6 +117,40 @@ def similar(x: str, y: str, least: float = SIMILARITY, shingle: int = SHINGLE) -
     return shared >= least * (len(a) + len(b) - shared)
 
 
+def joining_links(
+    lines: list[str], groups: np.ndarray, least: float = SIMILARITY, shingle: int = SHINGLE
+) -> list[tuple[int, int]]:
+    """Pairs of similar lines that connect the groups just as all similar pairs would."""
+    line, hashes = shingle_hashes(lines, shingle)
+    line, hashes = np.unique(np.stack([line.astype(np.uint64), hashes]), axis=1) if len(line) else (line, hashes)
+    line, sizes = line.astype(np.int64), np.bincount(line.astype(np.int64), minlength=len(lines)).astype(np.float32)
+    _, inverse, times = np.unique(hashes, return_inverse=True, return_counts=True)
+    shared = times[inverse] > 1  # a shingle of one line only is in no intersection
+    line, columns = line[shared], np.unique(inverse[shared], return_inverse=True)[1]
+    both = np.zeros((len(lines), len(lines)), np.float32)
+    order = np.argsort(columns, kind="stable")
+    line, columns = line[order], columns[order]
+    for lo in range(0, int(columns[-1]) + 1 if len(columns) else 0, _COLUMNS):
+        a, b = np.searchsorted(columns, (lo, lo + _COLUMNS))
+        matrix = np.zeros((len(lines), _COLUMNS), np.float32)
+        matrix[line[a:b], columns[a:b] - lo] = 1
+        both += matrix @ matrix.T
+    parent = {}
+
+    def root(x):
+        while parent.get(x, x) != x:
+            x = parent[x]
+        return x
+
+    links = []
+    for x, y in np.argwhere(np.triu(both >= least * (sizes[:, None] + sizes[None, :] - both) - 1e-3, 1)):
+        a, b = root(groups[x]), root(groups[y])
+        if a != b and similar(lines[x], lines[y], least, shingle):
+            parent[max(a, b)] = min(a, b)
+            links.append((int(x), int(y)))
+    return links
+
+
 # ---- the operator ----------------------------------------------------------
 
 def _verified(pairs: DataFrame, texts: DataFrame, least: float, shingle: int) -> DataFrame:
@@ -155,14 +195,30 @@ def line_components(
         of = found.select(F.col("node").alias(key), F.col("component").alias(name))
         return frame.join(of, key, "left").withColumn(name, F.coalesce(name, key))
 
-    apart = stored(placed(placed(members, "k", "own"), "leader", "main"), "placed")
-    others = apart.where("own != main").select("band", F.col("k").alias("a"), F.col("own").alias("own_a"))
-    left = (
-        others.join(apart.where("k != leader").select("band", F.col("k").alias("b"), "own", "main"), "band")
-        .where("own_a != own and (own = main or a < b)")
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    apart = stored(placed(members.select("band", "k"), "k", "component"), "placed")
+    unclear = apart.groupBy("band").agg(
+        F.count(F.lit(1)).alias("n"), F.min("component").alias("low"), F.max("component").alias("high")
+    ).where("n > 2 and low < high").select("band", F.ceil(F.col("n") / BLOCK).cast("long").alias("blocks"))
+    rows = apart.join(stored(unclear, "unclear"), "band").withColumn("block", F.pmod(F.xxhash64("k"), F.col("blocks")))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    rows = stored(rows.select(
+        F.xxhash64("band", F.least("block", "other"), F.greatest("block", "other")).alias("bucket"), "k", "component"
+    ).distinct(), "unclear_rows")
+    tasks = F.lit(max(1, -(-rows.count() // _TASK_LINES)))
+
+    def compare(task: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        for _, part in task.groupby("bucket", sort=False):
+            keys = part["k"].to_numpy(np.int64)
+            found = joining_links(part["line"].tolist(), part["component"].to_numpy(np.int64), similarity, shingle)
+            out += [(keys[x], keys[y]) for x, y in found]
+        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+
+    more = stored(
+        rows.join(texts, "k").groupBy(F.pmod(F.xxhash64("bucket"), tasks).alias("task"))
+        .applyInPandas(compare, "a long, b long").distinct(),
+        "more",
     )
-    more = stored(_verified(stored(left, "left"), texts, similarity, shingle), "more")
     if more.isEmpty():
         return found
     return connected_components(links.unionByName(more))

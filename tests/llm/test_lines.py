@@ -2,7 +2,10 @@
 
 import random
 
-from ordermart.llm.line_dedup import band_keys, line_dedup, similar
+import numpy as np
+
+from ordermart.llm import line_dedup as line_dedup_module
+from ordermart.llm.line_dedup import band_keys, joining_links, line_dedup, similar
 
 
 def normal(line):
@@ -94,3 +97,46 @@ def test_chain_in_one_bucket_is_joined(spark):
     rows = list(enumerate(chain))
     found = {r[0]: r[1] for r in line_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert found == brute(rows)
+
+
+def test_joining_links_connect_what_all_pairs_connect():
+    rng = random.Random(6)
+    for _ in range(20):
+        base = [f"w{rng.randrange(90)}" for _ in range(30)]
+        lines = []
+        for _ in range(25):
+            words = list(base)
+            for _ in range(rng.randint(0, 4)):
+                words[rng.randrange(30)] = f"x{rng.randrange(90)}"
+            lines.append(" ".join(words))
+        lines = sorted(set(lines)) + ["short", "shorter"]
+
+        def labels(pairs):
+            parent = list(range(len(lines)))
+
+            def root(x):
+                while parent[x] != x:
+                    x = parent[x]
+                return x
+
+            for x, y in pairs:
+                parent[max(root(x), root(y))] = min(root(x), root(y))
+            return [root(x) for x in range(len(lines))]
+
+        everything = [(x, y) for y in range(len(lines)) for x in range(y) if similar(lines[x], lines[y])]
+        found = joining_links(lines, np.arange(len(lines)))
+        assert labels(found) == labels(everything) and len(found) < len(lines)
+
+
+def test_large_group_of_near_copies_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup_module, "BLOCK", 16)
+    rng = random.Random(12)
+    base = [f"word{rng.randrange(500)}" for _ in range(40)]
+    rows = []
+    for i in range(120):
+        words = list(base)
+        for _ in range(rng.randint(1, 4)):
+            words[rng.randrange(40)] = f"new{rng.randrange(500)}"
+        rows.append((i, " ".join(words)))
+    found = {r[0]: r[1] for r in line_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found == brute(rows)
