@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ordermart.functions.bands import Bands
@@ -27,6 +27,7 @@ SPAN_DAYS = 2404
 PRICE_BANDS = Bands((0, 920, 940, 980, float("inf")), ("Budget", "Affordable", "Mid-Range", "Premium"))
 STATUS = {"F": "Delivered", "O": "Cancelled", "P": "Refunded"}
 PLATFORM = {"1": "App-iOS", "2": "App-iOS", "3": "App-Android", "4": "App-Android", "5": "Web"}
+LINES_PER_ORDER = 1 << 24
 AGES = ("18-24", "25-34", "35-44", "45-54", "55+")
 VEHICLES = ("Bike", "Scooter", "Bicycle")
 METHODS = ("UPI", "Card", "Cash", "Wallet", "Net Banking")
@@ -57,6 +58,13 @@ def _dirty(name):
     return F.concat(F.lit(" \t"), F.lower(name), F.lit("\n "))
 
 
+def line_id(lines: DataFrame):
+    """One number per distinct line: line numbers repeat within an order, so lines are ranked by all columns."""
+    others = [c for c in lines.columns if c not in ("l_orderkey", "l_linenumber")]
+    ranked = F.dense_rank().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", *others))
+    return F.col("l_orderkey") * F.lit(LINES_PER_ORDER).cast("bigint") + ranked
+
+
 def raw_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The seven raw sources as lazy frames over the given tables."""
 
@@ -75,7 +83,7 @@ def raw_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         _day(c, 37).cast("string").alias("registration_date"),
         _pick(AGES, c % 5).alias("age_group"),
         F.when(c % 2 == 0, "Female").otherwise("Male").alias("gender"),
-        (F.col("c_acctbal") >= 5000).alias("is_premium"),
+        F.when(c % 97 != 0, F.col("c_acctbal") >= 5000).alias("is_premium"),
     )
 
     s = F.col("s_suppkey")
@@ -120,7 +128,7 @@ def raw_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     quantity = F.col("l_quantity").cast("int")
     unit = F.call_function("div", paid * 2 + quantity, quantity * 2)
     order_items = lines.select(
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("order_item_id"),
+        line_id(lines).alias("order_item_id"),
         F.col("l_orderkey").alias("order_id"),
         F.col("l_partkey").alias("item_id"),
         quantity.alias("quantity"),
@@ -158,11 +166,11 @@ def raw_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 
 def calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Days from the first order to the end of the last full month; later orders lie outside."""
+    """All days of the orders, whose hour is added to a day of its own."""
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
     bounds = orders.agg(
         F.to_date(F.min("o_orderdate")).alias("first_day"),
-        F.date_sub(F.trunc(F.to_date(F.max("o_orderdate")), "month"), 1).alias("last_day"),
+        F.to_date(F.timestamp_add("HOUR", F.lit(23), F.max("o_orderdate"))).alias("last_day"),
     )
     return calendar_of(bounds, HOLIDAYS)
 

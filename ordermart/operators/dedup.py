@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 
 def keep_first(frame: DataFrame, key: str | Sequence[str], order: Sequence[str | Column] | None = None) -> DataFrame:
-    """One row per key: the first by ``order``, or by all other columns.
+    """One row per key: the first by ``order``, or by all other columns; nulls come last.
 
     Partitions have no file order, so "first" must be a stated order. Spark
     limits each map task to its own first row per key before the shuffle
@@ -17,6 +17,8 @@ def keep_first(frame: DataFrame, key: str | Sequence[str], order: Sequence[str |
     as one row per map task.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    ranking = list(order) if order is not None else [F.col(c) for c in frame.columns if c not in keys]
-    window = Window.partitionBy(*keys).orderBy(*(ranking or keys))
+    ranking = list(order) if order is not None else [c for c in frame.columns if c not in keys]
+    window = Window.partitionBy(*keys).orderBy(
+        *[F.col(c).asc_nulls_last() if isinstance(c, str) else c for c in ranking or keys]
+    )
     return frame.withColumn("_rank", F.row_number().over(window)).filter(F.col("_rank") == 1).drop("_rank")

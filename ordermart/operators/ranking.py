@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from ordermart.session import ensure_checkpoint_dir
 
+#: Rows of a key and a few numbers that one task sorts in a fraction of a second and a few MB.
+ONE_TASK_ROWS = 1 << 18
 _LOCAL_BITS = 33  # monotonically_increasing_id keeps the in-partition position in the low 33 bits
 
 
@@ -65,14 +67,30 @@ def first_with_ntile(frame: DataFrame, tiles: int, order: Sequence[Column], name
     return numbered.select(*frame.columns, _tile(F.col("_number") - 1, rows, tiles).alias(name))
 
 
-def ntile_scores(frame: DataFrame, key: str, scores: Mapping[str, Column], tiles: int) -> DataFrame:
+def ntile_scores(
+    frame: DataFrame, key: str, scores: Mapping[str, Column], tiles: int, most_rows: int | None = None
+) -> DataFrame:
     """Several global ``NTILE`` scores of the same rows from a single sort.
 
+    ``most_rows`` is a bound that the caller has checked on the number of rows:
+    up to ``ONE_TASK_ROWS`` the built-in windows sort them in one task, which
+    gives the same tiles without a checkpoint and a second shuffle.
+
     ``scores`` maps each name to the BIGINT that orders it, ascending, nulls
     first; the unique ``key`` breaks ties. Every row is sorted once per score
     in one list ordered by (score, value, key), then brought together again.
     Returns ``key`` and, per score, its tile and its value as ``<name>_value``.
     """
+    if most_rows is not None and most_rows <= ONE_TASK_ROWS:
+        tiled = frame.select(key, *[value.cast("bigint").alias(f"{name}_value") for name, value in scores.items()])
+        return tiled.select(
+            key, *[
+                column for name in scores for column in (
+                    F.ntile(tiles).over(Window.orderBy(F.col(f"{name}_value").asc_nulls_first(), F.col(key).asc())).alias(name),
+                    F.col(f"{name}_value"),
+                )
+            ],
+        )
     values = F.array(*[value.cast("bigint") for value in scores.values()])
     listed = frame.select(key, F.posexplode(values).alias("_score", "_value"))
     order = [F.col("_score").asc(), F.col("_value").asc_nulls_first(), F.col(key).asc()]

@@ -54,7 +54,9 @@ def upsert_path(
             raise
         publish(incoming, path, partition_by=partition_by)
         return
-    touched = incoming.select(*partition_by).distinct()
-    affected = target.join(touched, list(partition_by), "left_semi").select(*incoming.columns)
+    touched = incoming.select(*partition_by).distinct().alias("touched")
+    # Null-safe: a row with a null partition value rewrites the null partition like any other.
+    same = reduce(lambda a, b: a & b, [F.col(f"held.{c}").eqNullSafe(F.col(f"touched.{c}")) for c in partition_by])
+    affected = target.alias("held").join(touched, same, "left_semi").select(*incoming.columns)
     merged = upsert(affected, incoming, keys, update).checkpoint()
     publish(merged, path, mode="overwrite", partition_by=partition_by, only_touched=True)

@@ -16,22 +16,6 @@ from ordermart.operators.ranking import first_with_ntile, ntile_scores
 # Tier names by quartile.
 CLV_TIERS = ("Champion", "Loyal", "At-Risk", "Dormant")
 
-# Segment rules in order, the first that holds wins. Each gives
-# the least and greatest recency, frequency and monetary score.
-RFM_RULES = (
-    ("Champions", (4, 5), (4, 5), (4, 5)),
-    ("Loyal Customers", (3, 5), (3, 5), (3, 5)),
-    ("New Customers", (4, 5), (1, 2), (1, 2)),
-    ("Potential Loyalists", (3, 5), (3, 5), (2, 5)),
-    ("Recent Customers", (4, 5), (4, 5), (1, 2)),
-    ("At-Risk Customers", (1, 2), (4, 5), (4, 5)),
-    ("About to Sleep", (1, 2), (3, 5), (3, 5)),
-    ("Lost", (1, 2), (1, 2), (1, 2)),
-    ("Can't Lose Them", (3, 5), (1, 2), (3, 5)),
-)
-RFM_OTHERS = "Others"
-
-
 def _buyers(customers: DataFrame, orders: DataFrame) -> DataFrame:
     """Delivered totals per known customer, one narrow row each.
 
@@ -69,10 +53,9 @@ def customer_lifetime_value(
 ) -> DataFrame:
     """Customers by lifetime value with quartile and tier; those without a delivered order are left out."""
     by_value = [F.col("net_cents").desc_nulls_first(), F.col("customer_id").asc()]
-    # The report's length bounds the broadcast.
     best = first_with_ntile(_buyers(customers, orders), len(CLV_TIERS), by_value, "clv_quartile", limit)
     return (
-        _named(customers).join(F.broadcast(best), "customer_id")
+        _named(customers).join(best, "customer_id")
         .orderBy(*by_value)
         .select(
             *_clv_columns(),
@@ -88,7 +71,7 @@ def clv_top(customers: DataFrame, orders: DataFrame, limit: int = 20) -> DataFra
     """Best customers by lifetime value, without tiers."""
     by_value = [F.col("net_cents").desc_nulls_last(), F.col("customer_id").asc()]
     best = _buyers(customers, orders).orderBy(*by_value).limit(limit)
-    return _named(customers).join(F.broadcast(best), "customer_id").orderBy(*by_value).select(*_clv_columns())
+    return _named(customers).join(best, "customer_id").orderBy(*by_value).select(*_clv_columns())
 
 
 def _scored(customers: DataFrame, orders: DataFrame, as_of: str | dt.date) -> DataFrame:
@@ -99,6 +82,7 @@ def _scored(customers: DataFrame, orders: DataFrame, as_of: str | dt.date) -> Da
         "customer_id",
         {"r_score": -recency, "f_score": F.col("n_orders"), "m_score": F.col("net_cents")},
         tiles=5,
+        most_rows=customers.count(),  # buyers are customers; Parquet footers tell their number
     )
     return scored.select(
         "customer_id",
@@ -109,19 +93,27 @@ def _scored(customers: DataFrame, orders: DataFrame, as_of: str | dt.date) -> Da
     )
 
 
-def _rfm_label() -> Column:
-    """The rules as one SQL CASE over the three scores."""
-    whens = []
-    for label, *spans in RFM_RULES:
-        tests = [f"{s} BETWEEN {low} AND {high}" for s, (low, high) in zip(("r_score", "f_score", "m_score"), spans)]
-        quoted = label.replace("'", "''")
-        whens.append(f"WHEN {' AND '.join(tests)} THEN '{quoted}'")
-    return F.expr(f"CASE {' '.join(whens)} ELSE '{RFM_OTHERS}' END")
+def rfm_label() -> Column:
+    """Segment of the three scores; the first condition that holds wins."""
+    r, f, m = F.col("r_score"), F.col("f_score"), F.col("m_score")
+    # The thresholds and the names of the segments.
+    return (
+        F.when((r >= 4) & (f >= 4) & (m >= 4), "Champions")
+        .when((r >= 3) & (f >= 3) & (m >= 3), "Loyal Customers")
+        .when((r >= 4) & (f <= 2) & (m <= 2), "New Customers")
+        .when((r >= 3) & (f >= 3) & (m >= 2), "Potential Loyalists")
+        .when((r >= 4) & (f >= 4) & (m <= 2), "Recent Customers")
+        .when((r <= 2) & (f >= 4) & (m >= 4), "At-Risk Customers")
+        .when((r <= 2) & (f >= 3) & (m >= 3), "About to Sleep")
+        .when((r <= 2) & (f <= 2) & (m <= 2), "Lost")
+        .when((r >= 3) & (f <= 2) & (m >= 3), "Can't Lose Them")
+        .otherwise("Others")
+    )
 
 
 def _segmented(customers: DataFrame, orders: DataFrame, as_of: str | dt.date) -> DataFrame:
     return _scored(customers, orders, as_of).withColumns(
-        {"rfm_total": F.expr("r_score + f_score + m_score"), "rfm_segment": _rfm_label()}
+        {"rfm_total": F.expr("r_score + f_score + m_score"), "rfm_segment": rfm_label()}
     )
 
 

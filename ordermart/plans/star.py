@@ -1,8 +1,13 @@
-"""Builders of the five dimensions and two facts."""
+"""Builders of the five dimensions and two facts.
+
+Of several rows of a key each builder keeps the first by ``order``; the readers
+add the place in the input as ``INGEST``, which makes "first" the first in the file.
+"""
 
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,6 +18,8 @@ from ordermart.functions.exact import MONEY, cents, money
 from ordermart.functions.text import clean_email, clean_name, strip
 from ordermart.operators.dedup import keep_first
 
+Order = Sequence[str] | None
+
 # Band edges and labels, the reference day, the loyalty limit.
 RATING_BANDS = Bands((0, 2.5, 3.5, 4.2, 5), ("Poor", "Average", "Good", "Excellent"))
 PRICE_BANDS = Bands((0, 100, 200, 350, float("inf")), ("Budget", "Affordable", "Mid-Range", "Premium"))
@@ -24,27 +31,27 @@ TIME_OF_DAY = Bands(
 )
 AS_OF = "2024-12-31"
 LOYAL_DAYS = 365
-
+# Outcome of a payment by the status of its order.
 PAYMENT_STATUS = {"Delivered": "Success", "Cancelled": "Refunded", "Refunded": "Refunded"}
 MONEY_COLUMNS = ("gross_total", "discount_amount", "delivery_fee", "net_total")
 
 
 def customer_segment(is_premium, tenure_days):
-    """Premium or regular, loyal from one year of tenure on."""
+    """Premium or regular, loyal from one year of tenure on; null where either is not known."""
     loyal = tenure_days >= LOYAL_DAYS
     return labelled(
         [
             (is_premium & loyal, "Premium-Loyal"),
             (is_premium & ~loyal, "Premium-New"),
             (~is_premium & loyal, "Regular-Loyal"),
-        ],
-        default="Regular-New",
+            (~is_premium & ~loyal, "Regular-New"),
+        ]
     )
 
 
-def customer_dim(customers: DataFrame, as_of: str | dt.date = AS_OF) -> DataFrame:
+def customer_dim(customers: DataFrame, as_of: str | dt.date = AS_OF, order: Order = None) -> DataFrame:
     registered = as_date(F.col("registration_date"))
-    unique = keep_first(customers, "customer_id")
+    unique = keep_first(customers, "customer_id", order)
     conformed = unique.select(
         "customer_id",
         clean_name(F.col("full_name")).alias("full_name"),
@@ -60,8 +67,8 @@ def customer_dim(customers: DataFrame, as_of: str | dt.date = AS_OF) -> DataFram
     return conformed.withColumn("customer_segment", customer_segment(F.col("is_premium"), F.col("tenure_days")))
 
 
-def restaurant_dim(restaurants: DataFrame, bands: Bands = RATING_BANDS) -> DataFrame:
-    return keep_first(restaurants, "restaurant_id").select(
+def restaurant_dim(restaurants: DataFrame, bands: Bands = RATING_BANDS, order: Order = None) -> DataFrame:
+    return keep_first(restaurants, "restaurant_id", order).select(
         "restaurant_id",
         clean_name(F.col("name")).alias("name"),
         strip(F.col("city")).alias("city"),
@@ -75,8 +82,8 @@ def restaurant_dim(restaurants: DataFrame, bands: Bands = RATING_BANDS) -> DataF
     )
 
 
-def menu_item_dim(menu_items: DataFrame, bands: Bands = PRICE_BANDS) -> DataFrame:
-    return keep_first(menu_items, "item_id").select(
+def menu_item_dim(menu_items: DataFrame, bands: Bands = PRICE_BANDS, order: Order = None) -> DataFrame:
+    return keep_first(menu_items, "item_id", order).select(
         "item_id",
         "restaurant_id",
         "item_name",
@@ -89,9 +96,11 @@ def menu_item_dim(menu_items: DataFrame, bands: Bands = PRICE_BANDS) -> DataFram
     )
 
 
-def agent_dim(agents: DataFrame, as_of: str | dt.date = AS_OF, bands: Bands = AGENT_TIERS) -> DataFrame:
+def agent_dim(
+    agents: DataFrame, as_of: str | dt.date = AS_OF, bands: Bands = AGENT_TIERS, order: Order = None
+) -> DataFrame:
     joined = as_date(F.col("joined_date"))
-    return keep_first(agents, "agent_id").select(
+    return keep_first(agents, "agent_id", order).select(
         "agent_id",
         clean_name(F.col("name")).alias("name"),
         "city",
@@ -103,19 +112,19 @@ def agent_dim(agents: DataFrame, as_of: str | dt.date = AS_OF, bands: Bands = AG
     )
 
 
-def order_fact(orders: DataFrame, payments: DataFrame, calendar: DataFrame) -> DataFrame:
+def order_fact(orders: DataFrame, payments: DataFrame, calendar: DataFrame, order: Order = None) -> DataFrame:
     """One row per order, with its payment and its calendar key.
 
     Both sides are unique on ``order_id`` when they meet, so the join has no
     heavy key. The calendar has one row per day, hence the broadcast; a day
     outside it leaves ``date_id`` null.
     """
-    paid = keep_first(payments, "order_id").select("order_id", "method", *MONEY_COLUMNS)
+    paid = keep_first(payments, "order_id", order).select("order_id", "method", *MONEY_COLUMNS)
     days = calendar.select("date_id", F.col("full_date").alias("_day"))
     placed = F.to_timestamp_ntz(F.col("order_timestamp"))
     hour = F.col("order_hour")
     joined = (
-        keep_first(orders, "order_id")
+        keep_first(orders, "order_id", order)
         .withColumn("order_timestamp", placed)
         .join(paid, "order_id", "left")
         .withColumns({"_day": F.to_date("order_timestamp"), "order_hour": F.hour("order_timestamp")})
@@ -140,7 +149,7 @@ def order_fact(orders: DataFrame, payments: DataFrame, calendar: DataFrame) -> D
     )
 
 
-def order_item_fact(order_items: DataFrame, fact_orders: DataFrame) -> DataFrame:
+def order_item_fact(order_items: DataFrame, fact_orders: DataFrame, order: Order = None) -> DataFrame:
     """One row per line item, with the day and customer of its order.
 
     An order with very many lines makes a heavy join key on the left side only;
@@ -148,7 +157,7 @@ def order_item_fact(order_items: DataFrame, fact_orders: DataFrame) -> DataFrame
     """
     owner = fact_orders.select("order_id", "date_id", "customer_id")
     return (
-        keep_first(order_items, "order_item_id")
+        keep_first(order_items, "order_item_id", order)
         .join(owner, "order_id", "left")
         .select(
             "order_item_id", "order_id", "item_id", "customer_id", "date_id",

@@ -65,7 +65,13 @@ def portable(frame: DataFrame) -> DataFrame:
 # ---- cleaning --------------------------------------------------------------
 
 def _dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return keep_first(dv.raw_sources(spark, sf_dir)["order_items"], "order_item_id")
+    """The lines by (order, line number), which several distinct lines share."""
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    number = (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("line_number")
+    shared = lines.select(dv.line_id(lines).alias("order_item_id"), number)
+    items = dv.raw_sources(spark, sf_dir)["order_items"].join(shared, "order_item_id")
+    order = ["order_id", "item_id", "quantity", "unit_price", "line_total", "order_item_id"]
+    return keep_first(items, "line_number", order).select("line_number", *order[:-1])
 
 
 def _normalize(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -37,15 +37,27 @@ _fallback: dict[str, str] = {}
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local master may fall back to a folder of this machine.
+    Only a local master may name, or fall back to, a folder of this machine.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
     context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if context.master.startswith("local"):
+        if named:
+            return named.rstrip("/")
+        if context.applicationId not in _fallback:
+            _fallback[context.applicationId] = tempfile.mkdtemp(prefix="ordermart-")
+        return _fallback[context.applicationId]
+    if not named:
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    return _fallback.setdefault(context.applicationId, tempfile.mkdtemp(prefix="ordermart-"))
+    scheme = named.partition("://")[0] if "://" in named else named.partition(":/")[0] if ":/" in named else ""
+    if scheme == "file" or not scheme and _default_scheme(spark) == "file":
+        raise ValueError(f"spark.checkpoint.dir is {named}, a folder of one machine; name one shared by all executors")
+    return named.rstrip("/")
+
+
+def _default_scheme(spark: SparkSession) -> str:
+    """File system of paths without a scheme."""
+    return spark.conf.get("spark.hadoop.fs.defaultFS", "file:///").partition(":")[0]
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
@@ -57,3 +69,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared folder that no earlier run has used."""
     return f"{shared_dir(spark)}/ordermart-{uuid.uuid4().hex}/{name}"
+
+
+def remove_path(spark: SparkSession, path: str) -> bool:
+    """Delete a folder with all it holds, in whatever store it lies; False if there was none."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(conf).delete(target, True)
+
+
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the entries of a folder; empty if it does not exist."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    store = target.getFileSystem(conf)
+    return sorted(s.getPath().getName() for s in store.listStatus(target)) if store.exists(target) else []
