@@ -17,7 +17,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(frame: DataFrame, name: str) -> DataFrame:
+def stored(frame: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Write ``frame`` to the shared folder and read it back.
 
     Cuts the lineage in a way that survives lost executors, and gives Spark the
@@ -28,7 +28,7 @@ def stored(frame: DataFrame, name: str) -> DataFrame:
     before = spark.conf.get(_CLEANUP)
     spark.conf.set(_CLEANUP, "true")  # nothing reads the shuffles of a table once it is written
     try:
-        frame.write.parquet(path)
+        frame.write.parquet(path, compression=compression)
     finally:
         spark.conf.set(_CLEANUP, before)
     return spark.read.schema(frame.schema).parquet(path)

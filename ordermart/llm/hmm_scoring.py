@@ -317,7 +317,7 @@ def score_documents(
         F.col(id_col).cast("string").alias("id"), F.coalesce(held_out, F.lit(False)).alias("held_out"),
         F.col(text_col).alias("text"),
     )
-    blocks = stored(pack_blocks(source, block_chars), "blocks")
+    blocks = stored(pack_blocks(source, block_chars), "blocks", compression="zstd")
 
     own = blocks.select("block", F.posexplode("words").alias("at", "word"), "trained").select(
         "block", "at", "word", F.get("trained", F.col("at") + 1).alias("n")
@@ -338,9 +338,10 @@ def score_documents(
     for _ in range(iterations):
         model = baum_welch_step(blocks, model, classes)
 
-    looked_up = (
+    looked_up = stored(
         own.select("block", "at", "word").join(counts, "word").groupBy("block")
-        .agg(F.collect_list(F.struct("at", "c")).alias("known"))
+        .agg(F.collect_list(F.struct("at", "c")).alias("known")),
+        "looked_up", compression="zstd",
     )
     none = F.array().cast("array<struct<at:int,c:bigint>>")
     ready = blocks.drop("trained").join(looked_up, "block", "left").select(
