@@ -31,7 +31,7 @@ from ordermart.llm.common import LOWER, UPPER, Numbering, stored
 STATES, CLASSES, ITERATIONS = 4, 4096, 4
 #: Characters of text after which a block is closed; a longer text is a block of its own.
 BLOCK_CHARS = 1 << 21
-_SEGMENT, _RESCALE, _PRIOR, _JOINED = 256, 8, 0.5, 1_000_000
+_SEGMENT, _RESCALE, _PRIOR, _JOINED = 256, 8, 0.5, 400_000
 _ASCII_LOWER = bytes.maketrans(UPPER.encode(), LOWER.encode())
 _BLOCK = (
     "block long, ids array<string>, held_out array<boolean>, sizes array<int>, words array<string>, "
