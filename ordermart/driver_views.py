@@ -18,6 +18,7 @@ from ordermart.operators.dedup import keep_first
 from ordermart.plans.calendar import calendar_of
 from ordermart.plans.job import load_star
 from ordermart.plans.star import derive_payments
+from ordermart.schemas import SOURCES
 from ordermart.session import scratch_path
 
 # Fixed values of the mapping; the SQL texts in oracle.py repeat them.
@@ -154,17 +155,27 @@ def raw_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         _amount(F.lit(2000) + o % 4001).alias("delivery_fee"),
         _pick(METHODS, o % 5).alias("method"),
     )
+    items = _declared("order_items", order_items)
     return {
-        "customers": customers,
-        "restaurants": restaurants,
-        "menu_items": menu_items,
-        "delivery_agents": agents,
-        "orders": orders_full.drop("delivery_fee", "method"),
-        "order_items": order_items,
-        "payments": derive_payments(orders_full, keep_first(order_items, "order_item_id")),
+        "customers": _declared("customers", customers),
+        "restaurants": _declared("restaurants", restaurants),
+        "menu_items": _declared("menu_items", menu_items),
+        "delivery_agents": _declared("delivery_agents", agents),
+        "orders": _declared("orders", orders_full.drop("delivery_fee", "method")),
+        "order_items": items,
+        "payments": derive_payments(_text_ids(orders_full), keep_first(items, "order_item_id")),
     }
 
 
+def _text_ids(frame: DataFrame) -> DataFrame:
+    return frame.withColumns({c: F.col(c).cast("string") for c in frame.columns if c.endswith("_id")})
+
+
+def _declared(name: str, frame: DataFrame) -> DataFrame:
+    """Identifiers as text, as the sources declare them."""
+    return _text_ids(frame).select(*SOURCES[name].columns)
+
+
 def calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All days of the orders, whose hour is added to a day of its own."""
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")

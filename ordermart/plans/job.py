@@ -17,11 +17,12 @@ from ordermart.plans import forecast as fc
 from ordermart.plans import marts, quality
 from ordermart.plans.calendar import HOLIDAYS, PEAK_MONTHS, calendar_dim
 from ordermart.plans.star import (
-    AS_OF, PRICE_BANDS, agent_dim, customer_dim, menu_item_dim, order_fact, order_item_fact, restaurant_dim,
+    AS_OF, PRICE_BANDS, Order, agent_dim, customer_dim, menu_item_dim, order_fact, order_item_fact, restaurant_dim,
 )
-from ordermart.schemas import FORECAST, METRICS, MINIMUM_ROWS, MONTHLY_MART, STAR
-from ordermart.sources.readers import read_present
-from ordermart.sources.writers import publish
+from ordermart.schemas import FINDINGS, FORECAST, METRICS, MINIMUM_ROWS, MONTHLY_MART, STAR
+from ordermart.session import child_names, remove_path
+from ordermart.sources.readers import INGEST, read_present
+from ordermart.sources.writers import conform, publish, publish_version
 
 FACT_PARTITIONS = ("order_year", "order_month")
 
@@ -36,8 +37,8 @@ class Settings:
     warehouse: str
     source_format: str = "csv"
     multi_line: bool = False
-    calendar_start: str = "2023-01-01"
-    calendar_end: str = "2024-12-31"
+    calendar_start: str | None = None
+    calendar_end: str | None = None
     as_of: str = AS_OF
     horizon: int = 30
     run_at: dt.datetime = field(default_factory=dt.datetime.now)
@@ -45,6 +46,7 @@ class Settings:
     holidays: tuple[str, ...] = HOLIDAYS
     peak_months: tuple[int, ...] = PEAK_MONTHS
     price_bands: Bands = PRICE_BANDS
+    keep_runs: int = 3
 
     @property
     def home(self) -> str:
@@ -67,36 +69,40 @@ def load_star(
     path: str,
     as_of: str | dt.date = AS_OF,
     price_bands: Bands = PRICE_BANDS,
+    order: Order = None,
 ) -> dict[str, DataFrame]:
     """Build and write all seven tables under ``path``; returns them as read back.
 
+    Tables carry their declared types and comments; facts are sorted by day
+    inside each file. ``order`` says which of several rows of a key is kept.
+
     The line-item fact is built on the order fact already written, so the joins
     behind the order fact run once.
     """
     spark = calendar.sparkSession
 
     def store(name: str, frame: DataFrame) -> DataFrame:
-        target = f"{path}/{name}"
+        target, frame = f"{path}/{name}", conform(frame, STAR[name])
         if name.startswith("fact_"):
             frame = _by_month(frame)
-            publish(frame, target, partition_by=FACT_PARTITIONS)
+            publish(frame, target, partition_by=FACT_PARTITIONS, sort_by=("date_id",))
         else:
             publish(frame, target)
         return spark.read.schema(frame.schema).parquet(target).select(*STAR[name].columns)
 
     first = {
-        "fact_orders": order_fact(sources["orders"], sources["payments"], calendar),
+        "fact_orders": order_fact(sources["orders"], sources["payments"], calendar, order),
         "dim_date": calendar,
-        "dim_customer": customer_dim(sources["customers"], as_of),
-        "dim_restaurant": restaurant_dim(sources["restaurants"]),
-        "dim_menu_item": menu_item_dim(sources["menu_items"], price_bands),
-        "dim_delivery_agent": agent_dim(sources["delivery_agents"], as_of),
+        "dim_customer": customer_dim(sources["customers"], as_of, order),
+        "dim_restaurant": restaurant_dim(sources["restaurants"], order=order),
+        "dim_menu_item": menu_item_dim(sources["menu_items"], price_bands, order),
+        "dim_delivery_agent": agent_dim(sources["delivery_agents"], as_of, order=order),
     }
     # These writes do not depend on each other, so small ones fill the gaps of the large one.
     with ThreadPoolExecutor(len(first)) as pool:
         pending = {name: pool.submit(inheritable_thread_target(spark)(store), name, frame) for name, frame in first.items()}
         written = {name: done.result() for name, done in pending.items()}
-    items = order_item_fact(sources["order_items"], written["fact_orders"])
+    items = order_item_fact(sources["order_items"], written["fact_orders"], order)
     written["fact_order_items"] = store("fact_order_items", items)
     return {name: written[name] for name in STAR}
 
@@ -119,7 +125,7 @@ def read_fact_range(spark: SparkSession, path: str, name: str, first_key: int, l
 
 
 def audit_star(star: Mapping[str, DataFrame]) -> None:
-    """Refuse a star with repeated keys. Orphans and nulls are findings, not failures."""
+    """Refuse a star with repeated keys. Orphans and nulls are findings (``quality.findings``), not failures."""
     broken = quality.key_audit(star).filter(F.col("repeated_keys") > 0).orderBy("table_name").collect()
     if broken:
         raise AuditFailed("; ".join(f"{r.table_name}({r.key_columns}): {r.repeated_keys} repeated" for r in broken))
@@ -132,28 +138,47 @@ def current_star(spark: SparkSession, warehouse: str) -> dict[str, DataFrame]:
     return read_star(spark, f"{warehouse.rstrip('/')}/star/{last.run_id}")
 
 
+def _order_days(orders: DataFrame, settings: Settings) -> tuple[str, str]:
+    """First and last day of the calendar: as set, else those of the orders."""
+    if settings.calendar_start and settings.calendar_end:
+        return settings.calendar_start, settings.calendar_end
+    day = F.to_date(F.to_timestamp_ntz(F.col("order_timestamp")))
+    first, last = orders.agg(F.min(day), F.max(day)).first()
+    if first is None:
+        raise ValueError("no order has a day; set calendar_start and calendar_end")
+    return settings.calendar_start or str(first), settings.calendar_end or str(last)
+
+
 def run_load(spark: SparkSession, settings: Settings) -> dict[str, DataFrame]:
     """Gate the sources, load the star, audit it and make it current.
 
     A star is written to a folder of its own and becomes current by one row
     appended to ``runs``, so readers never see a half-written table. A CSV row
-    that does not fit its schema fails the run.
+    that does not fit its schema fails the run. Of several rows of a key the first
+    in the files is kept. What the profiles and constraints find is written per
+    run; the last ``keep_runs`` stars and findings stay.
     """
     sources = read_present(
-        spark, settings.source_root, settings.source_format, strict=True, multi_line=settings.multi_line
+        spark, settings.source_root, settings.source_format, strict=True, multi_line=settings.multi_line, ingest=True
     )
     quality.require_gate(quality.source_gate(spark, sources, settings.minimums))
-    calendar = calendar_dim(
-        spark, settings.calendar_start, settings.calendar_end, settings.holidays, settings.peak_months
-    )
+    first, last = _order_days(sources["orders"], settings)
+    calendar = calendar_dim(spark, first, last, settings.holidays, settings.peak_months)
     star = load_star(
-        sources, calendar, f"{settings.home}/star/{settings.run_id}", settings.as_of, settings.price_bands
+        sources, calendar, f"{settings.home}/star/{settings.run_id}", settings.as_of, settings.price_bands,
+        order=[INGEST],
     )
     audit_star(star)
+    declared = {name: frame.drop(INGEST) for name, frame in sources.items()}
+    publish_version(
+        quality.findings(declared, star), f"{settings.home}/{FINDINGS.name}", settings.run_id, keep=settings.keep_runs
+    )
     run = spark.range(1).select(
         F.lit(settings.run_id).alias("run_id"), as_timestamp(settings.run_at).alias("run_at")
     )
     publish(run, f"{settings.home}/runs", mode="append")
+    for old in child_names(spark, f"{settings.home}/star")[:-settings.keep_runs]:
+        remove_path(spark, f"{settings.home}/star/{old}")
     return star
 
 
@@ -161,18 +186,23 @@ def run_mart(spark: SparkSession, settings: Settings) -> None:
     """Replace the monthly mart from the current star."""
     star = current_star(spark, settings.home)
     marts.refresh_mart(
-        f"{settings.home}/{MONTHLY_MART.name}", star["fact_orders"], star["dim_date"], star["dim_restaurant"]
+        f"{settings.home}/{MONTHLY_MART.name}", settings.run_id,
+        star["fact_orders"], star["dim_date"], star["dim_restaurant"],
     )
 
 
 def run_forecast(spark: SparkSession, settings: Settings) -> None:
-    """Replace the forecast from the current star and append one row of error measures."""
+    """Write the forecast of the current star as a new version, and its error measures under the run's name.
+
+    A retry of a run replaces what the run has written, so nothing is counted twice.
+    """
     star = current_star(spark, settings.home)
     series = fc.daily_series(star["fact_orders"], star["dim_date"])
     predicted = fc.fit_and_predict(series, settings.horizon)
     metrics = fc.error_metrics(fc.observed(predicted), predicted)
-    publish(fc.stamped(metrics, settings.run_at), f"{settings.home}/{METRICS.name}", mode="append")
-    publish(fc.future_only(predicted, settings.run_at), f"{settings.home}/{FORECAST.name}")
+    forecast = conform(fc.future_only(predicted, settings.run_at), FORECAST)
+    publish_version(forecast, f"{settings.home}/{FORECAST.name}", settings.run_id, keep=settings.keep_runs)
+    publish(fc.stamped(metrics, settings.run_at), f"{settings.home}/{METRICS.name}/run={settings.run_id}")
 
 
 def run_daily(spark: SparkSession, settings: Settings) -> dict[str, DataFrame]:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ordermart.functions.exact import cents, mean_money, money, rounded_ratio
 from ordermart.operators.upsert import upsert, upsert_path
 from ordermart.schemas import MONTHLY_MART
-from ordermart.sources.writers import publish
+from ordermart.sources.writers import conform, publish_version
 
 KEYS = MONTHLY_MART.key
 PARTITIONS = ("year", "month")
@@ -68,9 +68,12 @@ def merge_mart(target: DataFrame, incoming: DataFrame) -> DataFrame:
     return upsert(target, incoming, KEYS, UPDATED)
 
 
-def refresh_mart(path: str, orders: DataFrame, calendar: DataFrame, restaurants: DataFrame) -> None:
-    publish(mart_for_refresh(orders, calendar, restaurants), path, partition_by=PARTITIONS)
+def refresh_mart(root: str, version: str, orders: DataFrame, calendar: DataFrame, restaurants: DataFrame) -> str:
+    """Write the mart as a new version under ``root``; returns the path of the version."""
+    mart = conform(mart_for_refresh(orders, calendar, restaurants), MONTHLY_MART)
+    return publish_version(mart, root, version, partition_by=PARTITIONS)
 
 
 def upsert_mart(path: str, orders: DataFrame, calendar: DataFrame, restaurants: DataFrame) -> None:
-    upsert_path(path, mart_for_upsert(orders, calendar, restaurants), KEYS, UPDATED, PARTITIONS)
+    mart = conform(mart_for_upsert(orders, calendar, restaurants), MONTHLY_MART)
+    upsert_path(path, mart, KEYS, UPDATED, PARTITIONS)

@@ -72,12 +72,19 @@ def null_profile(name: str, frame: DataFrame) -> DataFrame:
 
 
 def duplicate_profile(name: str, frame: DataFrame) -> DataFrame:
-    """Rows that repeat an earlier row in full; copies collapse before the shuffle."""
-    copies = frame.groupBy(*frame.columns).agg(F.count(F.lit(1)).alias("_copies"))
-    return copies.agg(
-        F.coalesce(F.sum("_copies"), F.lit(0)).alias("row_count"),
-        F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).alias("duplicate_rows"),
-    ).select(F.lit(name).alias("table_name"), "row_count", "duplicate_rows")
+    """Rows that repeat an earlier row in full.
+
+    Rows are counted by a hash first; whole rows are shuffled only where a hash
+    repeats, and their own comparison decides.
+    """
+    hashed = frame.withColumn("_hash", F.xxhash64(*frame.columns))
+    counts = hashed.groupBy("_hash").agg(F.count(F.lit(1)).alias("_rows"))
+    suspects = hashed.join(counts.filter(F.col("_rows") > 1).select("_hash"), "_hash", "left_semi")
+    copies = suspects.groupBy(*frame.columns).agg((F.count(F.lit(1)) - 1).alias("_extra"))
+    return counts.agg(F.coalesce(F.sum("_rows"), F.lit(0)).alias("row_count")).select(
+        F.lit(name).alias("table_name"), "row_count",
+        copies.agg(F.coalesce(F.sum("_extra"), F.lit(0))).scalar().alias("duplicate_rows"),
+    )
 
 
 def null_profiles(frames: Mapping[str, DataFrame]) -> DataFrame:
@@ -183,6 +190,32 @@ def domain_audit(frames: Mapping[str, DataFrame], tables: Mapping[str, Table] =
     return _union(audit(tables[n]) for n in frames if rules(tables[n]))
 
 
+def findings(sources: Mapping[str, DataFrame], star: Mapping[str, DataFrame], tables: Mapping[str, Table] = STAR) -> DataFrame:
+    """Everything the profiles of the sources and the constraints of the star have found.
+
+    One row per finding: ``finding``, ``table_name``, ``subject`` and ``amount``,
+    a percentage for nulls of the sources and a number of rows otherwise. Orders
+    outside the calendar are orphans of ``date_id``.
+    """
+
+    def found(kind: str, frame: DataFrame, subject: Column, amount: str) -> DataFrame:
+        return frame.select(
+            F.lit(kind).alias("finding"), "table_name", subject.alias("subject"),
+            F.col(amount).cast("double").alias("amount"),
+        ).filter(F.col("amount") > 0)
+
+    orders = star["fact_orders"]
+    flags = flag_mismatches(orders).agg(F.count(F.lit(1)).alias("violations")).withColumn("table_name", F.lit("fact_orders"))
+    return _union([
+        found("source nulls", null_profiles(sources), F.col("column_name"), "null_pct"),
+        found("source duplicates", duplicate_profiles(sources), F.lit("whole row"), "duplicate_rows"),
+        found("not null", not_null_audit(star, tables), F.col("column_name"), "null_rows"),
+        found("foreign key", foreign_key_audit(star, tables), F.col("column_name"), "orphan_rows"),
+        found("domain", domain_audit(star, tables), F.concat_ws(" ", "column_name", "rule"), "violations"),
+        found("flag", flags, F.lit("is_delivered"), "violations"),
+    ])
+
+
 def row_counts(frames: Mapping[str, DataFrame]) -> DataFrame:
     return _union(
         frame.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")

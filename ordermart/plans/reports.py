@@ -22,8 +22,8 @@ def _rows() -> Column:
     return F.count(F.lit(1))
 
 
-def _delivered() -> Column:
-    return same_text(F.col("status"), "delivered")
+def _delivered(orders: DataFrame) -> DataFrame:
+    return orders.filter(same_text(F.col("status"), "delivered"))
 
 
 def _sums(*names: str) -> list[Column]:
@@ -112,7 +112,7 @@ def monthly_trend_delivered(orders: DataFrame, calendar: DataFrame) -> DataFrame
 
 def yearly_revenue(orders: DataFrame, calendar: DataFrame) -> DataFrame:
     return (
-        _by_day(orders.filter(_delivered()))
+        _by_day(_delivered(orders))
         .join(calendar.select("date_id", "year"), "date_id")
         .groupBy("year")
         .agg(money(F.sum("net_cents")).alias("revenue"))
@@ -218,7 +218,7 @@ def cancellation_top(orders: DataFrame, restaurants: DataFrame, limit: int = 15)
 def hourly_demand(orders: DataFrame, calendar: DataFrame) -> DataFrame:
     """Delivered orders and revenue by weekday name and hour."""
     return (
-        orders.filter(_delivered())
+        _delivered(orders)
         .groupBy("date_id", "order_hour")
         .agg(_rows().alias("orders"), F.sum(cents("net_total")).alias("net_cents"))
         .join(calendar.select("date_id", "day_name"), "date_id")
@@ -318,7 +318,7 @@ def _platforms(orders: DataFrame) -> DataFrame:
 
 
 def platform_split(orders: DataFrame) -> DataFrame:
-    return _platforms(orders.filter(_delivered()))
+    return _platforms(_delivered(orders))
 
 
 def platform_split_by_flag(orders: DataFrame) -> DataFrame:
@@ -330,7 +330,8 @@ def kpi_strip(orders: DataFrame) -> DataFrame:
     done = F.col("is_delivered") == 1
     net = F.when(done, cents("net_total"))
     minutes = F.when(done, F.col("delivery_time_min"))
-    totals = orders.agg(
+    # Summed per customer, whose number is then a count of rows; merchants are counted in a narrow pass of their own.
+    per_customer = orders.groupBy("customer_id").agg(
         _rows().alias("total_orders"),
         F.sum(F.when(done, 1).otherwise(0)).alias("delivered"),
         F.sum(F.when(F.col("is_cancelled") == 1, 1).otherwise(0)).alias("cancelled"),
@@ -338,10 +339,15 @@ def kpi_strip(orders: DataFrame) -> DataFrame:
         F.count(net).alias("priced"),
         F.sum(minutes).cast("bigint").alias("minutes"),
         F.count(minutes).alias("timed"),
-        F.countDistinct("customer_id").alias("unique_customers"),
-        F.countDistinct("restaurant_id").alias("unique_restaurants"),
     )
-    return totals.select(
+    summed = ("delivered", "cancelled", "net_cents", "minutes")
+    totals = per_customer.agg(
+        F.count("customer_id").alias("unique_customers"),
+        *[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in ("total_orders", "priced", "timed")],
+        *[F.sum(n).cast("bigint").alias(n) for n in summed],
+    )
+    shops = orders.groupBy("restaurant_id").agg(_rows()).agg(F.count("restaurant_id")).scalar()
+    return totals.withColumn("unique_restaurants", shops).select(
         "total_orders", "delivered", "cancelled",
         money("net_cents").alias("net_revenue"),
         mean_money(F.col("net_cents"), F.col("priced")).alias("avg_order_value"),

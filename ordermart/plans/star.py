@@ -37,8 +37,8 @@ MONEY_COLUMNS = ("gross_total", "discount_amount", "delivery_fee", "net_total")
 
 
 def customer_segment(is_premium, tenure_days):
-    """Premium or regular, loyal from one year of tenure on; null where either is not known."""
-    loyal = tenure_days >= LOYAL_DAYS
+    """Premium or regular, loyal from one year of tenure on; unknown tenure is new, an unknown premium flag gives null."""
+    loyal = F.coalesce(tenure_days >= LOYAL_DAYS, F.lit(False))
     return labelled(
         [
             (is_premium & loyal, "Premium-Loyal"),

@@ -6,7 +6,9 @@ the star that is loaded once per application (see ``driver_views.star``).
 
 from __future__ import annotations
 
+import dataclasses
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,13 +25,13 @@ from ordermart.plans import forecast as fc
 from ordermart.plans import marts, quality, reports, segments
 from ordermart.plans.job import read_fact_range
 from ordermart.plans.star import (
-    AGENT_TIERS, RATING_BANDS, TIME_OF_DAY, agent_dim, customer_dim, menu_item_dim, order_fact, order_item_fact,
-    restaurant_dim,
+    AGENT_TIERS, RATING_BANDS, TIME_OF_DAY, agent_dim, customer_dim, line_total, menu_item_dim, order_fact,
+    order_item_fact, restaurant_dim,
 )
-from ordermart.schemas import METRICS, MONTHLY_MART, SOURCES
+from ordermart.schemas import FINDINGS, METRICS, MONTHLY_MART, SOURCES
 from ordermart.session import scratch_path
 from ordermart.sources.readers import read_sources, run_sql
-from ordermart.sources.writers import publish
+from ordermart.sources.writers import create_if_absent, current_version, publish, publish_version, replace_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -212,20 +214,49 @@ def _csv_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _mart_refresh_written(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Refreshing twice leaves what refreshing once does."""
-    star, path = dv.star(spark, sf_dir), scratch_path(spark, MONTHLY_MART.name)
-    for _ in range(2):
-        marts.refresh_mart(path, star[ORDERS], star[DAYS], star[SHOPS])
-    return spark.read.parquet(path).select(*MONTHLY_MART.columns)
+    star, root = dv.star(spark, sf_dir), scratch_path(spark, MONTHLY_MART.name)
+    for version in ("1", "2"):
+        marts.refresh_mart(root, version, star[ORDERS], star[DAYS], star[SHOPS])
+    return current_version(spark, root).select(*MONTHLY_MART.columns)
 
 
 def _mart_upsert_written(spark: SparkSession, sf_dir: str) -> DataFrame:
-    star, path = dv.star(spark, sf_dir), scratch_path(spark, MONTHLY_MART.name)
+    star, root = dv.star(spark, sf_dir), scratch_path(spark, MONTHLY_MART.name)
     orders, days, shops = star[ORDERS], star[DAYS], star[SHOPS]
-    marts.refresh_mart(path, orders.filter(F.col("date_id") <= EARLIER_LOAD_END), days, shops)
+    path = marts.refresh_mart(root, "1", orders.filter(F.col("date_id") <= EARLIER_LOAD_END), days, shops)
     marts.upsert_mart(path, orders, days, shops)
     return spark.read.parquet(path).select(*MONTHLY_MART.columns)
 
 
+def _parquet_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw orders written as Parquet with a column too many, and read as a declared source."""
+    path = scratch_path(spark, "raw")
+    dv.raw_sources(spark, sf_dir)["orders"].withColumn("extra", F.lit(1)).write.parquet(f"{path}/orders.parquet")
+    return read_sources(spark, path, "parquet", {"orders": SOURCES["orders"]})["orders"]
+
+
+def _catalog_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mart in a catalog table, created if absent and replaced as a whole."""
+    star = dv.star(spark, sf_dir)
+    declared = dataclasses.replace(MONTHLY_MART, name=f"ordermart_mart_{uuid.uuid4().hex}")
+    create_if_absent(spark, declared, partition_by=marts.PARTITIONS)
+    for _ in range(2):
+        replace_table(marts.mart_for_refresh(star[ORDERS], star[DAYS], star[SHOPS]), declared, marts.PARTITIONS)
+    return spark.table(declared.name).select(*declared.columns)
+
+
+def _line_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = dv.raw_sources(spark, sf_dir)["order_items"]
+    return items.select("order_item_id", line_total(F.col("quantity"), F.col("unit_price")).alias("line_total"))
+
+
+def _load_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The findings of a load, written with it and read back."""
+    root = scratch_path(spark, FINDINGS.name)
+    publish_version(quality.findings(dv.raw_sources(spark, sf_dir), dv.star(spark, sf_dir)), root, "1")
+    return current_version(spark, root)
+
+
 def _metrics_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Error measures of the earlier and the whole series, appended run by run."""
     series, path = _series(spark, sf_dir), scratch_path(spark, METRICS.name)
@@ -307,6 +338,7 @@ _QUERIES: dict[str, Query] = {
     "menu_item_dim": _raw(lambda raw: menu_item_dim(raw["menu_items"], dv.PRICE_BANDS)),
     "agent_dim": _raw(lambda raw: agent_dim(raw["delivery_agents"], dv.AS_OF)),
     "calendar_dim": dv.calendar,
+    "line_totals": _line_totals,
     "payment_derivation": _raw(lambda raw: raw["payments"]),
     "order_fact": _order_fact,
     "order_item_fact": _order_item_fact,
@@ -347,6 +379,8 @@ _QUERIES: dict[str, Query] = {
     "csv_orders": _csv_orders,
     "fact_orders_written": lambda spark, sf_dir: dv.star(spark, sf_dir)[ORDERS],
     "fact_order_items_written": lambda spark, sf_dir: dv.star(spark, sf_dir)[ITEMS],
+    "parquet_orders": _parquet_orders,
+    "catalog_mart": _catalog_mart,
     "mart_refresh_written": _mart_refresh_written,
     "mart_upsert_written": _mart_upsert_written,
     "metrics_history_written": _metrics_history,
@@ -361,6 +395,7 @@ _QUERIES: dict[str, Query] = {
     "flag_consistency": _flag_consistency,
     "domain_audit": _star_audit(quality.domain_audit),
     "table_row_counts": _star_audit(quality.row_counts),
+    "load_findings": _load_findings,
     # forecast
     "daily_series": _series,
     "forecast_features": lambda spark, sf_dir: fc.model_frame(_series(spark, sf_dir)),

@@ -291,6 +291,12 @@ FORECAST = _declare("ml_order_forecast", "forecast_date", """
     upper_bound bigint
     created_at timestamp""")
 
+FINDINGS = _declare("load_findings", ("finding", "table_name", "subject"), """
+    finding string
+    table_name string
+    subject string
+    amount double""")
+
 METRICS = _declare("ml_model_metrics", "evaluated_at", """
     evaluated_at timestamp
     mape double

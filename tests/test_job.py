@@ -12,6 +12,7 @@ from ordermart.__main__ import main, settings_from
 from ordermart.plans import quality
 from ordermart.plans.job import AuditFailed, Settings, audit_star, current_star, run_daily
 from ordermart.schemas import SOURCES, STAR
+from ordermart.sources.writers import complete_versions, current_version
 
 SF = "/root/testdata/sf0.001"
 
@@ -30,7 +31,7 @@ def csv_root(spark, tmp_path_factory):
 
 def settings(csv_root, warehouse, **more):
     return Settings(
-        source_root=csv_root, warehouse=str(warehouse), calendar_start="1995-01-01", calendar_end="2001-07-31",
+        source_root=csv_root, warehouse=str(warehouse), calendar_start="1995-01-01", calendar_end="2001-08-01",
         as_of="2001-08-01", run_at=dt.datetime(2001, 8, 1, 2, 30),
         **{"minimums": {name: 1 for name in SOURCES}, "multi_line": True, **more},
     )
@@ -51,12 +52,12 @@ def test_daily_run(spark, csv_root, first_run):
     assert counts["fact_orders"] == raw["orders"].count()
     assert counts["fact_order_items"] == raw["order_items"].select("order_item_id").distinct().count()
 
-    mart = spark.read.parquet(f"{home}/agg_monthly_revenue")
+    mart = current_version(spark, f"{home}/agg_monthly_revenue")
     known = star["fact_orders"].join(star["dim_date"], "date_id").join(star["dim_restaurant"], "restaurant_id")
     assert mart.agg(F.sum("net_revenue")).first()[0] == known.agg(F.sum("net_total")).first()[0]
     assert mart.agg(F.sum("total_orders")).first()[0] == known.count()
 
-    future = spark.read.parquet(f"{home}/ml_order_forecast")
+    future = current_version(spark, f"{home}/ml_order_forecast")
     assert future.count() == 30 and future.agg(F.min("forecast_date")).first()[0] > dt.date(2001, 7, 1)
 
     mart_rows = mart.count()
@@ -64,8 +65,8 @@ def test_daily_run(spark, csv_root, first_run):
     # a second run replaces the forecast, appends metrics, and becomes current
     run_daily(spark, dataclasses.replace(conf, run_at=dt.datetime(2001, 8, 2, 2, 30)))
     assert spark.read.parquet(f"{home}/ml_model_metrics").count() == 2
-    assert spark.read.parquet(f"{home}/ml_order_forecast").count() == 30
-    assert spark.read.parquet(f"{home}/agg_monthly_revenue").count() == mart_rows
+    assert current_version(spark, f"{home}/ml_order_forecast").count() == 30
+    assert current_version(spark, f"{home}/agg_monthly_revenue").count() == mart_rows
     current = current_star(spark, home)
     assert dict(rows(quality.row_counts(current))) == counts
     assert "20010802" in current["fact_orders"].inputFiles()[0]
@@ -106,7 +107,8 @@ def test_command_line(spark, first_run):
     assert step == "forecast" and conf.horizon == 7 and conf.source_format == "csv"
     before = spark.read.parquet(f"{conf.home}/ml_model_metrics").count()
     main(["forecast", "raw", conf.warehouse, "--horizon", "7"])
-    assert spark.read.parquet(f"{conf.home}/ml_order_forecast").count() == 7
-    assert spark.read.parquet(f"{conf.home}/ml_model_metrics").count() == before + 1
+    assert current_version(spark, f"{conf.home}/ml_order_forecast").count() == 7
+    main(["forecast", "raw", conf.warehouse, "--horizon", "7"])
+    assert spark.read.parquet(f"{conf.home}/ml_model_metrics").count() == before + 2
     with pytest.raises(SystemExit):
         settings_from(["sideways", "raw", "home"])

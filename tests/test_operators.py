@@ -114,3 +114,25 @@ def test_upsert_creates_an_absent_table(spark, tmp_path):
     path = str(tmp_path / "absent")
     upsert_path(path, spark.createDataFrame(NEW, SHAPE), ["year", "month", "city"], ["net"], ["year", "month"])
     assert rows(spark.read.parquet(path).select("year", "month", "city", "orders", "net")) == sorted(NEW, key=repr)
+
+
+def test_keep_first_puts_nulls_last(spark):
+    frame = spark.createDataFrame([(1, None, 7), (1, "x", 5), (2, None, 1)], "k int, v string, n int")
+    assert rows(keep_first(frame, "k")) == [(1, "x", 5), (2, None, 1)]
+    assert rows(keep_first(frame, "k", ["v"])) == [(1, "x", 5), (2, None, 1)]
+
+
+def test_scores_of_one_task_and_of_many_agree(spark):
+    frame = spark.range(0, 500).select("id", (F.col("id") * 7 % 11).alias("a"), F.when(F.col("id") % 9 != 0, F.col("id") % 40).alias("b"))
+    scores = {"x": -F.col("a"), "y": F.col("b")}
+    assert rows(ntile_scores(frame, "id", scores, 5, most_rows=500)) == rows(ntile_scores(frame, "id", scores, 5))
+
+
+def test_upsert_path_keeps_rows_of_a_null_partition(spark, tmp_path):
+    shape, path = "year int, city string, net double", str(tmp_path / "t")
+    first = [(None, "a", 1.0), (None, "b", 2.0), (2024, "c", 3.0)]
+    upsert_path(path, spark.createDataFrame(first, shape), ["year", "city"], ["net"], ["year"])
+    for _ in range(2):
+        upsert_path(path, spark.createDataFrame([(None, "z", 9.0), (None, "a", 5.0)], shape), ["year", "city"], ["net"], ["year"])
+    found = spark.read.parquet(path).select("year", "city", "net")
+    assert rows(found) == rows(spark.createDataFrame([(None, "a", 5.0), (None, "b", 2.0), (None, "z", 9.0), (2024, "c", 3.0)], shape))

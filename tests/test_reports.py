@@ -200,10 +200,10 @@ def test_marts_differ_in_their_averages(spark, orders, calendar, tmp_path):
     row = every.filter("month = 1 and city = 'Pune'").first()
     assert (row.avg_order_value, row.avg_delivery_min, row.total_orders) == (D("75.00"), D("35.50"), 2)
 
-    path = str(tmp_path / "mart")
-    marts.refresh_mart(path, orders, calendar, shops)
+    root = str(tmp_path / "mart")
+    path = marts.refresh_mart(root, "1", orders, calendar, shops)
     once = rows(spark.read.parquet(path))
-    marts.refresh_mart(path, orders, calendar, shops)
+    path = marts.refresh_mart(root, "2", orders, calendar, shops)
     assert rows(spark.read.parquet(path)) == once
     marts.upsert_mart(path, orders, calendar, shops)
     assert rows(spark.read.parquet(path)) == once  # same revenue, and nothing else may change

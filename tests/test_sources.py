@@ -4,9 +4,18 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from ordermart.schemas import METRICS, MONTHLY_MART, SOURCES
+from pyspark.sql import types as T
+
+from ordermart.plans.star import menu_item_dim
+from ordermart.schemas import METRICS, MONTHLY_MART, SOURCES, Table
 from ordermart.session import build_session, shared_dir
 from ordermart.sources import MissingSource, create_if_absent, publish, read_sources, replace_table, run_sql, split_corrupt
+from ordermart.sources.readers import INGEST
+from ordermart.sources.writers import complete_versions, conform, current_version, publish_version
+
+PART = Table("part", T.StructType([
+    T.StructField("forecast_date", T.DateType(), True, {"comment": "the day"}), T.StructField("predicted_orders", T.LongType()),
+]), ("forecast_date",))
 
 SHOPS = '''restaurant_id,name,city,cuisine_type,rating,total_reviews,avg_prep_time_min,is_veg_only,onboarded_date
 R1,"Rao, Sons and ""Co""",Pune,Thai,4.2,10,20,True,2022-05-10
@@ -106,3 +115,59 @@ def test_only_a_local_master_falls_back_to_its_own_folder():
 def test_shared_folder_comes_from_the_session(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
     assert build_session() is spark or build_session().sparkContext is spark.sparkContext
+
+
+def test_a_cluster_refuses_folders_of_one_machine():
+    def session(folder, default="hdfs://head"):
+        named = {"spark.checkpoint.dir": folder, "spark.hadoop.fs.defaultFS": default}
+        return SimpleNamespace(
+            conf=SimpleNamespace(get=lambda key, otherwise=None: named.get(key, otherwise)),
+            sparkContext=SimpleNamespace(master="yarn", applicationId="app"),
+        )
+
+    assert shared_dir(session("hdfs://head/shared/")) == "hdfs://head/shared"
+    assert shared_dir(session("/shared")) == "/shared"
+    for folder, default in (("file:///tmp/x", "hdfs://head"), ("file:/tmp/x", "hdfs://head"), ("/tmp/x", "file:///")):
+        with pytest.raises(ValueError, match="one machine"):
+            shared_dir(session(folder, default))
+
+
+def test_first_in_the_file_is_kept(spark, tmp_path):
+    """Copies that differ, in a file long enough for several splits."""
+    lines = ["item_id,restaurant_id,item_name,category,price,is_available,is_veg,calories"]
+    lines += [f"I{i % 4000},R1,copy {i // 4000},x,1.00,True,True,5" for i in range(12000)]
+    (tmp_path / "menu_items.csv").write_text("\n".join(lines) + "\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        frame = read_sources(spark, str(tmp_path), tables=one_source("menu_items"), strict=True, ingest=True)["menu_items"]
+        assert frame.rdd.getNumPartitions() > 3
+        kept = menu_item_dim(frame, order=[INGEST])
+        assert kept.count() == 4000 and rows(kept.select("item_name").distinct()) == [("copy 0",)]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_versions(spark, tmp_path):
+    root = str(tmp_path / "t")
+    for version in ("1", "2", "2", "3"):
+        publish_version(spark.range(int(version)), root, version, keep=2)
+    spark.range(9).write.parquet(f"{root}/4")
+    (tmp_path / "t/4/_SUCCESS").unlink()
+    assert complete_versions(spark, root) == ["2", "3"] and current_version(spark, root).count() == 3
+
+
+def test_sql_text_leaves_views_alone(spark):
+    spark.range(7).createOrReplaceTempView("mine")
+    assert run_sql(spark, "SELECT count(*) FROM mine", {"mine": spark.range(2)}).first()[0] == 2
+    assert spark.table("mine").count() == 7
+    assert run_sql(spark, "SELECT count(*) FROM other", {"other": spark.range(2)}).first()[0] == 2
+    assert not spark.catalog.tableExists("other")
+    spark.catalog.dropTempView("mine")
+
+
+def test_declared_types_and_comments(spark):
+    frame = conform(spark.createDataFrame([("2024-01-01", 3, 7)], "forecast_date string, predicted_orders int, extra int"), PART)
+    assert frame.columns == ["forecast_date", "predicted_orders", "extra"]
+    assert [f.dataType.simpleString() for f in frame.schema.fields] == ["date", "bigint", "int"]
+    assert frame.schema["forecast_date"].metadata == {"comment": "the day"}

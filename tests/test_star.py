@@ -42,7 +42,12 @@ def test_customer_dim(customers):
 
 
 def test_segment_limit_is_inclusive(spark):
-    frame = spark.createDataFrame([(True, 365), (True, 364), (False, 365), (False, None)], "p boolean, t int")
+    shape = "p boolean, t int"
+    unknown = spark.createDataFrame([(None, 5478), (None, None)], shape)
+    assert [r[0] for r in unknown.select(customer_segment(F.col("p"), F.col("t"))).collect()] == [None, None]
+    frame = spark.createDataFrame([(True, None)], shape)
+    assert frame.select(customer_segment(F.col("p"), F.col("t"))).first()[0] == "Premium-New"
+    frame = spark.createDataFrame([(True, 365), (True, 364), (False, 365), (False, None)], shape)
     labels = [r[0] for r in frame.select(customer_segment(F.col("p"), F.col("t"))).collect()]
     assert labels == ["Premium-Loyal", "Premium-New", "Regular-Loyal", "Regular-New"]
 
