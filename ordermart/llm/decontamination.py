@@ -147,7 +147,7 @@ def consistent_share(item: list[str], doc: list[str], kinds: list[int]) -> float
 
 
 def _chunks(batch: pd.DataFrame) -> Iterator[pd.DataFrame]:
-    sizes = batch["text"].str.len().fillna(0).cumsum() // _CHUNK_CHARS
+    sizes = np.cumsum([len(t) if t else 0 for t in batch["text"]]) // _CHUNK_CHARS
     for _, part in batch.groupby(sizes, sort=False):
         yield part
 

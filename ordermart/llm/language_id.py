@@ -19,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ordermart.llm.common import Numbering, stored
@@ -69,17 +69,16 @@ def word_counts(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
 
 def gram_counts(counts: DataFrame, longest: int) -> DataFrame:
     """(lang, word, n) of the n-grams of the counted words, an n-gram standing as its word."""
+
+    def pieces(text: Column, size: int) -> Column:
+        starts = F.sequence(F.lit(1), F.length(text) - size + 1)
+        cut = F.transform(starts, lambda i: F.substring(text, i, F.lit(size)))
+        return F.when(F.length(text) >= size, cut).otherwise(F.array().cast("array<string>"))
+
     marked = F.concat(F.lit("^"), F.col("word"), F.lit("$"))
-    grams = [
-        F.when(
-            F.length(marked) >= size,
-            F.transform(F.sequence(F.lit(1), F.length(marked) - size + 1), lambda i, size=size: F.substring(marked, i, F.lit(size))),
-        ).otherwise(F.array().cast("array<string>"))
-        for size in range(2, longest + 1)
-    ]
-    alone = F.transform(F.sequence(F.lit(1), F.length("word")), lambda i: F.substring(F.col("word"), i, F.lit(1)))
+    grams = [pieces(F.col("word"), 1), *[pieces(marked, size) for size in range(2, longest + 1)]]
     return (
-        counts.select("lang", "n", F.explode(F.concat(alone, *grams)).alias("word"))
+        counts.select("lang", "n", F.explode(F.concat(*grams)).alias("word"))
         .groupBy("lang", "word").agg(F.sum("n").alias("n"))
     )
 
@@ -196,7 +195,7 @@ def identify(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col:
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cache: dict = {}
         for batch in batches:
-            sizes = batch["__text"].str.len().fillna(0).cumsum() // _CHUNK_CHARS
+            sizes = np.cumsum([len(t) if t else 0 for t in batch["__text"]]) // _CHUNK_CHARS
             for _, part in batch.groupby(sizes, sort=False):
                 out = part[names].copy()
                 out["lang_pred"], out["score"] = shared.value.predict(part["__text"].tolist(), cache)
