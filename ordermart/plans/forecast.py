@@ -36,7 +36,7 @@ class Model:
     yearly_order: int = 10
     weekly_order: int = 3
     penalty: float = 0.001
-    z: float = 1.2816  # two-sided 80 % of a normal distribution
+    coverage: float = 0.8  # share of the days inside the interval
 
 
 def daily_series(orders: DataFrame, calendar: DataFrame) -> DataFrame:
@@ -72,6 +72,12 @@ def _features(first: dt.date, last: dt.date, model: Model) -> list[Column]:
 def fit_and_predict(series: DataFrame, horizon: int = 30, model: Model = Model()) -> DataFrame:
     """Observed and future days ``(ds, y, yhat, yhat_lower, yhat_upper)``; ``y`` is null in the future.
 
+    The fit is on logarithms, whose mean belongs to the median of the orders; a
+    factor brings the fitted orders back to the sum of the observed ones. The
+    interval is that of the residuals of the observed days. Ahead of them it
+    grows as if the trend might bend as often as it could in the past: by the
+    square root of 1 + days ahead * changepoints / days of history.
+
     Empty when the series is. The series is checkpointed, so the orders behind
     it are read once for bounds, fit and prediction.
     """
@@ -91,10 +97,20 @@ def fit_and_predict(series: DataFrame, horizon: int = 30, model: Model = Model()
     )
     # One row per day fits one partition; sorted there, additions have a fixed order.
     fitted = regression.fit(design.filter(F.col("y").isNotNull()).coalesce(1).sortWithinPartitions("ds"))
-    margin = model.z * fitted.summary.rootMeanSquaredError
-    shifts = dict(zip(PREDICTED, (0.0, -margin, margin)))
-    return fitted.transform(design).select(
-        "ds", "y", *[F.expm1(F.col("log_yhat") + F.lit(shift)).alias(name) for name, shift in shifts.items()]
+    placed = fitted.transform(design).select("ds", "y", "target", "log_yhat")
+    tail = (1 - model.coverage) / 2
+    residual = F.col("target") - F.col("log_yhat")
+    scale, low, high = placed.filter(F.col("y").isNotNull()).agg(
+        F.sum(F.col("y") + 1) / F.sum(F.exp("log_yhat")), F.percentile(residual, F.lit(tail)),
+        F.percentile(residual, F.lit(1 - tail)),
+    ).first()
+    ahead = F.greatest(F.datediff("ds", F.lit(last)), F.lit(0))
+    widening = F.sqrt(1 + ahead * F.lit(model.changepoints / max((last - first).days, 1)))
+    middle = F.exp("log_yhat") * F.lit(scale) - 1
+    edges = [F.expm1(F.col("log_yhat") + widening * F.lit(edge)) for edge in (low, high)]
+    return placed.select(
+        "ds", "y", middle.alias("yhat"),
+        F.least(edges[0], middle).alias("yhat_lower"), F.greatest(edges[1], middle).alias("yhat_upper"),
     )
 
 

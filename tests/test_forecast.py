@@ -1,6 +1,8 @@
 import datetime as dt
 import math
+import random
 
+import numpy as np
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -90,3 +92,36 @@ def test_rounding_is_half_to_even(spark):
     predicted = spark.createDataFrame([(START, 1, 1.0, 1.0, 1.0), (START + dt.timedelta(days=1), None, 2.5, -4.0, 3.5)],
                                       "ds date, y long, yhat double, yhat_lower double, yhat_upper double")
     assert tuple(fc.future_only(predicted, RUN_AT).first())[1:4] == (2, 0, 4)
+
+
+def noisy(spark, days=800, sd=0.8):
+    draw = random.Random(11)
+    return series_of(spark, days, lambda i: math.exp(4 + 0.3 * math.sin(i / 58) + draw.gauss(0, sd)))
+
+
+def test_fitted_orders_add_up_and_the_interval_covers(spark):
+    predicted = fc.fit_and_predict(noisy(spark), horizon=60)
+    seen = fc.observed(predicted)
+    ratio, inside = seen.agg(
+        F.sum("yhat") / F.sum("y"), F.avg(F.col("y").between(F.col("yhat_lower"), F.col("yhat_upper")).cast("int"))
+    ).first()
+    assert abs(ratio - 1) < 0.01 and 0.75 < inside < 0.85
+    width = [math.log1p(r.yhat_upper) - math.log1p(r.yhat_lower) for r in predicted.filter("y is null").orderBy("ds").collect()]
+    assert all(a <= b + 1e-9 for a, b in zip(width, width[1:])) and width[-1] > width[0]
+
+
+def test_coefficients_are_those_of_a_ridge_solution(spark):
+    series = noisy(spark, 400, 0.3)
+    model = fc.Model()
+    data = [(r.ds, r.y) for r in series.orderBy("ds").collect()]
+    first, last = data[0][0], data[-1][0]
+    wide = series.select("ds", *[c.alias(f"x{i}") for i, c in enumerate(fc._features(first, last, model))]).orderBy("ds").toPandas()
+    x = wide.drop(columns="ds").to_numpy(float)
+    y = np.log1p(np.array([n for _, n in data], float))
+    sd = x.std(axis=0)
+    z = np.where(sd > 0, (x - x.mean(axis=0)) / np.where(sd > 0, sd, 1), 0)
+    gram = z.T @ z / len(y) + model.penalty / y.std() * np.eye(z.shape[1])
+    logs = y.mean() + z @ np.linalg.solve(gram, z.T @ (y - y.mean()) / len(y))
+    scale = (np.exp(y)).sum() / np.exp(logs).sum()
+    found = [r.yhat for r in fc.observed(fc.fit_and_predict(series)).orderBy("ds").collect()]
+    np.testing.assert_allclose(found, np.exp(logs) * scale - 1, rtol=1e-6)
