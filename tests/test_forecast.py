@@ -115,7 +115,7 @@ def test_coefficients_are_those_of_a_ridge_solution(spark):
     model = fc.Model()
     data = [(r.ds, r.y) for r in series.orderBy("ds").collect()]
     first, last = data[0][0], data[-1][0]
-    wide = series.select("ds", *[c.alias(f"x{i}") for i, c in enumerate(fc._features(first, last, model))]).orderBy("ds").toPandas()
+    wide = fc.model_frame(series, 1).filter("y is not null").select("ds", *[c.alias(f"x{i}") for i, c in enumerate(fc._features(first, last, model))]).orderBy("ds").toPandas()
     x = wide.drop(columns="ds").to_numpy(float)
     y = np.log1p(np.array([n for _, n in data], float))
     sd = x.std(axis=0)
