@@ -122,10 +122,13 @@ def co_train(
     number = judged.count()
     place = F.pmod(F.xxhash64("__id"), F.lit(_HASHES))
     limit = _HASHES if number <= max_labelled else _HASHES * max_labelled // number
-    some = _with_views(docs.withColumn("__id", F.col(f"`{id_col}`")).where(place < limit), text_col)
+    # The labels of the training set are bounded by ``max_labelled``, so the texts need not be shuffled to them.
+    some = docs.withColumn("__id", F.col(f"`{id_col}`")).where(place < limit)
+    taught_ids = judged.where(place < limit).withColumnRenamed("y", "__y")
+    some = _with_views(some.join(F.broadcast(taught_ids), "__id", "left"), text_col)
     some = stored(
-        some.select("__id", "__terms", _PAGE).join(judged, "__id", "left").withColumn("calibrate", (place % 5 == 0) & F.col("y").isNotNull()),
-        "training_documents",
+        some.select("__id", "__terms", _PAGE, F.col("__y").alias("y"), ((place % 5 == 0) & F.col("__y").isNotNull()).alias("calibrate")),
+        "training_documents", compression="zstd",
     )
     kinds = {(r["calibrate"], r["y"]): r["count"] for r in some.where("y is not null").groupBy("calibrate", "y").count().collect()}
     good, total = sum(n for (_, y), n in kinds.items() if y == 1.0), sum(kinds.values())
@@ -133,7 +136,8 @@ def co_train(
         return good / total if total else 1.0
 
     terms = CountVectorizer(inputCol="__terms", outputCol=_TEXT, minDF=5.0, vocabSize=MAX_TERMS, binary=True).fit(some)
-    some = stored(terms.transform(some).drop("__terms").withColumn("w", F.lit(1.0)), "training_features")
+    some = terms.transform(some).drop("__terms").withColumn("w", F.lit(1.0))
+    some = stored(some, "training_features", compression="zstd")
     taught = some.where("y is not null and not calibrate")
     open_ones = some.where("y is null").drop("y")
     text, page = _fit(taught, _TEXT), _fit(taught, _PAGE)
@@ -145,10 +149,7 @@ def co_train(
             .select(*taught.columns)
             for view in (_TEXT, _PAGE)
         )
-        text, page = (
-            _fit(stored(taught.unionByName(by_page), "text_lessons"), _TEXT),
-            _fit(stored(taught.unionByName(by_text), "page_lessons"), _PAGE),
-        )
+        text, page = _fit(taught.unionByName(by_page), _TEXT), _fit(taught.unionByName(by_text), _PAGE)
     fold = _margin(_margin(some.where("calibrate"), text, _TEXT), page, _PAGE)
     fold = fold.select(_MARGIN + _TEXT, _MARGIN + _PAGE, "y").toPandas()
     calibration, logits = {}, []

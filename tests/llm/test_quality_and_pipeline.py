@@ -36,7 +36,7 @@ def corpus(n=400):
 def test_held_out_accuracy(spark):
     docs, labels = corpus()
     odd = [(5000, None, None, None, None), (5001, "", "en", "s1", 0), (None, docs[0][1], "en", "s1", 5), docs[3]]
-    frame = spark.createDataFrame([(*d, 1.5) for d in docs + odd], SHAPE + ", score double")
+    frame = spark.createDataFrame([(*d, 1.5, 9, "x") for d in docs + odd], SHAPE + ", score double, y long, features string")
     known = spark.createDataFrame([r[:3] for r in labels if r[0] % 2], "doc_id long, quality int, toxic int")
     known = known.unionByName(spark.createDataFrame([(None, 1, 0), (7, None, None)], known.schema))
     out = quality_scores(frame, known).collect()
