@@ -24,7 +24,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+import xxhash
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ordermart.llm.common import stored
@@ -33,11 +34,12 @@ from ordermart.llm.components import connected_components
 SHINGLE, BANDS, ROWS, SIMILARITY = 8, 16, 5, 0.8
 #: Lines that are compared with each other in one block, and lines and shingles that a task holds at a time.
 BLOCK, _TASK_LINES, _COLUMNS = 2048, 20_000, 4096
+_CHUNK_CHARS = 1 << 21
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
-def normal_line(line: Column) -> Column:
-    return F.trim(F.regexp_replace(F.lower(line), r"[\s ]+", " "))
+def normal_line(line: str) -> str:
+    return " ".join(line.lower().split())
 
 
 # ---- signatures ------------------------------------------------------------
@@ -122,8 +124,11 @@ def joining_links(
 ) -> list[tuple[int, int]]:
     """Pairs of similar lines that connect the groups just as all similar pairs would."""
     line, hashes = shingle_hashes(lines, shingle)
-    line, hashes = np.unique(np.stack([line.astype(np.uint64), hashes]), axis=1) if len(line) else (line, hashes)
-    line, sizes = line.astype(np.int64), np.bincount(line.astype(np.int64), minlength=len(lines)).astype(np.float32)
+    order = np.lexsort((hashes, line))
+    line, hashes = line[order], hashes[order]
+    fresh = np.append(True, (line[1:] != line[:-1]) | (hashes[1:] != hashes[:-1]))[:len(line)]
+    line, hashes = line[fresh], hashes[fresh]
+    sizes = np.bincount(line, minlength=len(lines)).astype(np.float32)
     _, inverse, times = np.unique(hashes, return_inverse=True, return_counts=True)
     shared = times[inverse] > 1  # a shingle of one line only is in no intersection
     line, columns = line[shared], np.unique(inverse[shared], return_inverse=True)[1]
@@ -166,19 +171,43 @@ def _verified(pairs: DataFrame, texts: DataFrame, least: float, shingle: int) ->
     return pairs.join(left, "a").join(right, "b").mapInPandas(check, "a long, b long")
 
 
-def line_components(
-    lines: DataFrame, *, shingle: int = SHINGLE, bands: int = BANDS, rows: int = ROWS, similarity: float = SIMILARITY
-) -> DataFrame:
-    """(node, component) of the lines (k, line) that have a similar other line; ``k`` is the line's key."""
+def cut_lines(docs: DataFrame, shingle: int, bands: int, rows: int) -> DataFrame:
+    """(id, row_key, ats, ks, lines, bands): the lines of every document that are not blank.
+
+    Positions, keys and normal forms run along each other; ``bands`` holds the
+    band keys of the lines one after another.
+    """
 
-    def keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for at in range(0, len(batch), 2000):
-                part = batch.iloc[at:at + 2000]
-                found = band_keys(part["line"].tolist(), bands, rows, shingle)
-                yield pd.DataFrame({"k": np.repeat(part["k"].to_numpy(np.int64), bands), "band": found.ravel()})
+            sizes = np.cumsum([len(t) if t else 0 for t in batch["text"]]) // _CHUNK_CHARS
+            for _, part in batch.groupby(sizes, sort=False):
+                found = [
+                    [(at, line) for at, raw in enumerate(t.split("\n")) if (line := normal_line(raw))] if t else []
+                    for t in part["text"]
+                ]
+                flat = [line for lines in found for _, line in lines]
+                cuts = np.cumsum([len(lines) for lines in found])[:-1]
+                ks = np.fromiter(
+                    (xxhash.xxh64_intdigest(x.encode("utf-8", "surrogatepass"), 42) for x in flat), np.uint64, len(flat)
+                ).view(np.int64)
+                yield pd.DataFrame({
+                    "id": part["id"].tolist(), "row_key": part["row_key"].to_numpy(np.int64),
+                    "ats": [[at for at, _ in lines] for lines in found], "ks": np.split(ks, cuts),
+                    "lines": [[line for _, line in lines] for lines in found],
+                    "bands": np.split(band_keys(flat, bands, rows, shingle).ravel(), cuts * bands),
+                })
+
+    return docs.mapInPandas(
+        cut, "id string, row_key long, ats array<int>, ks array<long>, lines array<string>, bands array<long>"
+    )
+
 
-    members = stored(lines.mapInPandas(keys, "k long, band long"), "bands")
+def line_components(cut: DataFrame, *, shingle: int, bands: int, similarity: float) -> DataFrame:
+    """(node, component) of the keys of lines that have a similar other line; ``cut`` is ``cut_lines`` as stored."""
+    members = cut.select("ks", F.posexplode("bands").alias("at", "band")).select(
+        F.get("ks", F.floor(F.col("at") / bands).cast("int")).alias("k"), "band"
+    )
     buckets = stored(
         members.groupBy("band").agg(F.min("k").alias("leader"), F.max("k").alias("last"))
         .where("leader < last").select("band", "leader"),
@@ -187,7 +216,10 @@ def line_components(
     members = stored(members.join(buckets, "band").distinct(), "members")
     pairs = stored(members.where("k != leader").select(F.col("leader").alias("a"), F.col("k").alias("b")).distinct(), "pairs")
     wanted = stored(pairs.select(F.col("a").alias("k")).union(pairs.select("b")).distinct(), "wanted")
-    texts = stored(lines.join(wanted, "k").groupBy("k").agg(F.min("line").alias("line")), "texts")
+    lines = cut.select(F.explode(F.arrays_zip("ks", "lines")).alias("l")).select("l.ks", F.col("l.lines").alias("line"))
+    texts = stored(
+        lines.withColumnRenamed("ks", "k").join(wanted, "k").groupBy("k").agg(F.min("line").alias("line")), "texts"
+    )
     links = stored(_verified(pairs, texts, similarity, shingle), "links")
     found = stored(connected_components(links), "components")
 
@@ -242,17 +274,17 @@ def line_dedup(
     empty table. Two distinct lines are taken for equal if their 64-bit keys
     agree, which at 10^9 lines has odds of about 3 in 100.
     """
+    kind = docs.schema[id_col].dataType.simpleString()
     row_key = F.xxhash64(F.col(id_col), F.col(text_col))
-    lines = F.split(F.col(text_col), "\n", -1)
-    found = docs.select(
-        F.col(id_col).alias("id"), row_key.alias("row_key"), F.posexplode(lines).alias("at", "raw")
-    ).select("id", "row_key", "at", normal_line(F.col("raw")).alias("line")).where("line != ''")
-    found = found.withColumn("k", F.xxhash64("line"))
-    places = stored(found.select("id", "row_key", "at", "k"), "places")
+    source = docs.select(F.col(id_col).cast("string").alias("id"), row_key.alias("row_key"), F.col(text_col).alias("text"))
+    cut = stored(cut_lines(source, shingle, bands, rows), "lines", compression="zstd")
+    places = cut.select(F.col("id").cast(kind).alias("id"), "row_key", F.explode(F.arrays_zip("ats", "ks")).alias("l")).select(
+        "id", "row_key", F.col("l.ats").alias("at"), F.col("l.ks").alias("k")
+    )
     components = stored(
-        line_components(found.select("k", "line"), shingle=shingle, bands=bands, rows=rows, similarity=similarity),
-        "line_components",
+        line_components(cut, shingle=shingle, bands=bands, similarity=similarity), "line_components"
     )
+    lines = F.split(F.col(text_col), "\n", -1)
     firsts = (
         places.groupBy("k").agg(F.min(F.struct("id", "row_key", "at")).alias("first"), F.count(F.lit(1)).alias("n"))
         .join(components, F.col("k") == F.col("node"), "left").drop("node")
