@@ -21,6 +21,7 @@ Of each component the first line in the order (id, position) stays.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -108,8 +109,9 @@ def band_keys(lines: list[str], bands: int = BANDS, rows: int = ROWS, shingle: i
     return keys.view(np.int64)
 
 
-def _shingles(line: str, shingle: int) -> set[str]:
-    return {line[i:i + shingle] for i in range(max(1, len(line) - shingle + 1))}
+@lru_cache(maxsize=512)  # the least line of a bucket meets all others of it
+def _shingles(line: str, shingle: int) -> frozenset[str]:
+    return frozenset(line[i:i + shingle] for i in range(max(1, len(line) - shingle + 1)))
 
 
 def similar(x: str, y: str, least: float = SIMILARITY, shingle: int = SHINGLE) -> bool:
