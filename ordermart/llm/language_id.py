@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 from ordermart.llm.common import Numbering, stored
 
 LONGEST, SMOOTHING = 4, 0.5
-#: Entries times languages of the word table and of the n-gram table: 8 MB each as 32-bit floats.
-MAX_CELLS = 2_000_000
+#: Entries times languages of the word table and of the n-gram table; the driver holds both while it packs them.
+MAX_CELLS = 400_000
 UNKNOWN = "und"
 _LETTERS = re.compile(r"[^\W\d_]+")
 _FLUSH, _CACHE, _CHUNK_CHARS = 200_000, 200_000, 1 << 21
