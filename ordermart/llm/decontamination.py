@@ -2,9 +2,11 @@
 
 Texts are cut into words without surrounding punctuation. Numbers, quantities,
 names and units become typed placeholders; a window of canonical words is hashed,
-and windows of documents are hash-joined with windows of benchmark items. What
-lines up with an item along one diagonal and covers enough of it is verified word
-by word, and the slots have to be filled consistently: the same value of the item
+and windows of documents are hash-joined with windows of benchmark items. All joined
+windows of a document that line up with an item in the same order, along one diagonal
+or along diagonals that words put in or left out have moved by a few words, count
+together. What covers enough of the item is verified word by word, and the slots have
+to be filled consistently: the same value of the item
 always meets the same value of the document and the other way round. So a
 question that was copied with other names and numbers is caught, while a text
 that shares a figure of speech is not.
@@ -34,6 +36,8 @@ WINDOW, MIN_LITERALS, MIN_COVERAGE, MIN_CONSISTENCY = 8, 4, 0.6, 0.8
 #: Bits of the bitmap: 64 for each window of the benchmark, within these bounds (2 MB and 16 MB).
 MIN_BITS, MAX_BITS = 1 << 24, 1 << 27
 _CHUNK_CHARS, _CACHE = 1 << 21, 200_000
+#: Words of a document that are kept in one row.
+_PIECE = 256
 
 # Words that are units where they follow a number.
 UNITS = frozenset(
@@ -146,6 +150,41 @@ def consistent_share(item: list[str], doc: list[str], kinds: list[int]) -> float
     return min(agreed.values()) / slots
 
 
+def drift_of(n: int) -> int:
+    """By how many words the diagonals of one copy of an item of ``n`` words may differ."""
+    return max(WINDOW, n // 8)
+
+
+def chain(spans: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+    """(item position, document position) of the longest alignment that goes forward in both.
+
+    ``spans`` are (shift, start, stop): item words start..stop match the document words ``shift`` further on.
+    """
+    spans = sorted(spans, key=lambda x: (x[1], x[2], x[0]))
+    shift, start, stop = (np.array(x, np.int64) for x in zip(*spans))
+    best, entry, before = np.zeros(len(spans), np.int64), start.copy(), np.full(len(spans), -1)
+    for j in range(len(spans)):
+        best[j] = stop[j] - start[j]
+        if j:
+            enter = np.maximum(start[j], np.maximum(stop[:j], stop[:j] + shift[:j] - shift[j]))
+            total = np.where(enter < stop[j], best[:j] + stop[j] - enter, 0)
+            i = int(total.argmax())
+            if total[i] > best[j]:
+                best[j], entry[j], before[j] = total[i], enter[i], i
+    out, j = [], int(best.argmax())
+    while j >= 0:
+        out.extend((i, i + int(shift[j])) for i in range(int(stop[j]) - 1, int(entry[j]) - 1, -1))
+        j = int(before[j])
+    return out[::-1]
+
+
+def _spans(shift: int, ats: np.ndarray, width: int) -> list[tuple[int, int, int]]:
+    """The joined windows of one diagonal as spans of item words."""
+    ats = np.unique(ats)
+    cuts = np.nonzero(np.diff(ats) > width)[0] + 1
+    return [(shift, int(part[0]), int(part[-1]) + width) for part in np.split(ats, cuts)]
+
+
 def _chunks(batch: pd.DataFrame) -> Iterator[pd.DataFrame]:
     sizes = np.cumsum([len(t) if t else 0 for t in batch["text"]]) // _CHUNK_CHARS
     for _, part in batch.groupby(sizes, sort=False):
@@ -159,8 +198,9 @@ def contaminated(
 ) -> DataFrame:
     """(row_key, id, item_id, coverage, consistency) of documents that hold a benchmark item.
 
-    ``coverage`` is the share of the item's words inside joined windows of one
-    diagonal, ``consistency`` the share of its slots filled one to one. An item
+    ``coverage`` is the share of the item's words inside joined windows that follow
+    each other in document and item, their diagonals at most ``drift_of`` words
+    apart; ``consistency`` the share of its slots filled one to one. An item
     shorter than a window is one window of its own length; an item or document
     without words (null, empty, punctuation only) never matches. ``row_key`` is
     the hash of identifier and text, by which rows without an identifier are told
@@ -230,48 +270,84 @@ def contaminated(
                 bounds = np.append(np.nonzero(fresh)[0], len(at))
                 out = []
                 for lo, hi in zip(bounds[:-1], bounds[1:]):
-                    start, stop = int(at[lo]), int(ends[lo:hi].max())
-                    out.append((
-                        int(row_keys[t.owner[start]]), start, t.words(start, stop), t.kinds(start, stop),
-                        (at[lo:hi] - start).tolist(), keys[lo:hi].view(np.int64).tolist(),
-                    ))
-                yield pd.DataFrame(out, columns=["row_key", "run", "words", "kinds", "ats", "keys"])
+                    owner, stop = t.owner[at[lo]], int(ends[lo:hi].max())
+                    base, start = int(np.searchsorted(t.owner, owner)), int(at[lo])
+                    while start < stop:
+                        piece = (start - base) // _PIECE
+                        end = min(stop, base + (piece + 1) * _PIECE)
+                        i, j = lo + np.searchsorted(at[lo:hi], [start, end])
+                        out.append((
+                            int(row_keys[owner]), piece, start - base, t.words(start, end), t.kinds(start, end),
+                            (at[i:j] - base).tolist(), keys[i:j].view(np.int64).tolist(),
+                        ))
+                        start = end
+                yield pd.DataFrame(out, columns=["row_key", "piece", "start", "words", "kinds", "ats", "keys"])
 
     runs = stored(
         docs.select(row_key.alias("row_key"), F.col(text_col).alias("text")).mapInPandas(
-            find, "row_key long, run long, words array<string>, kinds array<int>, ats array<int>, keys array<long>"
-        ).withColumn("run", F.xxhash64("row_key", F.hash("words"), "run")).dropDuplicates(["run"]),
+            find,
+            "row_key long, piece long, start long, words array<string>, kinds array<int>, ats array<long>, keys array<long>",
+        ).dropDuplicates(["row_key", "start"]),
         "runs",
     )
-    hits = runs.select("run", F.explode(F.arrays_zip("ats", "keys")).alias("hit")).select(
-        "run", F.col("hit.ats").alias("doc_at"), F.col("hit.keys").alias("key")
+    hits = runs.select("row_key", F.explode(F.arrays_zip("ats", "keys")).alias("hit")).select(
+        "row_key", F.col("hit.ats").alias("doc_at"), F.col("hit.keys").alias("key")
     )
+    # Diagonals that differ by a drift at most share one of the overlapping blocks of two drifts.
     width = F.least(F.col("n"), F.lit(window))
-    covered = F.size(F.array_distinct(F.flatten(F.transform("ats", lambda a: F.sequence(a, a + width - 1)))))
+    drift = F.greatest(F.lit(WINDOW), F.floor(F.col("n") / 8)).cast("long")
+    block = F.floor(F.col("shift") / drift).cast("long")
+    ats = F.flatten("lines.ats")
+    covered = F.size(F.array_distinct(F.flatten(F.transform(F.array_distinct(ats), lambda a: F.sequence(a, a + width - 1)))))
     lined_up = stored(
-        hits.join(grams, "key").groupBy("run", "item_key", "n", (F.col("doc_at") - F.col("at")).alias("shift"))
-        .agg(F.collect_set("at").alias("ats")).withColumn("coverage", covered / F.col("n"))
-        .where(F.col("coverage") >= min_coverage),
+        hits.join(grams, "key").groupBy("row_key", "item_key", "n", (F.col("doc_at") - F.col("at")).alias("shift"))
+        .agg(F.collect_set("at").alias("ats"))
+        .withColumn("block", F.explode(F.array(block - 1, block)))
+        .groupBy("row_key", "item_key", "n", "block").agg(F.collect_list(F.struct("shift", "ats")).alias("lines"))
+        .where(covered / F.col("n") >= min_coverage)
+        .withColumn("shifts", F.col("lines.shift")).withColumn("ats", F.col("lines.ats")).drop("lines"),
         "lined_up",
     )
+    first = F.array_min("shifts") + F.array_min(F.flatten("ats"))
+    last = F.array_max("shifts") + F.array_max(F.flatten("ats")) + width - 1
+    piece = F.explode(F.sequence(F.floor(F.greatest(first, F.lit(0)) / _PIECE), F.floor(last / _PIECE))).alias("piece")
+    texts = (
+        lined_up.select("row_key", "item_key", "block", piece)
+        .join(runs.select("row_key", "piece", "start", "words", "kinds"), ["row_key", "piece"])
+        .groupBy("row_key", "item_key", "block").agg(F.collect_list(F.struct("start", "words", "kinds")).alias("pieces"))
+    )
 
     def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
             for r in batch.itertuples(index=False):
-                inside = sorted({a + j for a in r.ats for j in range(min(window, r.n))})
-                mine, theirs = [r.item_words[i] for i in inside], [r.words[i + r.shift] for i in inside]
-                mine_kind, their_kind = [r.item_kinds[i] for i in inside], [r.kinds[i + r.shift] for i in inside]
-                same = sum(
-                    a == b or (k == q and k != LITERAL) for a, b, k, q in zip(mine, theirs, mine_kind, their_kind)
-                )
-                share = consistent_share(mine, theirs, [k if k == q else LITERAL for k, q in zip(mine_kind, their_kind)])
-                if same == len(inside) and share >= min_consistency:
-                    out.append((r.row_key, r.item_key, r.coverage, share))
+                drift, lines, best = drift_of(r.n), sorted(zip(r.shifts, r.ats), key=lambda x: x[0]), (0.0, 0.0)
+                spans = [_spans(int(shift), np.asarray(ats), min(window, r.n)) for shift, ats in lines]
+                words = {p["start"] + j: w for p in r.pieces for j, w in enumerate(zip(p["words"], p["kinds"]))}
+                for first, (lowest, _) in enumerate(lines):
+                    if lowest >= (r.block + 1) * drift:
+                        break  # the next block begins with it
+                    near = [x for (shift, _), part in zip(lines[first:], spans[first:]) if shift <= lowest + drift for x in part]
+                    inside = np.zeros(r.n, bool)
+                    for _, start, stop in near:
+                        inside[start:stop] = True
+                    if inside.sum() / r.n < max(min_coverage, best[0]) or best[0] == 1.0 == best[1]:
+                        continue
+                    pairs = chain(near)
+                    if len(pairs) / r.n < min_coverage:
+                        continue
+                    mine, mine_kind = [r.item_words[i] for i, _ in pairs], [r.item_kinds[i] for i, _ in pairs]
+                    theirs, their_kind = zip(*[words[k] for _, k in pairs])
+                    same = all(a == b or (k == q and k != LITERAL) for a, b, k, q in zip(mine, theirs, mine_kind, their_kind))
+                    share = consistent_share(mine, theirs, [k if k == q else LITERAL for k, q in zip(mine_kind, their_kind)])
+                    if same and share >= min_consistency:
+                        best = max(best, (len(pairs) / r.n, share))
+                if best[0]:
+                    out.append((r.row_key, r.item_key, *best))
             yield pd.DataFrame(out, columns=["row_key", "item_key", "coverage", "consistency"])
 
     verified = (
-        lined_up.join(runs.select("run", "row_key", "words", "kinds"), "run")
+        lined_up.join(texts, ["row_key", "item_key", "block"])
         .join(items.select("item_key", F.col("words").alias("item_words"), F.col("kinds").alias("item_kinds")), "item_key")
         .mapInPandas(verify, "row_key long, item_key long, coverage double, consistency double")
     )

@@ -215,6 +215,20 @@ def test_number_tables_are_no_templates(spark):
     assert [(r["doc_id"], r["item_id"]) for r in contaminated(docs, bench).collect()] == [(2, 7)]
 
 
+def test_edited_copies_are_found(spark):
+    item = " ".join(f"w{i}x" for i in range(59)).split()
+    put = {
+        1: item[:29] + ["other"] + item[30:], 2: item[:29] + ["other"] + item[29:], 3: item[:29] + item[30:],
+        4: item[:19] + ["a"] + item[20:39] + ["b"] + item[40:], 5: item[30:] + item[:29], 6: item[:29] + ["other"] * 40 + item[29:],
+        7: item[:29],
+    }
+    docs = spark.createDataFrame([(i, FILLER * 20 + " ".join(w) + " " + FILLER) for i, w in put.items()], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    found = {r["doc_id"]: r["coverage"] for r in contaminated(docs, bench).collect()}
+    assert set(found) == {1, 2, 3, 4}
+    assert found[1] == found[3] == pytest.approx(58 / 59) and found[2] == 1.0 and found[4] == pytest.approx(57 / 59)
+
+
 # ---- language identification -----------------------------------------------
 
 TEXTS = {
