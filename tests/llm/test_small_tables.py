@@ -229,6 +229,21 @@ def test_edited_copies_are_found(spark):
     assert found[1] == found[3] == pytest.approx(58 / 59) and found[2] == 1.0 and found[4] == pytest.approx(57 / 59)
 
 
+def test_renamed_subjects_and_spellings_are_found(spark):
+    first = "Tom has 5 apples. Tom buys 3 more. Tom eats 2 today. Then Tom gives 4 away. How many apples are left?"
+    second = "Every morning Tom walks 5 km to school and pays 12 dollars for lunch before Tom runs 3 km back to his house."
+    docs = [
+        (1, first.replace("Tom", "Ann").replace("5", "9")), (2, first.replace("Tom", "Mary Ann")),
+        (3, second.replace("Tom", "Mary Ann").replace(" km", "km")), (4, second.replace("12 dollars", "$12").replace("Tom", "Zoe")),
+        (5, first.replace("Tom has", "Ann has").replace("Tom buys", "Bob buys").replace("Tom eats", "Joe eats").replace("Tom gives", "Liz gives")),
+        (6, "Then some " + first.lower()),
+    ]
+    frame = spark.createDataFrame([(i, FILLER + "So it is. " + t + " " + FILLER) for i, t in docs], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, first), (2, second)], "item_id long, text string")
+    found = {(r["doc_id"], r["item_id"]) for r in contaminated(frame, bench).collect()}
+    assert found >= {(1, 1), (2, 1), (3, 2), (4, 2)} and not {d for d, _ in found} & {5}
+
+
 # ---- language identification -----------------------------------------------
 
 TEXTS = {
