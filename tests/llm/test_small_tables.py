@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ordermart.llm.decontamination import Template, consistent_share, contaminated, decontaminate
 from ordermart.llm.exact_dedup import exact_dedup
-from ordermart.llm.language_id import held_out_language_id, identify, train
+from ordermart.llm.language_id import count, held_out_language_id, identify, identify_whole, train
 from ordermart.llm.source_mixing import mix_sources, mixing_exponent
 from ordermart.llm.warc_revisits import canonical_url, resolve_revisits
 
@@ -287,3 +287,19 @@ def test_held_out_documents_and_small_model(spark):
     assert held_out_language_id(frame.limit(0)).collect() == []
     unlabelled = frame.withColumn("lang", F.lit(None).cast("string"))
     assert {(r["lang_pred"], r["score"]) for r in held_out_language_id(unlabelled).collect()} == {("und", 0.0)}
+
+
+def test_rare_words_stay_known(spark):
+    rows = [(i, TEXTS[x], x) for i, x in enumerate(list(TEXTS) * 8)] + [(90, "qoph qoph zayin", "fr"), (91, "zayinu samekh", "de")]
+    new = [(1, "qoph"), (2, "samekh zayin"), (3, "häuser und leute rivers"), (4, None), (5, "12 %"), (6, "toujours zayins sameks"), (7, "日本"), (None, "qoph the")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    docs = spark.createDataFrame(new, "doc_id long, text string")
+    whole = train(frame)  # small enough for every word and n-gram to be packed
+    wanted = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in identify(docs, whole).collect()}
+    cut = identify(docs, train(frame, max_cells=60)).where("doc_id = 1").first()
+    assert cut["score"] != pytest.approx(wanted[1][1], abs=1e-4)  # a bounded table does not know the word
+    for cells in (0, 60, 400_000):
+        found = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in identify_whole(docs, count(frame), max_cells=cells).collect()}
+        assert found.keys() == wanted.keys() and found[1][0] == "fr"
+        for i, (lang, share) in wanted.items():
+            assert found[i][0] == lang and found[i][1] == pytest.approx(share, abs=1e-4)
