@@ -8,9 +8,11 @@ too. At the end both are calibrated on a fold of the labelled documents that
 neither has learned from, and the calibrated views are combined into one score
 for every document.
 
-Only the training set is bounded: documents are taken by a range of identifier
-hashes that holds about ``max_labelled`` labelled ones. Scoring reads all
-documents whole, in one pass without a shuffle.
+The rows that are learned from are bounded: by a range of identifier hashes for each
+kind, about ``max_labelled`` labelled documents, half of each kind or all of a rarer
+one, and about ``max_open`` unlabelled ones. A fifth of each kind is the calibration
+fold, weighted back to the shares of the whole labels table. The words are counted
+over all documents. Scoring reads all documents whole, in one pass without a shuffle.
 """
 
 from __future__ import annotations
@@ -19,15 +21,15 @@ from dataclasses import dataclass
 
 import numpy as np
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import CountVectorizer, CountVectorizerModel, HashingTF, VectorAssembler
+from pyspark.ml.feature import CountVectorizerModel, HashingTF, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ordermart.llm.common import stored
 
-#: Bound of the training set, and of the words the text view knows.
-MAX_LABELLED, MAX_TERMS = 12_000, 1 << 16
+#: Bounds of the labelled and unlabelled rows of the training set, and of the words the text view knows.
+MAX_LABELLED, MAX_OPEN, MAX_TERMS = 12_000, 50_000, 1 << 16
 ROUNDS, SURE, THRESHOLD = 2, 0.95, 0.5
 _HASHES = 1 << 20
 _TEXT, _PAGE, _MARGIN = "__text_view", "__page_view", "__margin"
@@ -77,14 +79,27 @@ def _with_views(docs: DataFrame, text_col: str) -> DataFrame:
 
 # ---- fitting ---------------------------------------------------------------
 
-def logistic(features: np.ndarray, labels: np.ndarray, rounds: int = 30, ridge: float = 1e-3) -> np.ndarray:
-    """Weights and intercept of a small logistic regression by Newton's method."""
+def logistic(
+    features: np.ndarray, labels: np.ndarray, rounds: int = 30, ridge: float = 1e-3, weights: np.ndarray | None = None
+) -> np.ndarray:
+    """Weights and intercept of a small logistic regression by Newton's method, steps halved until they gain."""
     x = np.column_stack([features, np.ones(len(features))])
-    w = np.zeros(x.shape[1])
+    w, by = np.zeros(x.shape[1]), np.ones(len(x)) if weights is None else weights
+
+    def loss(w: np.ndarray) -> float:
+        z = x @ w
+        return float((by * (np.logaddexp(0, z) - labels * z)).sum() + ridge / 2 * w @ w)
+
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        slope = x.T @ (labels - p) - ridge * w
-        w = w + np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(w)), slope)
+        slope = x.T @ (by * (labels - p)) - ridge * w
+        step = np.linalg.solve((x * (by * p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(w)), slope)
+        now = loss(w)
+        for _ in range(30):
+            if loss(w + step) <= now:
+                w = w + step
+                break
+            step = step / 2
     return w
 
 
@@ -114,31 +129,52 @@ def _fit(rows: DataFrame, view: str) -> LogisticRegressionModel:
 
 def co_train(
     docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", target: Column | None = None,
-    max_labelled: int = MAX_LABELLED, rounds: int = ROUNDS, sure: float = SURE,
+    max_labelled: int = MAX_LABELLED, max_open: int = MAX_OPEN, rounds: int = ROUNDS, sure: float = SURE,
 ) -> Quality | float:
-    """Fit on the labelled documents; the share of good ones if there are not both kinds to learn from."""
+    """Fit on the labelled documents; the share of good ones if they are not of both kinds."""
     judged = labels.select(F.col(id_col).alias("__id"), (target if target is not None else fit_for_training()).alias("y"))
-    judged = stored(judged.where("__id is not null and y is not null").groupBy("__id").agg(F.min("y").cast("double").alias("y")), "labels")
-    number = judged.count()
-    place = F.pmod(F.xxhash64("__id"), F.lit(_HASHES))
-    limit = _HASHES if number <= max_labelled else _HASHES * max_labelled // number
-    # The labels of the training set are bounded by ``max_labelled``, so the texts need not be shuffled to them.
-    some = docs.withColumn("__id", F.col(f"`{id_col}`")).where(place < limit)
-    taught_ids = judged.where(place < limit).withColumnRenamed("y", "__y")
-    some = _with_views(some.join(F.broadcast(taught_ids), "__id", "left"), text_col)
+    judged = judged.where("__id is not null and y is not null").groupBy("__id").agg(F.min("y").cast("double").alias("y"))
+    docs = docs.withColumn("__id", F.col(f"`{id_col}`"))
+    # Only identifiers are shuffled to the labels; the chosen ones are few, so the texts need not be.
+    ids = stored(docs.select("__id").where("__id is not null").distinct().join(judged, "__id", "left"), "ids")
+    kinds = {r["y"]: r["count"] for r in ids.groupBy("y").count().collect()}
+    good, bad = kinds.get(1.0, 0), kinds.get(0.0, 0)
+    if not good or not bad:
+        return good / (good + bad) if good + bad else 1.0
+    half = max(1, max_labelled // 2)
+    room = {1.0: max(half, max_labelled - bad), 0.0: max(half, max_labelled - good)}
+    place, ordered = F.pmod(F.xxhash64("__id"), F.lit(_HASHES)), Window.partitionBy("y").orderBy("__place", "__id")
+
+    def chosen(y: float | None, bound: int) -> DataFrame:
+        number = kinds.get(y, 0)
+        part = ids.where(F.col("y").eqNullSafe(F.lit(y).cast("double"))).withColumn("__place", place)
+        return part if number <= bound else part.where(F.col("__place") < max(1, _HASHES * bound // number))
+
+    labelled = chosen(1.0, room[1.0]).unionByName(chosen(0.0, room[0.0])).withColumn("__rank", F.row_number().over(ordered))
+    taught_ids = stored(labelled.unionByName(chosen(None, max_open).withColumn("__rank", F.lit(None).cast("int"))), "taught")
+    taken = {r["y"]: r["count"] for r in taught_ids.where("y is not null").groupBy("y").count().collect()}
+    if len(taken) < 2:  # a hash range without a document, of a table too small for it
+        return co_train(
+            docs.drop("__id"), labels, id_col=id_col, text_col=text_col, target=target, max_labelled=good + bad,
+            max_open=max_open, rounds=rounds, sure=sure,
+        )
+    taught_ids = taught_ids.select("__id", F.col("y").alias("__y"), "__rank")
+    some = _with_views(docs.join(F.broadcast(taught_ids), "__id"), text_col)
     some = stored(
-        some.select("__id", "__terms", _PAGE, F.col("__y").alias("y"), ((place % 5 == 0) & F.col("__y").isNotNull()).alias("calibrate")),
-        "training_documents", compression="zstd",
+        some.select("__id", "__terms", _PAGE, F.col("__y").alias("y"), "__rank"), "training_documents", compression="zstd"
     )
-    kinds = {(r["calibrate"], r["y"]): r["count"] for r in some.where("y is not null").groupBy("calibrate", "y").count().collect()}
-    good, total = sum(n for (_, y), n in kinds.items() if y == 1.0), sum(kinds.values())
-    if min(kinds.get((c, y), 0) for c in (False, True) for y in (0.0, 1.0)) == 0:
-        return good / total if total else 1.0
-
-    terms = CountVectorizer(inputCol="__terms", outputCol=_TEXT, minDF=5.0, vocabSize=MAX_TERMS, binary=True).fit(some)
+    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
+    known = docs.select(F.explode(F.array_distinct(_terms(text))).alias("term")).groupBy("term").count().where("count >= 5")
+    known = [r["term"] for r in known.orderBy(F.desc("count"), "term").limit(MAX_TERMS).collect()]
+    if not known:
+        known = [r["term"] for r in some.select(F.explode("__terms").alias("term")).distinct().orderBy("term").limit(MAX_TERMS).collect()]
+    terms = CountVectorizerModel.from_vocabulary(known, inputCol="__terms", outputCol=_TEXT)
+    terms = terms.setBinary(True)
     some = terms.transform(some).drop("__terms").withColumn("w", F.lit(1.0))
     some = stored(some, "training_features", compression="zstd")
-    taught = some.where("y is not null and not calibrate")
+    # Of a kind with a single document that one is learned from and calibrated on.
+    alone = F.col("y").isin([y for y, n in taken.items() if n == 1])
+    taught = some.where(F.col("y").isNotNull() & ((F.col("__rank") % 5 != 1) | alone))
     open_ones = some.where("y is null").drop("y")
     text, page = _fit(taught, _TEXT), _fit(taught, _PAGE)
     bound = float(np.log(sure / (1 - sure)))
@@ -150,14 +186,16 @@ def co_train(
             for view in (_TEXT, _PAGE)
         )
         text, page = _fit(taught.unionByName(by_page), _TEXT), _fit(taught.unionByName(by_text), _PAGE)
-    fold = _margin(_margin(some.where("calibrate"), text, _TEXT), page, _PAGE)
+    fold = _margin(_margin(some.where("y is not null and __rank % 5 = 1"), text, _TEXT), page, _PAGE)
     fold = fold.select(_MARGIN + _TEXT, _MARGIN + _PAGE, "y").toPandas()
+    share = {1.0: good / (fold["y"] == 1.0).sum(), 0.0: bad / (fold["y"] == 0.0).sum()}
+    weights = fold["y"].map(share).to_numpy() / min(share.values())
     calibration, logits = {}, []
     for view in (_TEXT, _PAGE):
         margin = fold[[_MARGIN + view]].to_numpy()
-        calibration[view] = logistic(margin, fold["y"].to_numpy())
+        calibration[view] = logistic(margin, fold["y"].to_numpy(), weights=weights)
         logits.append(margin[:, 0] * calibration[view][0] + calibration[view][1])
-    return Quality(terms, text, page, calibration, logistic(np.column_stack(logits), fold["y"].to_numpy()))
+    return Quality(terms, text, page, calibration, logistic(np.column_stack(logits), fold["y"].to_numpy(), weights=weights))
 
 
 # ---- scoring ---------------------------------------------------------------
@@ -194,9 +232,8 @@ def quality_scores(
     identifier or label are no label; of several labels of one document the worst
     counts. Null text counts as empty, a null or missing language, source or
     length as unknown; rows without an identifier are scored but not learned from;
-    repeated rows are scored each. Where the labels do not hold both kinds in
-    training and calibration, every score is the share of good labels (1.0 without
-    any). An empty table gives an empty result; other columns are ignored.
+    repeated rows are scored each. Where the labels of the documents do not hold
+    both kinds, every score is the share of good labels (1.0 without any). An empty table gives an empty result; other columns are ignored.
     """
     model = co_train(docs, labels, id_col=id_col, text_col=text_col, **options)
     return with_quality(docs, model, text_col).select(

@@ -50,6 +50,18 @@ def test_held_out_accuracy(spark):
     assert kept.columns == frame.columns and kept.count() == sum(r["accepted"] for r in out)
 
 
+def test_rare_bad_labels_are_learned_from(spark):
+    docs, labels = corpus()
+    loud = [r[0] for r in labels if r[3] == "loud"]
+    known = [r[:3] for r in labels if r[3] == "good"] + [(i, 0, 0) for i in loud[:8]]
+    frame, shape = spark.createDataFrame(docs, SHAPE), "doc_id long, quality int, toxic int"
+    scores = {r["doc_id"]: r["score"] for r in quality_scores(frame, spark.createDataFrame(known, shape), max_labelled=40).collect()}
+    fine = [scores[r[0]] for r in labels if r[3] == "good"]
+    held = [scores[i] for i in loud[8:]]
+    assert len(set(scores.values())) > 1 and sum(x < 0.5 for x in held) / len(held) > 0.8
+    assert sum(x >= 0.5 for x in fine) / len(fine) > 0.95
+
+
 def test_nothing_to_learn_from(spark):
     docs, _ = corpus(20)
     frame = spark.createDataFrame(docs, SHAPE)
