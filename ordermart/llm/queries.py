@@ -7,12 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordermart.llm.common import table
+from ordermart.llm.common import WORD, table
 from ordermart.llm.decontamination import contaminated
 from ordermart.llm.exact_dedup import exact_dedup
 from ordermart.llm.hmm_scoring import score_documents
 from ordermart.llm.language_id import held_out_language_id
 from ordermart.llm.line_dedup import line_dedup
+from ordermart.llm.periodic_runs import periodic_runs
 from ordermart.llm.quality_classifier import quality_scores
 from ordermart.llm.simhash_dedup import simhash_dedup
 from ordermart.llm.source_mixing import mix_sources
@@ -75,6 +76,37 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return held_out_language_id(table(spark, sf_dir, "documents"))
 
 
+def with_repetition(docs: DataFrame) -> DataFrame:
+    """Every tenth text, by the hash of its identifier, goes on with copies of some of its words from one of them on."""
+    h, words = F.crc32(F.col("doc_id").cast("string")), F.regexp_extract_all(F.col("text"), F.lit(WORD), F.lit(0))
+    g, n = F.floor(h / 10), F.size("words")
+    start = (g % n).cast("int")
+    period = (1 + F.floor((n - start) / (3 + g % 8))).cast("int")
+    unit = F.slice("words", start + 1, period)
+    copies = F.slice(F.flatten(F.array_repeat(unit, F.ceil((n - start) / period).cast("int"))), 1, n - start)
+    text = F.array_join(F.concat(F.slice("words", 1, start), copies), " ")
+    chosen = (h % 10 == 0) & F.col("text").isNotNull()
+    return docs.select("doc_id", "text", F.when(chosen, words).alias("words")).select(
+        "doc_id", F.when(F.size("words") > 0, text).otherwise(F.col("text")).alias("text")
+    )
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs(with_repetition(table(spark, sf_dir, "documents")))
+    order = F.transform("runs", lambda r: F.struct(
+        r["length"].alias("length"), (-r["start"]).alias("early"), (-r["period"]).alias("short"),
+        r["start"].alias("start"), r["period"].alias("period"),
+    ))
+    best = F.array_max(order)
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), F.col("best.start").alias("start"),
+        F.col("best.length").alias("length"), F.col("best.period").alias("period"),
+        F.call_function("div", F.col("best.length") * 1000, F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_suffix_array_dedup": op1_suffix_array_dedup,
@@ -87,4 +119,5 @@ def queries() -> dict[str, Query]:
         "op8_hmm_scoring": op8_hmm_scoring,
         "op9_decontamination": op9_decontamination,
         "op10_language_id": op10_language_id,
+        "op11_periodic_runs": op11_periodic_runs,
     }
