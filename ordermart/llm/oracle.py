@@ -119,9 +119,62 @@ FROM judged
 """
 
 
+OP13 = """
+WITH kept AS MATERIALIZED (
+  SELECT vec_id, label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v,
+         row_number() OVER (ORDER BY vec_id) - 1 AS place
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+widths AS (SELECT (len(v) // 16)::BIGINT AS width FROM kept WHERE place = 0),
+positions AS MATERIALIZED (SELECT unnest(range(1, width + 1)) AS k FROM widths),
+parts AS MATERIALIZED (
+  SELECT vec_id, place, part, v[part * width + 1 : (part + 1) * width] AS x
+  FROM kept, widths, (SELECT unnest(range(0, 16)) AS part)),
+book0 AS MATERIALIZED (SELECT part, place AS entry, x FROM parts WHERE place < 64),
+chosen0 AS MATERIALIZED (
+  SELECT vec_id, part, min({'d': d, 'e': entry}) AS best FROM (
+    SELECT v.vec_id, v.part, b.entry,
+           list_sum(list_transform(list_zip(v.x, b.x), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d
+    FROM parts v JOIN book0 b ON v.part = b.part) GROUP BY vec_id, part),
+means0 AS (
+  SELECT part, entry, list(mean ORDER BY k) AS x FROM (
+    SELECT v.part, c.best.e AS entry, k, floor(sum(v.x[k])::DOUBLE / count(*))::BIGINT AS mean
+    FROM parts v JOIN chosen0 c ON v.vec_id = c.vec_id AND v.part = c.part, positions
+    GROUP BY v.part, c.best.e, k) GROUP BY part, entry),
+book1 AS MATERIALIZED (
+  SELECT b.part, b.entry, coalesce(m.x, b.x) AS x
+  FROM book0 b LEFT JOIN means0 m ON b.part = m.part AND b.entry = m.entry),
+chosen1 AS MATERIALIZED (
+  SELECT vec_id, part, min({'d': d, 'e': entry}) AS best FROM (
+    SELECT v.vec_id, v.part, b.entry,
+           list_sum(list_transform(list_zip(v.x, b.x), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d
+    FROM parts v JOIN book1 b ON v.part = b.part) GROUP BY vec_id, part),
+means1 AS (
+  SELECT part, entry, list(mean ORDER BY k) AS x FROM (
+    SELECT v.part, c.best.e AS entry, k, floor(sum(v.x[k])::DOUBLE / count(*))::BIGINT AS mean
+    FROM parts v JOIN chosen1 c ON v.vec_id = c.vec_id AND v.part = c.part, positions
+    GROUP BY v.part, c.best.e, k) GROUP BY part, entry),
+book2 AS MATERIALIZED (
+  SELECT b.part, b.entry, coalesce(m.x, b.x) AS x
+  FROM book1 b LEFT JOIN means1 m ON b.part = m.part AND b.entry = m.entry),
+chosen2 AS MATERIALIZED (
+  SELECT vec_id, part, min({'d': d, 'e': entry}) AS best FROM (
+    SELECT v.vec_id, v.part, b.entry,
+           list_sum(list_transform(list_zip(v.x, b.x), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d
+    FROM parts v JOIN book2 b ON v.part = b.part) GROUP BY vec_id, part),
+digest AS (SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM book2),
+codes AS (
+  SELECT vec_id, string_agg(printf('%02x', best.e), '' ORDER BY part) AS code, sum(best.d)::BIGINT AS error
+  FROM chosen2 GROUP BY vec_id)
+SELECT c.vec_id, c.code, c.error, sum(c.error) OVER (PARTITION BY k.label)::BIGINT AS label_error, d.codebooks_sha256
+FROM codes c JOIN kept k ON c.vec_id = k.vec_id, digest d
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_temperature_mixing": OP2,
         "op3_exact_dedup": OP3,
         "op7_warc_revisits": OP7,
+        "op13_vector_codes": OP13,
     }

@@ -261,15 +261,15 @@ def periodic_runs(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
                     yield found_in(texts, ids)
                     texts, ids, held = [], [], 0
                 texts.append(words)
-                ids.append(None if pd.isna(key) else key)
+                ids.append(key)
                 held += len(words) + 1
         if texts:
             yield found_in(texts, ids)
 
-    narrow = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("binary").alias("text"))
-    kind = narrow.schema["id"].dataType.simpleString()
-    found = narrow.mapInPandas(
-        find, f"id {kind}, n_words long, starts array<long>, lengths array<long>, periods array<long>, collapsed string"
+    own = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
+    # As text, identifiers pass pandas unchanged, nulls among them or not.
+    found = own.select(F.col("id").cast("string"), F.col("text").cast("binary")).mapInPandas(
+        find, "id string, n_words long, starts array<long>, lengths array<long>, periods array<long>, collapsed string"
     )
     runs = F.arrays_zip(F.col("starts").alias("start"), F.col("lengths").alias("length"), F.col("periods").alias("period"))
-    return found.select(F.col("id").alias(id_col), "n_words", runs.alias("runs"), "collapsed")
+    return found.select(F.col("id").cast(own.schema["id"].dataType).alias(id_col), "n_words", runs.alias("runs"), "collapsed")

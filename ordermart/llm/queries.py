@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ordermart.llm.common import WORD, table
 from ordermart.llm.decontamination import contaminated
+from ordermart.llm.disclosure import BASE, personal_data
 from ordermart.llm.exact_dedup import exact_dedup
 from ordermart.llm.hmm_scoring import score_documents
 from ordermart.llm.language_id import held_out_language_id
@@ -18,6 +19,7 @@ from ordermart.llm.quality_classifier import quality_scores
 from ordermart.llm.simhash_dedup import simhash_dedup
 from ordermart.llm.source_mixing import mix_sources
 from ordermart.llm.suffix_dedup import remove_repeated_passages
+from ordermart.llm.vector_codes import codebooks_digest, vector_codes, with_label_error
 from ordermart.llm.warc_revisits import captures, resolve_revisits
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -107,6 +109,31 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_information_sanitisation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = personal_data(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["kind"].isin(*BASE))
+
+    def number(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    def listed(spans: Column) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    return found.select(
+        "doc_id", *map(number, BASE),
+        F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"),
+    )
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codes, book = vector_codes(table(spark, sf_dir, "embeddings"))
+    digits = F.transform("code", lambda entry: F.lpad(F.lower(F.hex(entry)), 2, "0"))
+    return with_label_error(codes).select(
+        "vec_id", F.array_join(digits, "").alias("code"), "error", "label_error",
+        F.lit(codebooks_digest(book)).alias("codebooks_sha256"),
+    )
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_suffix_array_dedup": op1_suffix_array_dedup,
@@ -120,4 +147,6 @@ def queries() -> dict[str, Query]:
         "op9_decontamination": op9_decontamination,
         "op10_language_id": op10_language_id,
         "op11_periodic_runs": op11_periodic_runs,
+        "op12_information_sanitisation": op12_information_sanitisation,
+        "op13_vector_codes": op13_vector_codes,
     }
