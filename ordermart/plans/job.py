@@ -14,12 +14,13 @@ from pyspark.sql import functions as F
 from ordermart.functions.bands import Bands
 from ordermart.functions.dates import as_timestamp
 from ordermart.plans import forecast as fc
+from ordermart.plans import group_forecast as gf
 from ordermart.plans import marts, quality
 from ordermart.plans.calendar import HOLIDAYS, PEAK_MONTHS, calendar_dim
 from ordermart.plans.star import (
     AS_OF, PRICE_BANDS, Order, agent_dim, customer_dim, menu_item_dim, order_fact, order_item_fact, restaurant_dim,
 )
-from ordermart.schemas import FINDINGS, FORECAST, METRICS, MINIMUM_ROWS, MONTHLY_MART, STAR
+from ordermart.schemas import FINDINGS, FORECAST, GROUP_FORECAST, METRICS, MINIMUM_ROWS, MONTHLY_MART, STAR
 from ordermart.session import child_names, remove_path
 from ordermart.sources.readers import INGEST, read_present
 from ordermart.sources.writers import conform, publish, publish_version
@@ -192,7 +193,8 @@ def run_mart(spark: SparkSession, settings: Settings) -> None:
 
 
 def run_forecast(spark: SparkSession, settings: Settings) -> None:
-    """Write the forecast of the current star as a new version, and its error measures under the run's name.
+    """Write the forecasts of the current star, of all orders and by city and cuisine, as new versions,
+    and the error measures of the former under the run's name.
 
     A retry of a run replaces what the run has written, so nothing is counted twice.
     """
@@ -203,6 +205,13 @@ def run_forecast(spark: SparkSession, settings: Settings) -> None:
     forecast = conform(fc.future_only(predicted, settings.run_at), FORECAST)
     publish_version(forecast, f"{settings.home}/{FORECAST.name}", settings.run_id, keep=settings.keep_runs)
     publish(fc.stamped(metrics, settings.run_at), f"{settings.home}/{METRICS.name}/run={settings.run_id}")
+    grouped = gf.fit_and_predict_by(
+        gf.daily_series_by(star["fact_orders"], star["dim_date"], star["dim_restaurant"]), horizon=settings.horizon
+    )
+    publish_version(
+        conform(gf.future_by(grouped, settings.run_at), GROUP_FORECAST), f"{settings.home}/{GROUP_FORECAST.name}",
+        settings.run_id, keep=settings.keep_runs,
+    )
 
 
 def run_daily(spark: SparkSession, settings: Settings) -> dict[str, DataFrame]:

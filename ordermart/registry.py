@@ -22,6 +22,7 @@ from ordermart.functions.text import clean_email, clean_name, strip
 from ordermart.operators.dedup import keep_first
 from ordermart.operators.ranking import with_ntile
 from ordermart.plans import forecast as fc
+from ordermart.plans import group_forecast as gf
 from ordermart.plans import marts, quality, reports, segments
 from ordermart.plans.job import read_fact_range
 from ordermart.plans.star import (
@@ -328,6 +329,11 @@ def _latest_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fc.latest_metrics(_metrics_history(spark, sf_dir))
 
 
+def _grouped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    star = dv.star(spark, sf_dir)
+    return gf.fit_and_predict_by(gf.daily_series_by(star[ORDERS], star[DAYS], star[SHOPS]))
+
+
 def _forecast_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fc.forecast_listing(_forecast_written(spark, sf_dir), days=7)
 
@@ -412,6 +418,9 @@ _QUERIES: dict[str, Query] = {
     "forecast_preview": _forecast_preview,
     "forecast_metrics": _forecast_metrics,
     "error_metrics": _error_metrics,
+    "daily_series_by_group": _over(gf.daily_series_by, ORDERS, DAYS, SHOPS),
+    "forecast_by_group": lambda spark, sf_dir: gf.future_by(_grouped(spark, sf_dir), RUN_AT),
+    "forecast_metrics_by_group": lambda spark, sf_dir: gf.error_metrics_by(_grouped(spark, sf_dir)),
     "latest_metrics": _latest_metrics,
 }
 

@@ -291,6 +291,15 @@ FORECAST = _declare("ml_order_forecast", "forecast_date", """
     upper_bound bigint
     created_at timestamp""")
 
+GROUP_FORECAST = _declare("ml_order_forecast_by_group", ("city", "cuisine_type", "forecast_date"), """
+    city string
+    cuisine_type string
+    forecast_date date
+    predicted_orders bigint
+    lower_bound bigint
+    upper_bound bigint
+    created_at timestamp""")
+
 FINDINGS = _declare("load_findings", ("finding", "table_name", "subject"), """
     finding string
     table_name string

@@ -8,6 +8,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from ordermart.plans import forecast as fc
+from ordermart.plans import group_forecast as gf
 from ordermart.plans.calendar import calendar_dim
 
 START = dt.date(2022, 1, 3)  # a Monday
@@ -125,3 +126,40 @@ def test_coefficients_are_those_of_a_ridge_solution(spark):
     scale = (np.exp(y)).sum() / np.exp(logs).sum()
     found = [r.yhat for r in fc.observed(fc.fit_and_predict(series)).orderBy("ds").collect()]
     np.testing.assert_allclose(found, np.exp(logs) * scale - 1, rtol=1e-6)
+
+
+def test_groups_are_forecast_like_single_series(spark):
+    draw = random.Random(4)
+    kinds = {("A", "x"): (400, 3.0, 1), ("A", None): (90, 1.0, 3), ("B", "x"): (12, 0.5, 1), ("B", "y"): (1, 2.0, 1), ("C", "z"): (30, None, 1)}
+    data = [
+        (*key, START + dt.timedelta(days=i * step), 5 if level is None else int(math.exp(level + draw.gauss(0, 0.4))) + 1)
+        for key, (days, level, step) in kinds.items() for i in range(days)
+    ]
+    series = spark.createDataFrame(data, "city string, cuisine_type string, ds date, y long").repartition(5)
+    predicted = gf.fit_and_predict_by(series, horizon=7)
+    future = {(r.city, r.cuisine_type, r.forecast_date): r for r in gf.future_by(predicted, RUN_AT).collect()}
+    metrics = {(r.city, r.cuisine_type): r for r in gf.error_metrics_by(predicted).collect()}
+    assert len(future) == 7 * len(kinds) and len(metrics) == len(kinds)
+    for city, cuisine in kinds:
+        mine = F.col("city").eqNullSafe(city) & F.col("cuisine_type").eqNullSafe(F.lit(cuisine))
+        alone = fc.fit_and_predict(series.filter(mine).select("ds", "y"), horizon=7)
+        ours = predicted.filter(mine).orderBy("ds").collect()
+        single = alone.orderBy("ds").collect()
+        assert [(r.ds, r.y) for r in ours] == [(r.ds, r.y) for r in single]
+        for column in fc.PREDICTED:
+            np.testing.assert_allclose([r[column] for r in ours], [r[column] for r in single], rtol=1e-9, atol=1e-9)
+        one = fc.error_metrics(fc.observed(alone), alone).first()
+        assert tuple(metrics[city, cuisine])[2:] == tuple(one)
+        for r in fc.future_only(alone, RUN_AT).collect():
+            assert tuple(future[city, cuisine, r.forecast_date])[2:] == tuple(r)
+    assert gf.fit_and_predict_by(series.limit(0)).count() == 0
+
+
+def test_series_by_group_leaves_unknown_merchants_out(spark):
+    orders = spark.createDataFrame(
+        [("O1", "R1", 20230101, "Delivered"), ("O2", "R2", 20230101, "Delivered"), ("O3", "R3", 20230101, "Delivered"),
+         ("O4", "R1", 20230102, "Cancelled"), ("O5", "R9", 20230101, "Delivered"), ("O6", "R1", None, "Delivered")],
+        "order_id string, restaurant_id string, date_id int, status string")
+    shops = spark.createDataFrame([("R1", "A", "x"), ("R2", "A", "x"), ("R3", "B", None)], "restaurant_id string, city string, cuisine_type string")
+    found = gf.daily_series_by(orders, calendar_dim(spark, "2023-01-01", "2023-01-05"), shops)
+    assert rows(found) == [("A", "x", dt.date(2023, 1, 1), 2), ("B", None, dt.date(2023, 1, 1), 1)]
