@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ordermart.session import ensure_checkpoint_dir
 
-#: Rows of a key and a few numbers that one task sorts in a fraction of a second and a few MB.
-ONE_TASK_ROWS = 1 << 18
+#: Ranges in which the rows around the end of a tile are counted at a time.
+STEPS = 1 << 12
+#: Accuracy of the quantile sketch from which the search starts; no result depends on it.
+ACCURACY = 10_000
 _LOCAL_BITS = 33  # monotonically_increasing_id keeps the in-partition position in the low 33 bits
 
 
@@ -67,44 +71,156 @@ def first_with_ntile(frame: DataFrame, tiles: int, order: Sequence[Column], name
     return numbered.select(*frame.columns, _tile(F.col("_number") - 1, rows, tiles).alias(name))
 
 
-def ntile_scores(
-    frame: DataFrame, key: str, scores: Mapping[str, Column], tiles: int, most_rows: int | None = None
-) -> DataFrame:
-    """Several global ``NTILE`` scores of the same rows from a single sort.
-
-    ``most_rows`` is a bound that the caller has checked on the number of rows:
-    up to ``ONE_TASK_ROWS`` the built-in windows sort them in one task, which
-    gives the same tiles without a checkpoint and a second shuffle.
+def ntile_scores(frame: DataFrame, key: str, scores: Mapping[str, Column], tiles: int) -> DataFrame:
+    """Several global ``NTILE`` scores of the same rows, without sorting them.
 
     ``scores`` maps each name to the BIGINT that orders it, ascending, nulls
-    first; the unique ``key`` breaks ties. Every row is sorted once per score
-    in one list ordered by (score, value, key), then brought together again.
+    first; the unique ``key`` breaks ties. A row's tile is the number of tiles
+    that end before it, so all that is needed of the order is the last row of
+    every tile but the last (``tile_ends``); each row is then compared with these
+    ``tiles - 1`` rows per score where it lies, without a join or a shuffle.
     Returns ``key`` and, per score, its tile and its value as ``<name>_value``.
+
+    The rows are checkpointed, since they are read a few times: once per step of
+    the search for the ends, and once for the result.
     """
-    if most_rows is not None and most_rows <= ONE_TASK_ROWS:
-        tiled = frame.select(key, *[value.cast("bigint").alias(f"{name}_value") for name, value in scores.items()])
-        return tiled.select(
-            key, *[
-                column for name in scores for column in (
-                    F.ntile(tiles).over(Window.orderBy(F.col(f"{name}_value").asc_nulls_first(), F.col(key).asc())).alias(name),
-                    F.col(f"{name}_value"),
-                )
-            ],
-        )
-    values = F.array(*[value.cast("bigint") for value in scores.values()])
-    listed = frame.select(key, F.posexplode(values).alias("_score", "_value"))
-    order = [F.col("_score").asc(), F.col("_value").asc_nulls_first(), F.col(key).asc()]
-    numbered = with_row_number(listed, order, "_number", total="_listed")
-    rows = F.call_function("div", F.col("_listed"), F.lit(len(scores)))
-    tiled = numbered.select(
-        key, "_score", "_value", _tile(F.col("_number") - 1 - F.col("_score") * rows, rows, tiles).alias("_tile")
-    )
-    columns = []
-    for i, name in enumerate(scores):
-        mine = F.col("_score") == i
-        columns += [F.max(F.when(mine, F.col("_tile"))).alias(name),
-                    F.max(F.when(mine, F.col("_value"))).alias(f"{name}_value")]
-    return tiled.groupBy(key).agg(*columns)
+    ensure_checkpoint_dir(frame.sparkSession)
+    valued = frame.select(key, *[value.cast("bigint").alias(f"{name}_value") for name, value in scores.items()]).checkpoint()
+    ends = tile_ends(valued, key, [f"{name}_value" for name in scores], tiles)
+
+    def tile(name: str) -> Column:
+        value = F.col(f"{name}_value")
+        after = [F.lit(1)]
+        for last, last_key in ends[f"{name}_value"]:
+            if last is None:
+                beyond, same = value.isNotNull(), value.isNull()
+            else:
+                beyond, same = F.coalesce(value > F.lit(last), F.lit(False)), value.eqNullSafe(F.lit(last))
+            if last_key is not None:
+                beyond = beyond | (same & (F.col(key) > F.lit(last_key)))
+            after.append(beyond.cast("int"))
+        return reduce(Column.__add__, after)
+
+    return valued.select(key, *[column for name in scores for column in (tile(name).alias(name), F.col(f"{name}_value"))])
+
+
+def tile_ends(
+    valued: DataFrame, key: str, columns: Sequence[str], tiles: int
+) -> dict[str, list[tuple[int | None, object]]]:
+    """(value, key) of the last row of every tile but the last, per column; the key is None where all rows of the value belong.
+
+    Each column is ordered ascending, nulls first, ties by the unique key; an end of a
+    tile that holds no row is left out. The value of an end is first guessed from a
+    quantile sketch, and the rows around the guess are counted; where it is not the end,
+    it is found by counting rows in up to ``STEPS`` equal ranges, then in the parts of the range that holds
+    the end, until a range is one value: one to six aggregations whose results are as
+    small as the number of ranges. Only rows that share the value of an end in
+    their midst are numbered by key.
+    """
+    shares = F.lit([tile / tiles for tile in range(1, tiles)] or [0.5])
+    bounds = valued.agg(
+        F.count(F.lit(1)),
+        *[f for c in columns for f in (F.count(c), F.min(c), F.max(c), F.percentile_approx(c, shares, F.lit(ACCURACY)))],
+    ).first()
+    rows, found, searches, guesses = bounds[0], {c: [] for c in columns}, [], []
+    for i, column in enumerate(columns):
+        present, low, high, near = bounds[1 + 4 * i:5 + 4 * i]
+        for tile in range(1, tiles):
+            last = tile * (rows // tiles) + min(tile, rows % tiles)  # number of the last row of the tile
+            if not last or last >= rows:
+                continue
+            slot = len(found[column])
+            found[column].append((None, None))
+            if last > rows - present:
+                searches.append(_Search(column, slot, last, rows - present, low, high))
+                guesses.append(near[min(len(near) - 1, (last - rows + present) * tiles // max(present, 1))])
+            elif last < rows - present:
+                searches.append(_Search(column, slot, last, 0, None, None, rows - present))
+                guesses.append(None)
+    _try(valued, [(s, guess) for s, guess in zip(searches, guesses) if s.low != s.high])
+    while any(s.low != s.high for s in searches):
+        _narrow(valued, [s for s in searches if s.low != s.high])
+    for s in searches:
+        found[s.column][s.slot] = (s.low, None)
+    single = [s for s in searches if s.held is None]
+    if single:  # ranges of one value from the start, or left of a guess
+        counted = valued.agg(*[F.count_if(F.col(s.column) == F.lit(s.low)) for s in single]).first()
+        for s, held in zip(single, counted):
+            s.held = held
+    open_ones = [s for s in searches if s.number - s.before < s.held]
+    for s, last_key in zip(open_ones, _keys_at(valued, key, open_ones)):
+        found[s.column][s.slot] = (s.low, last_key)
+    return found
+
+
+@dataclass
+class _Search:
+    """The row of a number in the order of a column: its value lies from ``low`` to ``high``."""
+
+    column: str
+    slot: int
+    number: int
+    before: int  # rows before those of the range
+    low: int | None
+    high: int | None
+    held: int | None = None  # rows of the range, where known
+
+
+def _try(valued: DataFrame, guesses: Sequence[tuple[_Search, int]]) -> None:
+    """Cut the range of every search to its guess, or to the side of it where the row lies, by one aggregation."""
+    if not guesses:
+        return
+    counted = valued.agg(*[
+        F.count_if(c) for s, guess in guesses for c in (F.col(s.column) < F.lit(guess), F.col(s.column) == F.lit(guess))
+    ]).first()
+    for i, (s, guess) in enumerate(guesses):
+        below, held = s.before + counted[2 * i], counted[2 * i + 1]
+        if s.number <= below:
+            s.high = guess - 1
+        elif s.number <= below + held:
+            s.low, s.high, s.before, s.held = guess, guess, below, held
+        else:
+            s.low, s.before = guess + 1, below + held
+
+
+def _narrow(valued: DataFrame, searches: Sequence[_Search]) -> None:
+    """Cut the range of every search to one of at most ``STEPS`` parts of it, by one aggregation.
+
+    Parts are multiples of a power of two, so a row's part is its value without the low bits.
+    """
+    bits = [next(b for b in range(64) if (s.high >> b) - (s.low >> b) < STEPS) for s in searches]
+    places = F.array_compact(F.array(*[
+        F.when(F.col(s.column).between(s.low, s.high), F.struct(
+            F.lit(i).alias("search"), F.shiftright(s.column, b).alias("part")
+        )) for i, (s, b) in enumerate(zip(searches, bits))
+    ]))
+    counted = valued.select(F.explode(places).alias("at")).groupBy("at").agg(F.count(F.lit(1)).alias("held"))
+    by_search: dict[int, list[tuple[int, int]]] = {}
+    for r in counted.select("at.search", "at.part", "held").collect():  # at most STEPS rows for each search
+        by_search.setdefault(r.search, []).append((r.part, r.held))
+    for i, (s, b) in enumerate(zip(searches, bits)):
+        for part, held in sorted(by_search[i]):
+            if s.before + held >= s.number:
+                s.low, s.high, s.held = max(s.low, part << b), min(s.high, (part + 1 << b) - 1), held
+                break
+            s.before += held
+
+
+def _keys_at(valued: DataFrame, key: str, searches: Sequence[_Search]) -> list:
+    """Key of the row at the number of each search, among the rows of its value."""
+    if not searches:
+        return []
+    values = list(dict.fromkeys((s.column, s.low) for s in searches))  # several tiles may end in one value
+    of = F.array_compact(F.array(*[
+        F.when(F.col(column).eqNullSafe(F.lit(value).cast("bigint")), F.lit(i)) for i, (column, value) in enumerate(values)
+    ]))
+    tied = valued.select(F.explode(of).alias("_of"), key)
+    held = {(s.column, s.low): s.held for s in searches}
+    before = [sum(held[v] for v in values[:i]) for i in range(len(values))]
+    wanted = [before[values.index((s.column, s.low))] + s.number - s.before for s in searches]
+    numbered = with_row_number(tied, [F.col("_of").asc(), F.col(key).asc()], "_number")
+    at = {r["_number"]: r[key] for r in numbered.filter(F.col("_number").isin(wanted)).collect()}
+    return [at[number] for number in wanted]
 
 
 def _tile(zero_based: Column, rows: Column, tiles: int) -> Column:

@@ -20,7 +20,7 @@ from ordermart.functions.bands import band
 from ordermart.functions.dates import as_date, date_key, day_name, days_until, is_weekend, month_name
 from ordermart.functions.text import clean_email, clean_name, strip
 from ordermart.operators.dedup import keep_first
-from ordermart.operators.ranking import with_ntile
+from ordermart.operators.ranking import ntile_scores
 from ordermart.plans import forecast as fc
 from ordermart.plans import group_forecast as gf
 from ordermart.plans import marts, quality, reports, segments
@@ -133,8 +133,8 @@ def _customer_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _spend_quartiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quartile of every order by value, over the whole order table."""
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
-    order = [F.col("o_totalprice").desc_nulls_first(), F.col("o_orderkey").asc()]
-    return with_ntile(orders.select("o_orderkey", "o_totalprice"), 4, order, "quartile").select("o_orderkey", "quartile")
+    falling = {"quartile": -F.rint(F.col("o_totalprice") * 100)}  # prices have two decimals
+    return ntile_scores(orders, "o_orderkey", falling, 4).select("o_orderkey", "quartile")
 
 
 # ---- star ------------------------------------------------------------------

@@ -57,7 +57,7 @@ def test_ntile_equals_builtin(spark, size, tiles):
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
 
 
-def test_scores_from_one_sort_equal_separate_ntiles(spark):
+def test_scores_equal_separate_ntiles_where_one_value_is_common(spark):
     random.seed(7)
     # one value of a holds two thirds of the rows
     data = [(f"c{i:05d}", random.choice([1, 1, random.randint(2, 9)]), random.randint(0, 10**12)) for i in range(2003)]
@@ -122,10 +122,31 @@ def test_keep_first_puts_nulls_last(spark):
     assert rows(keep_first(frame, "k", ["v"])) == [(1, "x", 5), (2, None, 1)]
 
 
-def test_scores_of_one_task_and_of_many_agree(spark):
-    frame = spark.range(0, 500).select("id", (F.col("id") * 7 % 11).alias("a"), F.when(F.col("id") % 9 != 0, F.col("id") % 40).alias("b"))
-    scores = {"x": -F.col("a"), "y": F.col("b")}
-    assert rows(ntile_scores(frame, "id", scores, 5, most_rows=500)) == rows(ntile_scores(frame, "id", scores, 5))
+def plain_scores(frame, scores, tiles):
+    columns = []
+    for name, value in scores.items():
+        order = Window.orderBy(value.cast("long").asc_nulls_first(), "id")
+        columns += [F.ntile(tiles).over(order).alias(name), value.cast("long").alias(f"{name}_value")]
+    return frame.select("id", *columns)
+
+
+@pytest.mark.parametrize("n,tiles", [(0, 5), (1, 5), (3, 5), (5, 5), (7, 2), (500, 5), (1003, 7), (40, 1)])
+def test_tiles_equal_ntile_on_ties_nulls_and_few_rows(spark, n, tiles):
+    frame = spark.range(0, n, 1, 4).select(
+        "id", (F.col("id") * 7 % 11).alias("a"), F.when(F.col("id") % 3 != 0, F.col("id") % 40).alias("b"),
+        F.lit(None).cast("long").alias("c"), F.lit(4).alias("d"),
+        (F.xxhash64("id")).alias("e"), F.when(F.col("id") % 2 == 0, F.lit(-(2**62))).otherwise(F.col("id")).alias("f"),
+    )
+    scores = {"x": -F.col("a"), **{k: F.col(k) for k in "bcdef"}}
+    assert rows(ntile_scores(frame, "id", scores, tiles)) == rows(plain_scores(frame, scores, tiles))
+
+
+def test_tiles_are_found_without_sorting_all_rows(spark):
+    frame = spark.range(0, 20_000, 1, 4).select(F.concat(F.lit("k"), F.col("id")).alias("id"), F.xxhash64("id").alias("a"))
+    found = ntile_scores(frame, "id", {"x": F.col("a")}, 5)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Sort" not in plan and "Window" not in plan
+    assert rows(found) == rows(plain_scores(frame, {"x": F.col("a")}, 5))
 
 
 def test_upsert_path_keeps_rows_of_a_null_partition(spark, tmp_path):
