@@ -21,6 +21,8 @@ def settings_from(arguments: list[str] | None = None) -> tuple[str, job.Settings
     parser.add_argument("--calendar-end", default=job.Settings.calendar_end)
     parser.add_argument("--as-of", default=job.Settings.as_of, help="reference day of tenure and experience")
     parser.add_argument("--horizon", type=int, default=job.Settings.horizon, help="days to forecast")
+    parser.add_argument("--quarantine", action="store_true", help="set rows apart that do not fit, instead of failing")
+    parser.add_argument("--mart", choices=["refresh", "upsert"], default=job.Settings.mart)
     options = vars(parser.parse_args(arguments))
     return options.pop("step"), job.Settings(**options)
 

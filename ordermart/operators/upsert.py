@@ -5,13 +5,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ordermart.session import ensure_checkpoint_dir
-from ordermart.sources.writers import publish
-
 
 def upsert(target: DataFrame, incoming: DataFrame, keys: Sequence[str], update: Sequence[str]) -> DataFrame:
     """All target rows plus new keys; a key on both sides takes only ``update`` from incoming.
@@ -33,30 +29,3 @@ def upsert(target: DataFrame, incoming: DataFrame, keys: Sequence[str], update:
         return F.when(take_new, F.col(f"new.{column}")).otherwise(F.col(f"old.{column}")).alias(column)
 
     return joined.select(*[choose(column) for column in target.columns])
-
-
-def upsert_path(
-    path: str, incoming: DataFrame, keys: Sequence[str], update: Sequence[str], partition_by: Sequence[str]
-) -> None:
-    """Upsert into a partitioned Parquet table, rewriting only the partitions that incoming touches.
-
-    ``partition_by`` must be part of ``keys``. An absent table is created.
-    Incoming rows are checkpointed because they are read twice, the merged ones
-    because a path cannot be overwritten while a plan still reads it.
-    """
-    spark = incoming.sparkSession
-    ensure_checkpoint_dir(spark)
-    incoming = incoming.checkpoint()
-    try:
-        target = spark.read.schema(incoming.schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        publish(incoming, path, partition_by=partition_by)
-        return
-    touched = incoming.select(*partition_by).distinct().alias("touched")
-    # Null-safe: a row with a null partition value rewrites the null partition like any other.
-    same = reduce(lambda a, b: a & b, [F.col(f"held.{c}").eqNullSafe(F.col(f"touched.{c}")) for c in partition_by])
-    affected = target.alias("held").join(touched, same, "left_semi").select(*incoming.columns)
-    merged = upsert(affected, incoming, keys, update).checkpoint()
-    publish(merged, path, mode="overwrite", partition_by=partition_by, only_touched=True)

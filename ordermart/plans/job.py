@@ -20,9 +20,10 @@ from ordermart.plans.calendar import HOLIDAYS, PEAK_MONTHS, calendar_dim
 from ordermart.plans.star import (
     AS_OF, PRICE_BANDS, Order, agent_dim, customer_dim, menu_item_dim, order_fact, order_item_fact, restaurant_dim,
 )
-from ordermart.schemas import FINDINGS, FORECAST, GROUP_FORECAST, METRICS, MINIMUM_ROWS, MONTHLY_MART, STAR
-from ordermart.session import child_names, remove_path
+from ordermart.schemas import FINDINGS, FORECAST, GROUP_FORECAST, METRICS, MINIMUM_ROWS, MONTHLY_MART, QUARANTINE, STAR
+from ordermart.session import child_names, remove_path, scratch_path
 from ordermart.sources.readers import INGEST, read_present
+from ordermart.sources.staging import stage
 from ordermart.sources.writers import conform, publish, publish_version
 
 FACT_PARTITIONS = ("order_year", "order_month")
@@ -48,6 +49,8 @@ class Settings:
     peak_months: tuple[int, ...] = PEAK_MONTHS
     price_bands: Bands = PRICE_BANDS
     keep_runs: int = 3
+    quarantine: bool = False  # set rows apart that do not fit their types, instead of failing the run
+    mart: str = "refresh"  # or "upsert"
 
     @property
     def home(self) -> str:
@@ -150,19 +153,8 @@ def _order_days(orders: DataFrame, settings: Settings) -> tuple[str, str]:
     return settings.calendar_start or str(first), settings.calendar_end or str(last)
 
 
-def run_load(spark: SparkSession, settings: Settings) -> dict[str, DataFrame]:
-    """Gate the sources, load the star, audit it and make it current.
-
-    A star is written to a folder of its own and becomes current by one row
-    appended to ``runs``, so readers never see a half-written table. A CSV row
-    that does not fit its schema fails the run. Of several rows of a key the first
-    in the files is kept. What the profiles and constraints find is written per
-    run; the last ``keep_runs`` stars and findings stay.
-    """
-    sources = read_present(
-        spark, settings.source_root, settings.source_format, strict=True, multi_line=settings.multi_line, ingest=True
-    )
-    quality.require_gate(quality.source_gate(spark, sources, settings.minimums))
+def _build(spark: SparkSession, settings: Settings, sources: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """The star of the sources, audited, and what the audits have found."""
     first, last = _order_days(sources["orders"], settings)
     calendar = calendar_dim(spark, first, last, settings.holidays, settings.peak_months)
     star = load_star(
@@ -174,18 +166,62 @@ def run_load(spark: SparkSession, settings: Settings) -> dict[str, DataFrame]:
     publish_version(
         quality.findings(declared, star), f"{settings.home}/{FINDINGS.name}", settings.run_id, keep=settings.keep_runs
     )
+    return star
+
+
+def run_load(spark: SparkSession, settings: Settings) -> dict[str, DataFrame]:
+    """Gate the sources, load the star, audit it and make it current.
+
+    A star is written to a folder of its own and becomes current by one row
+    appended to ``runs``, so readers never see a half-written table. A text source is
+    parsed once: its rows are counted while a typed copy is written, which all that
+    follows reads. A row that does not fit its schema fails the run, or with
+    ``quarantine`` is written per run with the reasons (``quarantined_rows``) and left
+    out. Of several rows of a key the first in the files is kept. What the profiles and
+    constraints find is written per run; the last ``keep_runs`` stars and findings stay.
+    """
+    text = settings.source_format == "csv"
+    sources = read_present(
+        spark, settings.source_root, settings.source_format, strict=not settings.quarantine,
+        multi_line=settings.multi_line, ingest=True,
+    )
+    copies = scratch_path(spark, "staged")
+    try:
+        if text:
+            staged = stage(spark, sources, copies)
+            sources = staged.frames
+            gate = quality.counted_gate(spark, staged.counts, settings.minimums)
+        else:
+            gate = quality.source_gate(spark, sources, settings.minimums)
+        quality.require_gate(gate)
+        if text and settings.quarantine:
+            publish_version(
+                staged.quarantined, f"{settings.home}/{QUARANTINE.name}", settings.run_id, keep=settings.keep_runs
+            )
+        star = _build(spark, settings, sources)
+    finally:
+        remove_path(spark, copies)
     run = spark.range(1).select(
         F.lit(settings.run_id).alias("run_id"), as_timestamp(settings.run_at).alias("run_at")
     )
     publish(run, f"{settings.home}/runs", mode="append")
-    for old in child_names(spark, f"{settings.home}/star")[:-settings.keep_runs]:
-        remove_path(spark, f"{settings.home}/star/{old}")
+    done = {r.run_id for r in spark.read.parquet(f"{settings.home}/runs").select("run_id").distinct().collect()}
+    kept = sorted(done)[-settings.keep_runs:]  # stars of runs that failed do not count
+    for old in child_names(spark, f"{settings.home}/star"):
+        if old not in kept:
+            remove_path(spark, f"{settings.home}/star/{old}")
     return star
 
 
 def run_mart(spark: SparkSession, settings: Settings) -> None:
-    """Replace the monthly mart from the current star."""
+    """Replace the monthly mart from the current star, or upsert its months."""
     star = current_star(spark, settings.home)
+    if settings.mart == "upsert":
+        marts.upsert_mart(
+            f"{settings.home}/{MONTHLY_MART.name}_upserted", settings.run_id,
+            star["fact_orders"], star["dim_date"], star["dim_restaurant"], keep=settings.keep_runs,
+        )
+        return
     marts.refresh_mart(
         f"{settings.home}/{MONTHLY_MART.name}", settings.run_id,
         star["fact_orders"], star["dim_date"], star["dim_restaurant"],

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ordermart.functions.exact import cents, mean_money, money, rounded_ratio
-from ordermart.operators.upsert import upsert, upsert_path
+from ordermart.operators.upsert import upsert
+from ordermart.operators.versioned import read_versioned, upsert_versioned, write_versioned
 from ordermart.schemas import MONTHLY_MART
 from ordermart.sources.writers import conform, publish_version
 
@@ -74,6 +75,20 @@ def refresh_mart(root: str, version: str, orders: DataFrame, calendar: DataFrame
     return publish_version(mart, root, version, partition_by=PARTITIONS)
 
 
-def upsert_mart(path: str, orders: DataFrame, calendar: DataFrame, restaurants: DataFrame) -> None:
+def seed_mart(root: str, version: str, orders: DataFrame, calendar: DataFrame, restaurants: DataFrame) -> None:
+    """Start an upserted mart from a full refresh."""
+    mart = conform(mart_for_refresh(orders, calendar, restaurants), MONTHLY_MART)
+    write_versioned(mart, root, version, PARTITIONS)
+
+
+def upsert_mart(
+    root: str, version: str, orders: DataFrame, calendar: DataFrame, restaurants: DataFrame, keep: int = 3
+) -> None:
+    """Upsert the mart under ``root``: months of the given orders are written anew, the others stay as they are."""
     mart = conform(mart_for_upsert(orders, calendar, restaurants), MONTHLY_MART)
-    upsert_path(path, mart, KEYS, UPDATED, PARTITIONS)
+    upsert_versioned(mart, root, version, KEYS, UPDATED, PARTITIONS, keep)
+
+
+def upserted_mart(spark: SparkSession, root: str, version: str | None = None) -> DataFrame:
+    """The upserted mart as of a version, by default the last complete one."""
+    return read_versioned(spark, root, MONTHLY_MART.schema, version)

@@ -43,7 +43,18 @@ def source_gate(
             rows = frame.agg(F.count(F.lit(1)).alias("row_count"))
         return rows.select(F.lit(name).alias("source"), "row_count", F.lit(minimums[name]).alias("min_rows"))
 
-    gate = _union([counted(name, sources.get(name)) for name in minimums])
+    return _judged(_union([counted(name, sources.get(name)) for name in minimums]))
+
+
+def counted_gate(
+    spark: SparkSession, counts: Mapping[str, int | None], minimums: Mapping[str, int] = MINIMUM_ROWS
+) -> DataFrame:
+    """The same from row counts that were taken while the sources were read; None for a missing source."""
+    rows = [(name, counts.get(name), least) for name, least in minimums.items()]
+    return _judged(spark.createDataFrame(rows, "source string, row_count bigint, min_rows int"))
+
+
+def _judged(gate: DataFrame) -> DataFrame:
     outcome = (
         F.when(F.col("row_count").isNull(), "MISSING")
         .when(F.col("row_count") < F.col("min_rows"), "LOW ROWS")

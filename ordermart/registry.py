@@ -29,9 +29,10 @@ from ordermart.plans.star import (
     AGENT_TIERS, RATING_BANDS, TIME_OF_DAY, agent_dim, customer_dim, line_total, menu_item_dim, order_fact,
     order_item_fact, restaurant_dim,
 )
-from ordermart.schemas import FINDINGS, FORECAST, METRICS, MONTHLY_MART, SOURCES
+from ordermart.schemas import FINDINGS, FORECAST, METRICS, MONTHLY_MART, SOURCES, Table
 from ordermart.session import scratch_path
-from ordermart.sources.readers import read_sources, run_sql
+from ordermart.sources.readers import read_present, read_sources, run_sql
+from ordermart.sources.staging import stage
 from ordermart.sources.writers import conform, create_if_absent, current_version, publish, publish_version, replace_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -222,11 +223,13 @@ def _mart_refresh_written(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _mart_upsert_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mart of an earlier load, upserted with a later one and then again, read through its manifest."""
     star, root = dv.star(spark, sf_dir), scratch_path(spark, MONTHLY_MART.name)
     orders, days, shops = star[ORDERS], star[DAYS], star[SHOPS]
-    path = marts.refresh_mart(root, "1", orders.filter(F.col("date_id") <= EARLIER_LOAD_END), days, shops)
-    marts.upsert_mart(path, orders, days, shops)
-    return spark.read.parquet(path).select(*MONTHLY_MART.columns)
+    marts.seed_mart(root, "1", orders.filter(F.col("date_id") <= EARLIER_LOAD_END), days, shops)
+    for version in ("2", "3"):
+        marts.upsert_mart(root, version, orders, days, shops)
+    return marts.upserted_mart(spark, root)
 
 
 def _parquet_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -272,6 +275,47 @@ def _source_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.source_gate(spark, dv.raw_sources(spark, sf_dir), MINIMUMS)
 
 
+def _staged_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The gate from the counts taken while the sources are copied, the couriers being absent."""
+    sources = {**dv.raw_sources(spark, sf_dir), "delivery_agents": None}
+    return quality.counted_gate(spark, stage(spark, sources, scratch_path(spark, "staged")).counts, MINIMUMS)
+
+
+def _missing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The gate over the given tables as sources, with a price list and payments that are not there."""
+    keys = {"customer": "c_custkey", "orders": "o_orderkey", "lineitem": "l_orderkey", "price_list": "item", "payments": "id"}
+    tables = {name: Table(name, T.StructType().add(key, "string"), (key,)) for name, key in keys.items()}
+    present = read_present(spark, sf_dir, "parquet", tables)
+    return quality.source_gate(spark, present, dict.fromkeys(tables, 1))
+
+
+def _quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers and orders written as text, some with fields that do not fit, and read by a load that sets these apart."""
+    raw, path = dv.raw_sources(spark, sf_dir), scratch_path(spark, "raw")
+
+    def put(name: str, **wrong: tuple[int, str]) -> None:
+        key = F.col(SOURCES[name].key[0]).cast("bigint")
+        texts = {c: F.trim(F.translate(F.col(c).cast("string"), "\n\t", "  ")) for c in SOURCES[name].columns}
+        for column, (step, text) in wrong.items():
+            texts[column] = F.when(key % step == 0, F.lit(text)).otherwise(texts[column])
+        raw[name].select(*[text.alias(c) for c, text in texts.items()]).write.csv(f"{path}/{name}.csv", header=True, escape='"')
+
+    put("customers", registration_date=(499, "2001-02-30"), is_premium=(998, "perhaps"))
+    put("orders", delivery_time_min=(9973, "soon"), order_timestamp=(14983, "yesterday"))
+    tables = {name: SOURCES[name] for name in ("customers", "orders")}
+    staged = stage(spark, read_present(spark, path, tables=tables, ingest=True), scratch_path(spark, "staged"), tables)
+    good = [
+        staged.frames[name].agg(F.count(F.lit(1)).alias("n")).select(
+            F.lit(name).alias("source"), F.lit("").alias("key"), F.lit("fit").alias("reason"), "n"
+        ) for name in tables
+    ]
+    bad = staged.quarantined.select(
+        "source", F.substring_index("record", ",", 1).alias("key"), F.array_join("reasons", "; ").alias("reason"),
+        F.lit(1).cast("bigint").alias("n"),
+    )
+    return bad.unionByName(good[0]).unionByName(good[1])
+
+
 def _flag_consistency(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mismatches in the fact, and in a copy whose flag marks every order that was not cancelled."""
     fact = dv.star(spark, sf_dir)[ORDERS]
@@ -400,6 +444,9 @@ _QUERIES: dict[str, Query] = {
     "metrics_history_written": _metrics_history,
     # quality
     "source_gate": _source_gate,
+    "source_gate_staged": _staged_gate,
+    "missing_sources": _missing_sources,
+    "quarantined_rows": _quarantine,
     "null_profile": _raw(quality.null_profiles),
     "duplicate_profile": _raw(quality.duplicate_profiles),
     "not_null_audit": _star_audit(quality.not_null_audit),

@@ -312,3 +312,11 @@ METRICS = _declare("ml_model_metrics", "evaluated_at", """
     mae double
     rmse double
     n_observations bigint""")
+
+#: Rows of text sources that do not fit their declared types: their place in the input, why, and their text.
+QUARANTINE = Table(
+    "quarantined_rows",
+    T.StructType().add("source", "string").add("file", "string").add("start", "long").add("row", "long")
+    .add("reasons", T.ArrayType(T.StringType())).add("record", "string"),
+    ("source", "file", "start", "row"),
+)

@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 from ordermart import driver_views as dv
 from ordermart.__main__ import main, settings_from
 from ordermart.plans import quality
-from ordermart.plans.job import AuditFailed, Settings, audit_star, current_star, run_daily
+from ordermart.plans.job import AuditFailed, Settings, audit_star, current_star, run_daily, run_load, run_mart
+from ordermart.plans.marts import upserted_mart
 from ordermart.schemas import SOURCES, STAR
-from ordermart.sources.writers import complete_versions, current_version
+from ordermart.sources.staging import stage
+from ordermart.sources.writers import current_version
 
 SF = "/root/testdata/sf0.001"
 
@@ -102,6 +104,55 @@ def test_malformed_rows_fail_the_run(spark, csv_root, tmp_path):
     assert not (tmp_path / "runs").exists()
 
 
+def test_text_sources_are_parsed_once(spark, csv_root, tmp_path, monkeypatch):
+    """Once the copies are written the text is gone, and the load still comes to its end."""
+    import shutil
+
+    from ordermart.plans import job
+
+    raw = tmp_path / "raw"
+    shutil.copytree(csv_root, raw)
+
+    def stage_and_lose(spark, sources, path):
+        staged = stage(spark, sources, path)
+        raw.rename(tmp_path / "moved")
+        return staged
+
+    monkeypatch.setattr(job, "stage", stage_and_lose)
+    star = run_load(spark, settings(str(raw), tmp_path / "warehouse"))
+    assert star["fact_orders"].count() == dv.raw_sources(spark, SF)["orders"].count()
+
+
+def test_quarantine(spark, csv_root, tmp_path):
+    """Three bad rows do not stop a load; they are named with their place and the reasons."""
+    import shutil
+
+    raw = tmp_path / "raw"
+    shutil.copytree(csv_root, raw)
+    with (raw / "orders.csv" / "part-bad.csv").open("w") as f:
+        f.write(",".join(SOURCES["orders"].columns) + "\n")
+        f.write("901,1,1,1,2020-13-45 00:00:00,30,1.5,Delivered,0,Web\n902,1,1,1,2000-01-01 10:00:00,soon,far,Delivered,0,Web\n903,1\n")
+    conf = settings(str(raw), tmp_path / "warehouse", mart="upsert")
+    with pytest.raises(Exception, match="MALFORMED"):
+        run_load(spark, conf)
+    conf = dataclasses.replace(conf, quarantine=True)
+    star = run_load(spark, conf)
+    assert star["fact_orders"].count() == dv.raw_sources(spark, SF)["orders"].count()
+    bad = current_version(spark, f"{conf.warehouse}/quarantined_rows").orderBy("row").collect()
+    assert [(r.source, r.reasons) for r in bad] == [
+        ("orders", ["order_timestamp: not a timestamp_ntz"]),
+        ("orders", ["delivery_time_min: not a int", "distance_km: not a decimal(5,2)"]),
+        ("orders", ["row: not 10 fields"]),
+    ]
+    assert all(r.file.endswith("part-bad.csv") for r in bad) and bad[2].record == "903,1"
+    # the mart of such a star can be kept by upserts
+    for day in (3, 4):
+        run_mart(spark, dataclasses.replace(conf, run_at=dt.datetime(2001, 8, day)))
+    mart = upserted_mart(spark, f"{conf.warehouse}/agg_monthly_revenue_upserted")
+    known = star["fact_orders"].join(star["dim_date"], "date_id").join(star["dim_restaurant"], "restaurant_id")
+    assert mart.agg(F.sum("net_revenue")).first()[0] == known.agg(F.sum("net_total")).first()[0]
+
+
 def test_command_line(spark, first_run):
     step, conf = settings_from(["forecast", "raw", first_run[0].warehouse + "/", "--horizon", "7"])
     assert step == "forecast" and conf.horizon == 7 and conf.source_format == "csv"

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from ordermart.operators.dedup import keep_first
 from ordermart.operators.ranking import first_with_ntile, ntile_scores, with_ntile, with_row_number
-from ordermart.operators.upsert import upsert, upsert_path
-from ordermart.sources.writers import publish
+from ordermart.operators.upsert import upsert
+from ordermart.operators.versioned import _touched, manifest, read_versioned, upsert_versioned, write_versioned
 
 
 def plan_of(frame):
@@ -99,21 +99,59 @@ def test_upsert_changes_only_named_columns(spark):
     assert rows(upsert(once, new, ["year", "month", "city"], ["net"])) == sorted(MERGED, key=repr)
 
 
-def test_upsert_path_rewrites_touched_partitions_only(spark, tmp_path):
-    path = str(tmp_path / "mart")
-    publish(spark.createDataFrame(OLD, SHAPE), path, partition_by=["year", "month"])
-    untouched = {p.name for p in (tmp_path / "mart/year=2024/month=2").glob("*.parquet")}
-    for _ in range(2):
-        upsert_path(path, spark.createDataFrame(NEW, SHAPE), ["year", "month", "city"], ["net"], ["year", "month"])
-        found = spark.read.parquet(path).select("year", "month", "city", "orders", "net")
-        assert rows(found) == sorted(MERGED, key=repr)
-    assert {p.name for p in (tmp_path / "mart/year=2024/month=2").glob("*.parquet")} == untouched
+KEYS, PARTS = ["year", "month", "city"], ["year", "month"]
 
 
-def test_upsert_creates_an_absent_table(spark, tmp_path):
-    path = str(tmp_path / "absent")
-    upsert_path(path, spark.createDataFrame(NEW, SHAPE), ["year", "month", "city"], ["net"], ["year", "month"])
-    assert rows(spark.read.parquet(path).select("year", "month", "city", "orders", "net")) == sorted(NEW, key=repr)
+def versioned(spark, root, version=None):
+    return rows(read_versioned(spark, root, spark.createDataFrame([], SHAPE).schema, version))
+
+
+def test_versioned_upsert_writes_touched_partitions_only(spark, tmp_path):
+    root = str(tmp_path / "mart")
+    write_versioned(spark.createDataFrame(OLD, SHAPE), root, "1", PARTS)
+    for version in ("2", "3"):
+        upsert_versioned(spark.createDataFrame(NEW, SHAPE), root, version, KEYS, ["net"], PARTS)
+        assert versioned(spark, root) == sorted(MERGED, key=repr)
+        assert [p.name for p in (tmp_path / f"mart/data/_version={version}/year=2024").iterdir() if "=" in p.name] == ["month=1"]
+    assert manifest(spark, root) == {"year=2024/month=1": "3", "year=2024/month=2": "1"}
+    assert versioned(spark, root, "1") == sorted(OLD, key=repr)  # earlier versions can still be read
+    upsert_versioned(spark.createDataFrame(NEW, SHAPE), root, "4", KEYS, ["net"], PARTS, keep=1)
+    assert {p.name for p in (tmp_path / "mart/data").iterdir() if "=" in p.name} == {"_version=1", "_version=4"}
+    assert not (tmp_path / "mart/data/_version=1/year=2024/month=1").exists()
+    assert versioned(spark, root) == sorted(MERGED, key=repr)
+
+
+def test_readers_see_the_old_table_during_and_after_a_failed_upsert(spark, tmp_path):
+    root = str(tmp_path / "mart")
+    write_versioned(spark.createDataFrame(OLD, SHAPE), root, "1", PARTS)
+    reading = read_versioned(spark, root, spark.createDataFrame([], SHAPE).schema)
+    broken = spark.createDataFrame([(2024, 1, "A", 1, "1.0"), (2024, 2, "A", 1, "none")], SHAPE.replace("double", "string"))
+    broken = broken.withColumn("net", F.col("net").cast("double"))
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        write_versioned(broken, root, "2", PARTS, keep_others=True)
+    assert rows(reading) == sorted(OLD, key=repr) == versioned(spark, root)
+    upsert_versioned(spark.createDataFrame(NEW, SHAPE), root, "3", KEYS, ["net"], PARTS)
+    assert rows(reading) == sorted(OLD, key=repr)  # a reader that has started stays with its version
+    assert versioned(spark, root) == sorted(MERGED, key=repr)
+    assert not (tmp_path / "mart/data/_version=2").exists()
+
+
+def test_versioned_upsert_creates_an_absent_table_and_takes_nothing(spark, tmp_path):
+    root = str(tmp_path / "absent")
+    assert versioned(spark, root) == []
+    upsert_versioned(spark.createDataFrame(NEW, SHAPE), root, "1", KEYS, ["net"], PARTS)
+    assert versioned(spark, root) == sorted(NEW, key=repr)
+    upsert_versioned(spark.createDataFrame([], SHAPE), root, "2", KEYS, ["net"], PARTS)
+    assert versioned(spark, root) == sorted(NEW, key=repr)
+
+
+def test_versioned_upsert_reads_touched_partitions_only(spark, tmp_path):
+    root = str(tmp_path / "mart")
+    write_versioned(spark.createDataFrame(OLD, SHAPE), root, "1", PARTS)
+    shape = spark.createDataFrame([], SHAPE).schema
+    affected = read_versioned(spark, root, shape).filter(_touched(spark.createDataFrame(NEW, SHAPE), PARTS))
+    scanned = affected._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in scanned and "2024" in scanned[scanned.index("PartitionFilters: ["):scanned.index("PushedFilters")]
 
 
 def test_keep_first_puts_nulls_last(spark):
@@ -149,11 +187,12 @@ def test_tiles_are_found_without_sorting_all_rows(spark):
     assert rows(found) == rows(plain_scores(frame, {"x": F.col("a")}, 5))
 
 
-def test_upsert_path_keeps_rows_of_a_null_partition(spark, tmp_path):
-    shape, path = "year int, city string, net double", str(tmp_path / "t")
+def test_versioned_upsert_keeps_rows_of_a_null_partition(spark, tmp_path):
+    shape, root = "year int, city string, net double", str(tmp_path / "t")
     first = [(None, "a", 1.0), (None, "b", 2.0), (2024, "c", 3.0)]
-    upsert_path(path, spark.createDataFrame(first, shape), ["year", "city"], ["net"], ["year"])
-    for _ in range(2):
-        upsert_path(path, spark.createDataFrame([(None, "z", 9.0), (None, "a", 5.0)], shape), ["year", "city"], ["net"], ["year"])
-    found = spark.read.parquet(path).select("year", "city", "net")
+    upsert_versioned(spark.createDataFrame(first, shape), root, "1", ["year", "city"], ["net"], ["year"])
+    for version in "23":
+        more = spark.createDataFrame([(None, "z", 9.0), (None, "a", 5.0)], shape)
+        upsert_versioned(more, root, version, ["year", "city"], ["net"], ["year"])
+    found = read_versioned(spark, root, spark.createDataFrame([], shape).schema)
     assert rows(found) == rows(spark.createDataFrame([(None, "a", 5.0), (None, "b", 2.0), (None, "z", 9.0), (2024, "c", 3.0)], shape))
