@@ -1,38 +1,48 @@
 """Quality classifier by co-training.
 
-Two classifiers see different sides of a document: its words and their shapes
-(text view), and its metadata: language, source, declared length and layout (page
-view). Both start from the labelled documents. In every round each of them labels
-the unlabelled documents that it is sure of, and the other one learns from these
-too. At the end both are calibrated on a fold of the labelled documents that
-neither has learned from, and the calibrated views are combined into one score
-for every document.
-
-The rows that are learned from are bounded: by a range of identifier hashes for each
-kind, about ``max_labelled`` labelled documents, half of each kind or all of a rarer
-one, and about ``max_open`` unlabelled ones. A fifth of each kind is the calibration
-fold, weighted back to the shares of the whole labels table. The words are counted
-over all documents. Scoring reads all documents whole, in one pass without a shuffle.
+Two classifiers see different sides of a document: its words and their shapes (text
+view), and its metadata: language, source and declared length (page view). Both are
+linear over hashed features, so there is no vocabulary: no word is left out, and a model
+is ``FEATURES`` numbers whatever the corpus. Both start from the labelled documents. In
+every round both are calibrated on a fold of the labelled documents that neither has
+learned from; each then labels the unlabelled documents of which it is sure after
+calibration, and the other one learns from these too. At the end the calibrated views
+are combined into one score for every document.
+
+The rows that are learned from are bounded: at most ``max_labelled`` labelled documents,
+half of each kind or all of a rarer one, the first by the hash of their identifiers; and
+in every round, per view and kind, the ``max_open`` unlabelled documents of which the
+view is surest, out of all. A fifth of each kind is the calibration fold, weighted back
+to the shares of the whole labels table. Scoring reads all documents whole, in one pass
+without a shuffle for each round and one for the result.
+
+Training rows are dealt to shares of ``SHARE`` rows. Each share is learned from by a task
+of its own, and the weights are averaged, each feature's by the rows that hold it.
 """
 
 from __future__ import annotations
 
+import re
+import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import CountVectorizerModel, HashingTF, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ordermart.llm.common import stored
 
-#: Bounds of the labelled and unlabelled rows of the training set, and of the words the text view knows.
-MAX_LABELLED, MAX_OPEN, MAX_TERMS = 12_000, 50_000, 1 << 16
+#: Bounds of the labelled rows of the training set, and of the unlabelled ones by round, view and kind.
+MAX_LABELLED, MAX_OPEN = 12_000, 3_000
+FEATURES, SHARE = 1 << 18, 4_000
 ROUNDS, SURE, THRESHOLD = 2, 0.95, 0.5
-_HASHES = 1 << 20
-_TEXT, _PAGE, _MARGIN = "__text_view", "__page_view", "__margin"
+EPOCHS, RATE, RIDGE = 6, 1.0, 1e-3
+_SPELLINGS = 1 << 18  # words whose features a task remembers
+_TEXT, _PAGE = 0, 1
+_VIEWS = (_TEXT, _PAGE)
+_META = ("lang", "source", "n_chars")
 
 
 def fit_for_training() -> Column:
@@ -42,39 +52,82 @@ def fit_for_training() -> Column:
 
 # ---- views -----------------------------------------------------------------
 
-def _terms(text: Column) -> Column:
-    """Words in lower case, and shapes of words: runs of capitals, small letters and digits by one sign each."""
-    shape = F.regexp_replace(F.regexp_replace(F.regexp_replace(text, r"\p{Lu}+", "A"), r"[\p{L}&&[^\p{Lu}]]+", "a"), r"\p{N}+", "0")
-    return F.concat(F.split(F.lower(text), r"\s+"), F.transform(F.split(shape, r"\s+"), lambda s: F.concat(F.lit("shape "), s)))
+_LETTERS, _DIGITS = re.compile(r"[^\W\d_]+"), re.compile(r"\d+")
 
 
-def _share(text: Column, others: str) -> Column:
-    """Share of the characters that are left without ``others``."""
-    return F.length(F.regexp_replace(text, others, "")) / F.greatest(F.length(text), F.lit(1))
+def _feature(name: str) -> int:
+    return zlib.crc32(name.encode()) % FEATURES
 
 
-def _with_views(docs: DataFrame, text_col: str) -> DataFrame:
-    """``docs`` with the terms of the text view and the features of the page view."""
-    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
+class TextFeatures(dict):
+    """Features of a token: its words in lower case, and its shape, which tells capitals, letters, digits and other signs."""
 
-    def meta(name: str, kind: str, otherwise: Column) -> Column:
-        return F.coalesce(F.col(f"`{name}`").cast(kind), otherwise) if name in docs.columns else otherwise
+    def __missing__(self, token: str) -> tuple[int, ...]:
+        if len(self) >= _SPELLINGS:
+            self.clear()
+        shape = _LETTERS.sub(lambda m: "A" if len(m.group()) > 1 and m.group().isupper() else "a", token)
+        names = {f"word {w}" for w in _LETTERS.findall(token.lower())} | {f"shape {_DIGITS.sub('0', shape)}"}
+        found = self[token] = tuple(map(_feature, names))
+        return found
 
-    tags = F.array(
-        F.concat(F.lit("lang "), meta("lang", "string", F.lit(""))),
-        F.concat(F.lit("source "), meta("source", "string", F.lit(""))),
-    )
-    lines = F.size(F.split(text, "\n")).cast("double")
-    chars = meta("n_chars", "double", F.length(text).cast("double"))
-    numbers = [
-        F.log1p(F.greatest(chars, F.lit(0.0))), F.log(lines), F.log1p(F.length(text) / lines), _share(text, r"[^\p{Lu}]+"),
-        _share(text, r"[\p{L}\p{N}\s]+"), _share(text, r"[^\p{N}]+"), _share(text, r"[^\s]+"),
-    ]
-    named = [f"__number{i}" for i in range(len(numbers))]
-    out = docs.withColumns({"__terms": _terms(text), "__tags": tags} | dict(zip(named, numbers)))
-    out = HashingTF(inputCol="__tags", outputCol="__tag_bits", numFeatures=1 << 12, binary=True).transform(out)
-    out = VectorAssembler(inputCols=["__tag_bits", *named], outputCol=_PAGE).transform(out)
-    return out.drop("__tags", "__tag_bits", *named)
+    def of(self, text: str | None) -> np.ndarray:
+        """The distinct features of a text in order."""
+        found: set[int] = set()
+        for token in set((text or "").split()):
+            found.update(self[token])
+        return np.array(sorted(found), np.int64)
+
+
+def page_features(lang: object, source: object, n_chars: object) -> np.ndarray:
+    """Language, source and magnitude of the declared length, and the first with the last; unknown ones as such."""
+    size = "unknown" if pd.isna(n_chars) else max(0, int(n_chars)).bit_length()
+    names = {f"lang {lang}", f"source {source}", f"size {size}", f"lang {lang} size {size}"}
+    return np.array(sorted({_feature(n) for n in names}), np.int64)
+
+
+def margin(weights: np.ndarray, features: np.ndarray) -> float:
+    """Sum of the weights; the last one belongs to every document."""
+    return float(weights[features].sum() + weights[-1])
+
+
+def _inputs(docs: DataFrame, text_col: str) -> list[Column]:
+    kinds = {"lang": "string", "source": "string", "n_chars": "double"}
+    meta = [(F.col(f"`{c}`") if c in docs.columns else F.lit(None)).cast(kinds[c]) for c in _META]
+    return [F.col(f"`{text_col}`"), *meta]
+
+
+def _cleaned(values: pd.Series) -> list:
+    return [None if pd.isna(v) else v for v in values]
+
+
+def _featured(docs: DataFrame, text_col: str) -> Column:
+    """The features of both views, as a struct of two arrays."""
+
+    @F.pandas_udf("text array<int>, page array<int>")
+    def features(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
+        known = TextFeatures()
+        for text, lang, source, n_chars in batches:
+            meta = zip(_cleaned(lang), _cleaned(source), n_chars)
+            yield pd.DataFrame({"text": [known.of(t) for t in text], "page": [page_features(*m) for m in meta]})
+
+    return features(*_inputs(docs, text_col))
+
+
+def _margins(docs: DataFrame, text_col: str, weights: list[np.ndarray]) -> Column:
+    """The margins of both views, as a struct of two numbers."""
+    sent = docs.sparkSession.sparkContext.broadcast([w.astype(np.float32) for w in weights])
+
+    @F.pandas_udf("text double, page double")
+    def margins(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
+        known, (of_text, of_page) = TextFeatures(), sent.value
+        for text, lang, source, n_chars in batches:
+            meta = zip(_cleaned(lang), _cleaned(source), n_chars)
+            yield pd.DataFrame({
+                "text": [margin(of_text, known.of(t)) for t in text],
+                "page": [margin(of_page, page_features(*m)) for m in meta],
+            })
+
+    return margins(*_inputs(docs, text_col))
 
 
 # ---- fitting ---------------------------------------------------------------
@@ -103,28 +156,74 @@ def logistic(
     return w
 
 
+def learn(rows: list[tuple[np.ndarray, float]]) -> tuple[np.ndarray, np.ndarray]:
+    """Weights after ``EPOCHS`` passes of adaptive gradient steps over (features, label), and how many rows hold each."""
+    w, squares, held = np.zeros(FEATURES + 1), np.full(FEATURES + 1, 1e-8), np.zeros(FEATURES + 1)
+    for features, _ in rows:
+        held[features] += 1
+    held[-1] = len(rows)
+    for epoch in range(EPOCHS):
+        for i in np.random.default_rng(epoch).permutation(len(rows)):
+            features, y = rows[i]
+            off = 1 / (1 + np.exp(-np.clip(margin(w, features), -30, 30))) - y
+            step = off + RIDGE * w[features]
+            squares[features] += step * step
+            w[features] -= RATE * step / np.sqrt(squares[features])
+            squares[-1] += off * off
+            w[-1] -= RATE * off / np.sqrt(squares[-1])
+    return w, held
+
+
+def _learned(share: pd.DataFrame) -> pd.DataFrame:
+    """Both views learned from a share of the rows: weights times rows, and rows, by feature."""
+    share, out = share.sort_values("id", kind="stable"), []
+    for view, column in zip(_VIEWS, ("text", "page")):
+        own = share[[bool(use[view]) for use in share["use"]]]
+        w, held = learn(list(zip(own[column], own["y"])))
+        at = np.flatnonzero(held)
+        out.append(pd.DataFrame({"view": view, "feature": at, "weighed": w[at] * held[at], "held": held[at]}))
+    return pd.concat(out)
+
+
+def _fit(rows: DataFrame) -> list[np.ndarray]:
+    """Weights of both views from (id, y, text, page, use): what a row is used for is in ``use``, by view."""
+    shares = max(1, -(-rows.count() // SHARE))
+    dealt = rows.withColumn("share", F.pmod(F.xxhash64("id"), F.lit(shares)))
+    sums = dealt.groupBy("share").applyInPandas(_learned, "view int, feature int, weighed double, held double")
+    # Added in the order of their size, so that a result does not depend on which share came first.
+    added = sums.groupBy("view", "feature").agg(
+        F.aggregate(F.array_sort(F.collect_list("weighed")), F.lit(0.0), lambda a, b: a + b).alias("weighed"),
+        F.sum("held").alias("held"),
+    ).toPandas()  # at most a number for each feature and view
+    weights = [np.zeros(FEATURES + 1) for _ in _VIEWS]
+    for view in _VIEWS:
+        own = added[added["view"] == view]
+        weights[view][own["feature"].to_numpy()] = (own["weighed"] / own["held"]).to_numpy()
+    return weights
+
+
 @dataclass
 class Quality:
-    """Two view classifiers, their calibration (slope, intercept) and how they are combined."""
+    """The weights of both views, their calibration (slope, intercept) and how they are combined."""
 
-    terms: CountVectorizerModel
-    text: LogisticRegressionModel
-    page: LogisticRegressionModel
-    calibration: dict[str, np.ndarray]
+    weights: list[np.ndarray]
+    calibration: list[np.ndarray]
     combined: np.ndarray
 
 
-def _margin(frame: DataFrame, model: LogisticRegressionModel, view: str) -> DataFrame:
-    raw, other, label = f"{_MARGIN}_raw", f"{_MARGIN}_p", f"{_MARGIN}_l"
-    model = model.copy().setFeaturesCol(view).setRawPredictionCol(raw).setProbabilityCol(other).setPredictionCol(label)
-    return model.transform(frame).withColumn(_MARGIN + view, vector_to_array(F.col(raw))[1]).drop(raw, other, label)
-
-
-def _fit(rows: DataFrame, view: str) -> LogisticRegressionModel:
-    return LogisticRegression(
-        featuresCol=view, labelCol="y", maxIter=40, regParam=1e-4 if view == _TEXT else 1e-3,
-        standardization=view == _PAGE, weightCol="w",
-    ).fit(rows)
+def _calibrated(fold: pd.DataFrame, weights: list[np.ndarray], shares: dict[float, float]) -> Quality:
+    """Both views calibrated, and combined, on rows that they have not learned from."""
+    y, by = fold["y"].to_numpy(), fold["y"].map(shares).to_numpy()
+    calibration, logits = [], []
+    for view, column in zip(_VIEWS, ("text", "page")):
+        margins = np.array([margin(weights[view], features) for features in fold[column]])
+        fitted = logistic(margins[:, None], y, weights=by)
+        calibration.append(fitted)
+        logits.append(margins * fitted[0] + fitted[1])
+    # What the views add to the share of good documents; held towards zero, as one of them may tell next to nothing.
+    prior = float(np.log((by * y).sum() / (by * (1 - y)).sum()))
+    a, b, c = logistic(np.column_stack(logits) - prior, y, ridge=1.0, weights=by)
+    return Quality(weights, calibration, np.array([a, b, c - (a + b) * prior]))
 
 
 def co_train(
@@ -132,70 +231,71 @@ def co_train(
     max_labelled: int = MAX_LABELLED, max_open: int = MAX_OPEN, rounds: int = ROUNDS, sure: float = SURE,
 ) -> Quality | float:
     """Fit on the labelled documents; the share of good ones if they are not of both kinds."""
-    judged = labels.select(F.col(id_col).alias("__id"), (target if target is not None else fit_for_training()).alias("y"))
-    judged = judged.where("__id is not null and y is not null").groupBy("__id").agg(F.min("y").cast("double").alias("y"))
-    docs = docs.withColumn("__id", F.col(f"`{id_col}`"))
+    spark = docs.sparkSession
+    judged = labels.select(F.col(f"`{id_col}`").alias("id"), (target if target is not None else fit_for_training()).alias("y"))
+    judged = judged.where("id is not null and y is not null").groupBy("id").agg(F.min("y").cast("double").alias("y"))
+    own = docs.select(
+        F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"), *[F.col(c) for c in _META if c in docs.columns]
+    ).where("id is not null")
     # Only identifiers are shuffled to the labels; the chosen ones are few, so the texts need not be.
-    ids = stored(docs.select("__id").where("__id is not null").distinct().join(judged, "__id", "left"), "ids")
-    kinds = {r["y"]: r["count"] for r in ids.groupBy("y").count().collect()}
+    known = stored(own.select("id").distinct().join(judged, "id").withColumn("place", F.xxhash64("id")), "known")
+    kinds = {r["y"]: r["count"] for r in known.groupBy("y").count().collect()}
     good, bad = kinds.get(1.0, 0), kinds.get(0.0, 0)
     if not good or not bad:
         return good / (good + bad) if good + bad else 1.0
     half = max(1, max_labelled // 2)
     room = {1.0: max(half, max_labelled - bad), 0.0: max(half, max_labelled - good)}
-    place, ordered = F.pmod(F.xxhash64("__id"), F.lit(_HASHES)), Window.partitionBy("y").orderBy("__place", "__id")
-
-    def chosen(y: float | None, bound: int) -> DataFrame:
-        number = kinds.get(y, 0)
-        part = ids.where(F.col("y").eqNullSafe(F.lit(y).cast("double"))).withColumn("__place", place)
-        return part if number <= bound else part.where(F.col("__place") < max(1, _HASHES * bound // number))
-
-    labelled = chosen(1.0, room[1.0]).unionByName(chosen(0.0, room[0.0])).withColumn("__rank", F.row_number().over(ordered))
-    taught_ids = stored(labelled.unionByName(chosen(None, max_open).withColumn("__rank", F.lit(None).cast("int"))), "taught")
-    taken = {r["y"]: r["count"] for r in taught_ids.where("y is not null").groupBy("y").count().collect()}
-    if len(taken) < 2:  # a hash range without a document, of a table too small for it
-        return co_train(
-            docs.drop("__id"), labels, id_col=id_col, text_col=text_col, target=target, max_labelled=good + bad,
-            max_open=max_open, rounds=rounds, sure=sure,
-        )
-    taught_ids = taught_ids.select("__id", F.col("y").alias("__y"), "__rank")
-    some = _with_views(docs.join(F.broadcast(taught_ids), "__id"), text_col)
-    some = stored(
-        some.select("__id", "__terms", _PAGE, F.col("__y").alias("y"), "__rank"), "training_documents", compression="zstd"
-    )
-    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
-    known = docs.select(F.explode(F.array_distinct(_terms(text))).alias("term")).groupBy("term").count().where("count >= 5")
-    known = [r["term"] for r in known.orderBy(F.desc("count"), "term").limit(MAX_TERMS).collect()]
-    if not known:
-        known = [r["term"] for r in some.select(F.explode("__terms").alias("term")).distinct().orderBy("term").limit(MAX_TERMS).collect()]
-    terms = CountVectorizerModel.from_vocabulary(known, inputCol="__terms", outputCol=_TEXT)
-    terms = terms.setBinary(True)
-    some = terms.transform(some).drop("__terms").withColumn("w", F.lit(1.0))
-    some = stored(some, "training_features", compression="zstd")
-    # Of a kind with a single document that one is learned from and calibrated on.
-    alone = F.col("y").isin([y for y, n in taken.items() if n == 1])
-    taught = some.where(F.col("y").isNotNull() & ((F.col("__rank") % 5 != 1) | alone))
-    open_ones = some.where("y is null").drop("y")
-    text, page = _fit(taught, _TEXT), _fit(taught, _PAGE)
-    bound = float(np.log(sure / (1 - sure)))
-    for _ in range(rounds):
-        seen = _margin(_margin(open_ones, text, _TEXT), page, _PAGE)
-        by_text, by_page = (
-            seen.where(F.abs(_MARGIN + view) >= bound).withColumn("y", (F.col(_MARGIN + view) > 0).cast("double"))
-            .select(*taught.columns)
-            for view in (_TEXT, _PAGE)
-        )
-        text, page = _fit(taught.unionByName(by_page), _TEXT), _fit(taught.unionByName(by_text), _PAGE)
-    fold = _margin(_margin(some.where("y is not null and __rank % 5 = 1"), text, _TEXT), page, _PAGE)
-    fold = fold.select(_MARGIN + _TEXT, _MARGIN + _PAGE, "y").toPandas()
-    share = {1.0: good / (fold["y"] == 1.0).sum(), 0.0: bad / (fold["y"] == 0.0).sum()}
-    weights = fold["y"].map(share).to_numpy() / min(share.values())
-    calibration, logits = {}, []
-    for view in (_TEXT, _PAGE):
-        margin = fold[[_MARGIN + view]].to_numpy()
-        calibration[view] = logistic(margin, fold["y"].to_numpy(), weights=weights)
-        logits.append(margin[:, 0] * calibration[view][0] + calibration[view][1])
-    return Quality(terms, text, page, calibration, logistic(np.column_stack(logits), fold["y"].to_numpy(), weights=weights))
+
+    def chosen(y: float) -> DataFrame:
+        return known.where(F.col("y") == y).orderBy("place", "id").limit(room[y])
+
+    # A bounded number of identifiers; of a kind with a single document that one is learned from and calibrated on.
+    rank = F.row_number().over(Window.partitionBy("y").orderBy("place", "id"))
+    picked = chosen(1.0).unionByName(chosen(0.0)).withColumn("rank", rank).select("id", "y", "rank")
+    examples = _examples(own, picked, "training")
+    alone = F.col("y").isin([y for y, n in kinds.items() if n == 1])
+    both = F.array(F.lit(True), F.lit(True))
+    taught = examples.where((F.col("rank") % 5 != 1) | alone).select("id", "y", "text", "page", both.alias("use"))
+    fold = examples.where("rank % 5 = 1").select("id", "y", "text", "page").toPandas().sort_values(["y", "id"])
+    shares = {1.0: good / (fold["y"] == 1.0).sum(), 0.0: bad / (fold["y"] == 0.0).sum()}
+    shares = {y: share / min(shares.values()) for y, share in shares.items()}
+    model, more = _calibrated(fold, _fit(taught), shares), taught
+    for turn in range(rounds):
+        open_ones = own.join(known.select("id"), "id", "left_anti")
+        sure_ones = _sure(open_ones, model, sure, max_open, f"seen_{turn}")
+        if not sure_ones:
+            break
+        found = spark.createDataFrame(sure_ones, f"id {own.schema['id'].dataType.simpleString()}, y double, use array<boolean>")
+        more = taught.unionByName(_examples(own, found, f"open_{turn}").select(*taught.columns))
+        model = _calibrated(fold, _fit(more), shares)
+    return model
+
+
+def _examples(docs: DataFrame, picked: DataFrame, name: str) -> DataFrame:
+    """The rows of ``picked``, whose number is bounded, with the features of their documents; one row for each identifier."""
+    some = docs.join(F.broadcast(picked), "id").dropDuplicates(["id"])
+    return stored(some.withColumn("f", _featured(some, "text")).select(*picked.columns, "f.text", "f.page"), name, compression="zstd")
+
+
+def _sure(docs: DataFrame, model: Quality, sure: float, bound: int, name: str) -> list[tuple]:
+    """(id, y, use) of the documents of which a view is sure after calibration, for the other one to learn from.
+
+    All documents are scored; of each view and kind the surest ``bound`` are taken.
+    """
+    seen = docs.select("id", _margins(docs, "text", model.weights).alias("m")).groupBy("id").agg(F.min("m").alias("m"))
+    logits = [F.col(f"m.{c}") * F.lit(float(a)) + F.lit(float(b)) for c, (a, b) in zip(("text", "page"), model.calibration)]
+    seen = stored(seen.select("id", *[logit.alias(f"logit_{view}") for view, logit in zip(_VIEWS, logits)]), name)
+    limit, found = float(np.log(sure / (1 - sure))), {}
+    for view in _VIEWS:
+        for y, sign in ((1.0, 1.0), (0.0, -1.0)):
+            logit = F.col(f"logit_{view}") * F.lit(sign)
+            rows = seen.where(logit >= limit).orderBy(logit.desc(), "id").limit(bound).select("id").collect()
+            for r in rows:
+                use = [view == _PAGE, view == _TEXT]  # the view that learns is the other one
+                found.setdefault((r["id"], y), [False, False])
+                found[r["id"], y] = [a or b for a, b in zip(found[r["id"], y], use)]
+    # Where the views contradict each other, neither is believed.
+    return [(i, y, use) for (i, y), use in sorted(found.items()) if (i, 1.0 - y) not in found]
 
 
 # ---- scoring ---------------------------------------------------------------
@@ -204,21 +304,19 @@ def _sigmoid(logit: Column) -> Column:
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-logit))
 
 
-def with_quality(docs: DataFrame, model: Quality | float, text_col: str = "text") -> DataFrame:
-    """``docs`` with __score, __text_score and __page_score, probabilities of being good."""
+def _scores(docs: DataFrame, model: Quality | float, text_col: str) -> tuple[DataFrame, list[Column]]:
+    """``docs`` with what the scores need, and the columns score, text_score and page_score."""
+    names = ("score", "text_score", "page_score")
     if not isinstance(model, Quality):
-        return docs.withColumns({n: F.lit(float(model)) for n in ("__score", "__text_score", "__page_score")})
-    seen = model.terms.transform(_with_views(docs, text_col)).drop("__terms")
-    seen = _margin(_margin(seen, model.text, _TEXT), model.page, _PAGE)
-    logit = {
-        view: F.col(_MARGIN + view) * F.lit(float(model.calibration[view][0])) + F.lit(float(model.calibration[view][1]))
-        for view in (_TEXT, _PAGE)
-    }
+        return docs, [F.lit(float(model)).alias(n) for n in names]
+    fresh = "margins"
+    while fresh in docs.columns:
+        fresh += "_"
+    seen = docs.withColumn(fresh, _margins(docs, text_col, model.weights))
+    logits = [F.col(f"{fresh}.{c}") * F.lit(float(a)) + F.lit(float(b)) for c, (a, b) in zip(("text", "page"), model.calibration)]
     a, b, c = (float(x) for x in model.combined)
-    return seen.withColumns({
-        "__score": _sigmoid(logit[_TEXT] * F.lit(a) + logit[_PAGE] * F.lit(b) + F.lit(c)),
-        "__text_score": _sigmoid(logit[_TEXT]), "__page_score": _sigmoid(logit[_PAGE]),
-    }).select(*[f"`{n}`" for n in docs.columns], "__score", "__text_score", "__page_score")
+    score = logits[_TEXT] * F.lit(a) + logits[_PAGE] * F.lit(b) + F.lit(c)
+    return seen, [_sigmoid(x).alias(n) for x, n in zip((score, *logits), names)]
 
 
 def quality_scores(
@@ -236,9 +334,9 @@ def quality_scores(
     both kinds, every score is the share of good labels (1.0 without any). An empty table gives an empty result; other columns are ignored.
     """
     model = co_train(docs, labels, id_col=id_col, text_col=text_col, **options)
-    return with_quality(docs, model, text_col).select(
-        f"`{id_col}`", F.col("__score").alias("score"), F.col("__text_score").alias("text_score"),
-        F.col("__page_score").alias("page_score"), (F.col("__score") >= threshold).alias("accepted"),
+    seen, (score, text_score, page_score) = _scores(docs, model, text_col)
+    return seen.select(F.col(f"`{id_col}`").alias(id_col), score, text_score, page_score).withColumn(
+        "accepted", F.col("score") >= threshold
     )
 
 
@@ -248,4 +346,5 @@ def keep_good(
 ) -> DataFrame:
     """The rows of ``docs`` that ``quality_scores`` accepts, with the columns they had."""
     model = co_train(docs, labels, id_col=id_col, text_col=text_col, **options)
-    return with_quality(docs, model, text_col).where(F.col("__score") >= threshold).select(*[f"`{n}`" for n in docs.columns])
+    seen, (score, _, _) = _scores(docs, model, text_col)
+    return seen.where(score >= threshold).select(*[f"`{n}`" for n in docs.columns])
