@@ -19,6 +19,8 @@ word below that cut is an unseen word. No query uses it.
 from __future__ import annotations
 
 import re
+import sys
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -35,7 +37,9 @@ LONGEST, SMOOTHING = 4, 0.5
 #: Entries times languages of a packed table of words or n-grams; the driver holds it while it packs it.
 MAX_CELLS = 400_000
 UNKNOWN = "und"
-_LETTERS = re.compile(r"[^\W\d_]+")
+#: Signs that count as word characters without being letters or decimal digits, such as fractions and Roman numerals.
+_NUMERALS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if unicodedata.category(c) in ("Nl", "No"))
+_LETTERS = re.compile(rf"[^\W\d_{_NUMERALS}]+")
 _FLUSH, _CACHE, _CHUNK_CHARS = 200_000, 200_000, 1 << 21
 
 

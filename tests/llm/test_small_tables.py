@@ -303,3 +303,9 @@ def test_rare_words_stay_known(spark):
         assert found.keys() == wanted.keys() and found[1][0] == "fr"
         for i, (lang, share) in wanted.items():
             assert found[i][0] == lang and found[i][1] == pytest.approx(share, abs=1e-4)
+
+
+def test_texts_of_numerals_have_no_language(spark):
+    rows = [(i, "the cat sat on the mat", "en") for i in range(9)] + [(100 + i, t, "en") for i, t in enumerate(["½ ² Ⅷ", "①②", "12 _", "x½"])]
+    out = {r["doc_id"]: r for r in held_out_language_id(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert [out[i]["lang_pred"] for i in range(100, 104)] == ["und", "und", "und", "en"]
