@@ -23,9 +23,11 @@ of its own, and the weights are averaged, each feature's by the rows that hold i
 from __future__ import annotations
 
 import re
+import string
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -39,6 +41,7 @@ MAX_LABELLED, MAX_OPEN = 12_000, 3_000
 FEATURES, SHARE = 1 << 18, 4_000
 ROUNDS, SURE, THRESHOLD = 2, 0.95, 0.5
 EPOCHS, RATE, RIDGE = 6, 1.0, 1e-3
+GRAIN = 1 << 20
 _SPELLINGS = 1 << 18  # words whose features a task remembers
 _TEXT, _PAGE = 0, 1
 _VIEWS = (_TEXT, _PAGE)
@@ -59,23 +62,46 @@ def _feature(name: str) -> int:
     return zlib.crc32(name.encode()) % FEATURES
 
 
+_WORD = zlib.crc32(b"word ")  # a checksum goes on from that of the first part
+
+
 class TextFeatures(dict):
-    """Features of a token: its words in lower case, and its shape, which tells capitals, letters, digits and other signs."""
+    """Features of a token: its words in lower case, and its shape, which tells capitals, letters, digits and other signs.
+
+    A plain word in small letters has no shape. Such words are the most, and are not remembered.
+    """
+
+    def __init__(self) -> None:
+        self.shapes: dict[str, int] = {}
+
+    def _shape(self, shape: str) -> int:
+        if shape not in self.shapes:
+            self.shapes[shape] = _feature(f"shape {shape}")
+        return self.shapes[shape]
 
     def __missing__(self, token: str) -> tuple[int, ...]:
         if len(self) >= _SPELLINGS:
             self.clear()
-        shape = _LETTERS.sub(lambda m: "A" if len(m.group()) > 1 and m.group().isupper() else "a", token)
-        names = {f"word {w}" for w in _LETTERS.findall(token.lower())} | {f"shape {_DIGITS.sub('0', shape)}"}
-        found = self[token] = tuple(map(_feature, names))
+            self.shapes.clear()
+        core = token.rstrip(string.punctuation)
+        low = core.lower()
+        if core.isalpha() and low.isalpha():  # one word, and signs behind it
+            shape = ("A" if len(core) > 1 and core.isupper() else "a") + token[len(core):]
+            words = {zlib.crc32(low.encode(), _WORD) % FEATURES}
+        else:
+            shape = _LETTERS.sub(lambda m: "A" if len(m.group()) > 1 and m.group().isupper() else "a", token)
+            shape, words = _DIGITS.sub("0", shape), {_feature(f"word {w}") for w in _LETTERS.findall(token.lower())}
+        found = self[token] = (*words, *([] if shape == "a" else [self._shape(shape)]))
         return found
 
     def of(self, text: str | None) -> np.ndarray:
         """The distinct features of a text in order."""
-        found: set[int] = set()
-        for token in set((text or "").split()):
-            found.update(self[token])
-        return np.array(sorted(found), np.int64)
+        tokens = set((text or "").split())
+        plain = [t for t in tokens if t.islower() and t.isalpha()]
+        tokens.difference_update(plain)
+        words = np.array([zlib.crc32(t.encode(), _WORD) for t in plain], np.int64) % FEATURES
+        others = np.array(list(chain.from_iterable(map(self.__getitem__, tokens))), np.int64)
+        return np.unique(np.concatenate([words, others]))
 
 
 def page_features(lang: object, source: object, n_chars: object) -> np.ndarray:
@@ -115,7 +141,7 @@ def _featured(docs: DataFrame, text_col: str) -> Column:
 
 def _margins(docs: DataFrame, text_col: str, weights: list[np.ndarray]) -> Column:
     """The margins of both views, as a struct of two numbers."""
-    sent = docs.sparkSession.sparkContext.broadcast([w.astype(np.float32) for w in weights])
+    sent = docs.sparkSession.sparkContext.broadcast(weights)
 
     @F.pandas_udf("text double, page double")
     def margins(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
@@ -198,7 +224,8 @@ def _fit(rows: DataFrame) -> list[np.ndarray]:
     weights = [np.zeros(FEATURES + 1) for _ in _VIEWS]
     for view in _VIEWS:
         own = added[added["view"] == view]
-        weights[view][own["feature"].to_numpy()] = (own["weighed"] / own["held"]).to_numpy()
+        # Whole multiples of a power of two: their sums are exact, in whatever order features come.
+        weights[view][own["feature"].to_numpy()] = np.round((own["weighed"] / own["held"]).to_numpy() * GRAIN) / GRAIN
     return weights
 
 
@@ -261,8 +288,7 @@ def co_train(
     shares = {y: share / min(shares.values()) for y, share in shares.items()}
     model, more = _calibrated(fold, _fit(taught), shares), taught
     for turn in range(rounds):
-        open_ones = own.join(known.select("id"), "id", "left_anti")
-        sure_ones = _sure(open_ones, model, sure, max_open, f"seen_{turn}")
+        sure_ones = _sure(own, known.select("id"), model, sure, max_open, f"seen_{turn}")
         if not sure_ones:
             break
         found = spark.createDataFrame(sure_ones, f"id {own.schema['id'].dataType.simpleString()}, y double, use array<boolean>")
@@ -273,16 +299,19 @@ def co_train(
 
 def _examples(docs: DataFrame, picked: DataFrame, name: str) -> DataFrame:
     """The rows of ``picked``, whose number is bounded, with the features of their documents; one row for each identifier."""
-    some = docs.join(F.broadcast(picked), "id").dropDuplicates(["id"])
-    return stored(some.withColumn("f", _featured(some, "text")).select(*picked.columns, "f.text", "f.page"), name, compression="zstd")
+    some = docs.join(F.broadcast(picked), "id")
+    some = some.withColumn("f", _featured(some, "text")).select(*picked.columns, "f.text", "f.page")
+    return stored(some.dropDuplicates(["id"]), name, compression="zstd")
 
 
-def _sure(docs: DataFrame, model: Quality, sure: float, bound: int, name: str) -> list[tuple]:
-    """(id, y, use) of the documents of which a view is sure after calibration, for the other one to learn from.
+def _sure(docs: DataFrame, labelled: DataFrame, model: Quality, sure: float, bound: int, name: str) -> list[tuple]:
+    """(id, y, use) of the unlabelled documents of which a view is sure after calibration, for the other one to learn from.
 
-    All documents are scored; of each view and kind the surest ``bound`` are taken.
+    All documents are scored, and the scores of the labelled ones are left out; of each
+    view and kind the surest ``bound`` are taken.
     """
     seen = docs.select("id", _margins(docs, "text", model.weights).alias("m")).groupBy("id").agg(F.min("m").alias("m"))
+    seen = seen.join(labelled, "id", "left_anti")
     logits = [F.col(f"m.{c}") * F.lit(float(a)) + F.lit(float(b)) for c, (a, b) in zip(("text", "page"), model.calibration)]
     seen = stored(seen.select("id", *[logit.alias(f"logit_{view}") for view, logit in zip(_VIEWS, logits)]), name)
     limit, found = float(np.log(sure / (1 - sure))), {}

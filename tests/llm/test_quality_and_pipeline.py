@@ -1,13 +1,15 @@
 """The quality classifier by held-out accuracy, and the pipeline stage by stage."""
 
 import random
+import re
+import zlib
 
 import numpy as np
 import pytest
 
 import corpus_pipeline
 from ordermart.llm.common import stored
-from ordermart.llm.quality_classifier import keep_good, logistic, quality_scores
+from ordermart.llm.quality_classifier import FEATURES, TextFeatures, keep_good, logistic, quality_scores
 from ordermart.llm.simhash_dedup import fingerprint
 
 SF = "/root/testdata/sf0.001"
@@ -152,3 +154,15 @@ def test_mix_stage_reads_every_document(stages):
 
 def test_run_gives_the_schedule(spark, stages):
     assert corpus_pipeline.run(spark, SF).count() == stages["mix"][1].count()
+
+
+def test_features_of_plain_tokens_are_those_of_all():
+    known = TextFeatures()
+    for token in ["Word", "WORD!!", "a", "A", "word###", "x,y", "3a.", "İs", "ß", "don't", "--", "w1|", "Æon,", "wörter"]:
+        letters = re.findall(r"[^\W\d_]+", token.lower())
+        shape = re.sub(r"[^\W\d_]+", lambda m: "A" if len(m.group()) > 1 and m.group().isupper() else "a", token)
+        shape = re.sub(r"\d+", "0", shape)
+        names = {f"word {w}" for w in letters} | ({f"shape {shape}"} if shape != "a" else set())
+        expected = sorted({zlib.crc32(n.encode()) % FEATURES for n in names})
+        assert known.of(f"{token} {token}").tolist() == expected and sorted(known[token]) == expected, token
+    assert len(known.of(None)) == 0 and known.of("b a b").tolist() == sorted({*known["a"], *known["b"]})
