@@ -55,7 +55,7 @@ STAGES: list[tuple[str, Stage]] = [
     ("mix", mix),
 ]
 
-#: SQL can express neither the classifier nor the fuzzy lines; see tests/llm/test_pipeline.py.
+#: SQL can express neither the classifier nor the fuzzy lines; see tests/llm/test_quality_and_pipeline.py.
 ORACLE_SQL = None
 
 
