@@ -42,7 +42,7 @@ from ordermart.llm.common import Numbering, stored
 WINDOW, MIN_LITERALS, MIN_COVERAGE, MIN_CONSISTENCY = 8, 4, 0.6, 0.8
 #: Bits of the bitmap: 64 for each window of the benchmark, within these bounds (2 MB and 16 MB).
 MIN_BITS, MAX_BITS = 1 << 24, 1 << 27
-_CHUNK_CHARS, _CACHE = 1 << 21, 200_000
+_CHUNK_CHARS, _CACHE = 1 << 21, 300_000
 #: Words of a document that are kept in one row.
 _PIECE = 256
 
@@ -84,6 +84,8 @@ def _hash(word: str) -> int:
 def _word(raw: str) -> tuple[str, int, int, bool, bool, bool, bool, bool]:
     """Word in lower case, what it may be, hash of the word, whether a sentence ends after it, whether the words
     before and after it may belong to it, whether it is a function word, and an amount of money or a share."""
+    if raw.isalpha() and raw.islower() and raw not in NUMBER_WORDS and raw not in UNITS:  # most words: neither sign nor slot
+        return raw, LITERAL, xxhash.xxh64_intdigest(raw.encode()), False, True, True, raw in FUNCTION_WORDS, False
     core = _EDGE.sub("", raw)
     low = core.lower()
     if not core:
