@@ -68,7 +68,7 @@ _WORD = zlib.crc32(b"word ")  # a checksum goes on from that of the first part
 class TextFeatures(dict):
     """Features of a token: its words in lower case, and its shape, which tells capitals, letters, digits and other signs.
 
-    A plain word in small letters has no shape. Such words are the most, and are not remembered.
+    Plain words in small letters are the most, share one shape, and are not remembered.
     """
 
     def __init__(self) -> None:
@@ -91,7 +91,7 @@ class TextFeatures(dict):
         else:
             shape = _LETTERS.sub(lambda m: "A" if len(m.group()) > 1 and m.group().isupper() else "a", token)
             shape, words = _DIGITS.sub("0", shape), {_feature(f"word {w}") for w in _LETTERS.findall(token.lower())}
-        found = self[token] = (*words, *([] if shape == "a" else [self._shape(shape)]))
+        found = self[token] = (*words, self._shape(shape))
         return found
 
     def of(self, text: str | None) -> np.ndarray:
@@ -101,7 +101,7 @@ class TextFeatures(dict):
         tokens.difference_update(plain)
         words = np.array([zlib.crc32(t.encode(), _WORD) for t in plain], np.int64) % FEATURES
         others = np.array(list(chain.from_iterable(map(self.__getitem__, tokens))), np.int64)
-        return np.unique(np.concatenate([words, others]))
+        return np.unique(np.concatenate([words, others, [self._shape("a")] if plain else []]).astype(np.int64))
 
 
 def page_features(lang: object, source: object, n_chars: object) -> np.ndarray:
