@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,6 +41,14 @@ def lower_ascii(text: Column) -> Column:
     return F.when(F.length(text) == F.octet_length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
 
 
+def fresh(name: str, taken: Iterable[str]) -> str:
+    """A column name that none of ``taken`` equals, whatever the case."""
+    taken = {t.lower() for t in taken}
+    while name.lower() in taken:
+        name = f"{name}_"
+    return name
+
+
 class Numbering(dict):
     """Numbers keys in the order in which they are first asked for."""
 

@@ -1,16 +1,21 @@
 """Line dedup: fuzzy lines by MinHash.
 
-Lines are compared in normal form (lower case, white space collapsed). Each
-distinct line is cut into character shingles and gets a MinHash signature (one
-permutation hashing, densified); ``bands`` groups of ``rows`` values are its
-bands, and lines that share a band are candidates. Verification computes the
-exact Jaccard similarity of the shingle sets:
+Lines are compared in normal form (lower case, white space collapsed). Repeated
+lines are brought together first, each with its count and its first place, so a
+common line is one row in all that follows. Each distinct line is cut into
+character shingles and gets a MinHash signature (one permutation hashing,
+densified); ``bands`` groups of ``rows`` values are its bands, and lines that
+share a band are candidates. Verification computes the exact Jaccard similarity
+of the shingle sets:
 
 1. every member of a band bucket is verified against the least line of the
    bucket, and the links found are joined to components (distributed union-find);
-2. buckets that still hold several components are compared line by line inside
-   tasks, by a product of their shingle matrices; only links that join components
-   leave the task, and the components are joined again.
+2. buckets of three or more that still hold several components are compared line
+   by line inside tasks; only links that join components leave the task, and the
+   components are joined again.
+
+In both steps shared shingle hashes are counted for many pairs at once, and pairs
+that reach the bound within two shingles are settled on the shingles themselves.
 
 So a large group of near copies costs one pair per member and bucket, pairs are
 never listed, and still no link between candidates is lost. A bucket of more than
@@ -20,7 +25,7 @@ Of each component the first line in the order (id, position) stays.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -29,13 +34,18 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ordermart.llm.common import stored
+from ordermart.llm.common import fresh, stored
 from ordermart.llm.components import connected_components
 
 SHINGLE, BANDS, ROWS, SIMILARITY = 8, 16, 5, 0.8
 #: Lines that are compared with each other in one block, and lines and shingles that a task holds at a time.
 BLOCK, _TASK_LINES, _COLUMNS = 2048, 20_000, 4096
-_CHUNK_CHARS = 1 << 21
+#: Buckets up to this size are compared pair by pair, larger ones as matrices.
+_SMALL = 48
+#: Characters that are hashed, and shingles that are compared, at a time.
+_CHUNK_CHARS, _CHUNK_SHINGLES = 1 << 19, 1 << 20
+#: Bits of a shingle's hash beside the number of its line or pair.
+_HASH_BITS = np.uint64(40)
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -121,6 +131,47 @@ def similar(x: str, y: str, least: float = SIMILARITY, shingle: int = SHINGLE) -
     return shared >= least * (len(a) + len(b) - shared)
 
 
+def _chunks(sizes: np.ndarray, most: int) -> list[slice]:
+    """Cuts a sequence into runs whose sizes add up to about ``most``; every run has one member at least."""
+    cuts = np.flatnonzero(np.diff(np.cumsum(sizes) // most)) + 1
+    return [slice(a, b) for a, b in zip([0, *cuts], [*cuts, len(sizes)]) if a < b]
+
+
+class _ShingleSets:
+    """The sets of shingle hashes of lines, one after another in ``values``."""
+
+    def __init__(self, lines: list[str], shingle: int):
+        parts = []
+        for part in _chunks(np.fromiter((len(x) + shingle for x in lines), np.int64, len(lines)), _CHUNK_CHARS):
+            line, hashes = shingle_hashes(lines[part], shingle)
+            keyed = np.sort(((line + part.start).astype(np.uint64) << _HASH_BITS) | (hashes >> (np.uint64(64) - _HASH_BITS)))
+            parts.append(keyed[np.append(True, keyed[1:] != keyed[:-1])])
+        keyed = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
+        self.values = keyed & ((np.uint64(1) << _HASH_BITS) - np.uint64(1))
+        self.sizes = np.bincount((keyed >> _HASH_BITS).astype(np.int64), minlength=len(lines))
+        self.starts = np.cumsum(self.sizes) - self.sizes
+
+    def _of(self, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(number in ``chosen``, value) of the chosen lines' shingles."""
+        sizes = self.sizes[chosen]
+        number = np.repeat(np.arange(len(chosen)), sizes)
+        shift = self.starts[chosen] - (np.cumsum(sizes) - sizes)
+        return number.astype(np.uint64), self.values[np.arange(len(number)) + np.repeat(shift, sizes)]
+
+    def near(self, x: np.ndarray, y: np.ndarray, least: float) -> np.ndarray:
+        """Which pairs of lines may reach ``least``; two shingles more are granted for colliding hashes."""
+        a, b = self.sizes[x], self.sizes[y]
+        passed = np.minimum(a, b) + 2 >= least * np.maximum(a, b) - 1e-9
+        at = np.flatnonzero(passed)
+        for part in _chunks((a + b)[at], _CHUNK_SHINGLES):
+            some = at[part]
+            keyed = np.concatenate([(n << _HASH_BITS) | v for n, v in (self._of(x[some]), self._of(y[some]))])
+            keyed.sort()
+            shared = np.bincount((keyed[1:][keyed[1:] == keyed[:-1]] >> _HASH_BITS).astype(np.int64), minlength=len(some)) + 2
+            passed[some] = shared >= least * (a[some] + b[some] - shared) - 1e-9
+        return passed
+
+
 def joining_links(
     lines: list[str], groups: np.ndarray, least: float = SIMILARITY, shingle: int = SHINGLE
 ) -> list[tuple[int, int]]:
@@ -142,6 +193,14 @@ def joining_links(
         matrix = np.zeros((len(lines), _COLUMNS), np.float32)
         matrix[line[a:b], columns[a:b] - lo] = 1
         both += matrix @ matrix.T
+    near = np.argwhere(np.triu(both >= least * (sizes[:, None] + sizes[None, :] - both) - 1e-3, 1))
+    return _joined(near, lines, groups, least, shingle)
+
+
+def _joined(
+    near: Iterable[tuple[int, int]], lines: list[str], groups: np.ndarray, least: float, shingle: int
+) -> list[tuple[int, int]]:
+    """Of the pairs those that are similar and join groups that earlier ones have not joined."""
     parent = {}
 
     def root(x):
@@ -150,7 +209,7 @@ def joining_links(
         return x
 
     links = []
-    for x, y in np.argwhere(np.triu(both >= least * (sizes[:, None] + sizes[None, :] - both) - 1e-3, 1)):
+    for x, y in near:
         a, b = root(groups[x]), root(groups[y])
         if a != b and similar(lines[x], lines[y], least, shingle):
             parent[max(a, b)] = min(a, b)
@@ -158,6 +217,25 @@ def joining_links(
     return links
 
 
+def small_bucket_links(
+    lines: list[str], groups: np.ndarray, buckets: list[tuple[np.ndarray, int]], least: float = SIMILARITY,
+    shingle: int = SHINGLE,
+) -> list[tuple[int, int]]:
+    """As ``joining_links``, within many small buckets at once.
+
+    A bucket is the numbers of its lines and how many at its start are settled
+    with all others already.
+    """
+    pairs = [np.stack(np.triu_indices(len(of) - done, 1)) + done for of, done in buckets]
+    pairs = [of[pair] for (of, _), pair in zip(buckets, pairs)]
+    if not pairs:
+        return []
+    pairs = np.concatenate(pairs, axis=1)
+    pairs = np.unique(pairs[:, groups[pairs[0]] != groups[pairs[1]]], axis=1)
+    near = pairs[:, _ShingleSets(lines, shingle).near(pairs[0], pairs[1], least)]
+    return _joined(near.T, lines, groups, least, shingle)
+
+
 # ---- the operator ----------------------------------------------------------
 
 def _verified(pairs: DataFrame, texts: DataFrame, least: float, shingle: int) -> DataFrame:
@@ -165,88 +243,112 @@ def _verified(pairs: DataFrame, texts: DataFrame, least: float, shingle: int) ->
 
     def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            good = [similar(x, y, least, shingle) for x, y in zip(batch["ta"], batch["tb"])]
-            yield batch.loc[good, ["a", "b"]]
+            for part in _chunks((batch["ta"].str.len() + batch["tb"].str.len()).to_numpy(np.int64), _CHUNK_SHINGLES):
+                some = batch.iloc[part]
+                numbers, lines = pd.factorize(pd.concat([some["ta"], some["tb"]], ignore_index=True))
+                x, y = numbers[:len(some)], numbers[len(some):]
+                near = np.flatnonzero(_ShingleSets(lines.tolist(), shingle).near(x, y, least))
+                good = [at for at in near if similar(lines[x[at]], lines[y[at]], least, shingle)]
+                yield some.iloc[good][["a", "b"]]
 
     left = texts.select(F.col("k").alias("a"), F.col("line").alias("ta"))
     right = texts.select(F.col("k").alias("b"), F.col("line").alias("tb"))
     return pairs.join(left, "a").join(right, "b").mapInPandas(check, "a long, b long")
 
 
-def cut_lines(docs: DataFrame, shingle: int, bands: int, rows: int) -> DataFrame:
-    """(id, row_key, ats, ks, lines, bands): the lines of every document that are not blank.
+def cut_lines(docs: DataFrame) -> DataFrame:
+    """(id, row_key, ats, ks, lines): the lines of every document that are not blank.
 
-    Positions, keys and normal forms run along each other; ``bands`` holds the
-    band keys of the lines one after another.
+    Positions, keys and normal forms run along each other; the normal form is null
+    where the same chunk of documents has shown it before.
     """
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            sizes = np.cumsum([len(t) if t else 0 for t in batch["text"]]) // _CHUNK_CHARS
-            for _, part in batch.groupby(sizes, sort=False):
-                found = [
-                    [(at, line) for at, raw in enumerate(t.split("\n")) if (line := normal_line(raw))] if t else []
-                    for t in part["text"]
-                ]
-                flat = [line for lines in found for _, line in lines]
-                cuts = np.cumsum([len(lines) for lines in found])[:-1]
-                ks = np.fromiter(
-                    (xxhash.xxh64_intdigest(x.encode("utf-8", "surrogatepass"), 42) for x in flat), np.uint64, len(flat)
-                ).view(np.int64)
+            for span in _chunks(np.fromiter((len(t) if t else 0 for t in batch["text"]), np.int64, len(batch)), 4 * _CHUNK_CHARS):
+                part, shown = batch.iloc[span], {}
+                ats, ks, lines = [], [], []
+                for t in part["text"]:
+                    here = [(at, line) for at, raw in enumerate(t.split("\n")) if (line := normal_line(raw))] if t else []
+                    ats.append([at for at, _ in here])
+                    lines.append([None if line in shown else line for _, line in here])
+                    for _, line in here:
+                        if line not in shown:
+                            key = xxhash.xxh64_intdigest(line.encode("utf-8", "surrogatepass"), 42)
+                            shown[line] = key - (1 << 64) if key >> 63 else key
+                    ks.append([shown[line] for _, line in here])
                 yield pd.DataFrame({
-                    "id": part["id"].tolist(), "row_key": part["row_key"].to_numpy(np.int64),
-                    "ats": [[at for at, _ in lines] for lines in found], "ks": np.split(ks, cuts),
-                    "lines": [[line for _, line in lines] for lines in found],
-                    "bands": np.split(band_keys(flat, bands, rows, shingle).ravel(), cuts * bands),
+                    "id": part["id"].tolist(), "row_key": part["row_key"].to_numpy(np.int64), "ats": ats, "ks": ks, "lines": lines,
                 })
 
-    return docs.mapInPandas(
-        cut, "id string, row_key long, ats array<int>, ks array<long>, lines array<string>, bands array<long>"
-    )
+    return docs.mapInPandas(cut, "id string, row_key long, ats array<int>, ks array<long>, lines array<string>")
 
 
-def line_components(cut: DataFrame, *, shingle: int, bands: int, similarity: float) -> DataFrame:
-    """(node, component) of the keys of lines that have a similar other line; ``cut`` is ``cut_lines`` as stored."""
-    members = cut.select("ks", F.posexplode("bands").alias("at", "band")).select(
-        F.get("ks", F.floor(F.col("at") / bands).cast("int")).alias("k"), "band"
-    )
+def line_bands(distinct: DataFrame, shingle: int, bands: int, rows: int) -> DataFrame:
+    """(k, bands) of the distinct lines (k, line)."""
+
+    def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for part in _chunks(batch["line"].str.len().to_numpy(np.int64) + shingle, _CHUNK_CHARS):
+                some = batch.iloc[part]
+                yield pd.DataFrame({"k": some["k"], "bands": list(band_keys(some["line"].tolist(), bands, rows, shingle))})
+
+    return distinct.select("k", "line").mapInPandas(sign, "k long, bands array<long>")
+
+
+def line_components(distinct: DataFrame, *, shingle: int, bands: int, rows: int, similarity: float) -> DataFrame:
+    """(node, component) of the keys of lines that have a similar other line; ``distinct`` has (k, line), as stored."""
+    members = stored(line_bands(distinct, shingle, bands, rows), "bands").select("k", F.explode("bands").alias("band"))
     buckets = stored(
-        members.groupBy("band").agg(F.min("k").alias("leader"), F.max("k").alias("last"))
-        .where("leader < last").select("band", "leader"),
+        members.groupBy("band").agg(F.min("k").alias("leader"), F.max("k").alias("last"), F.count(F.lit(1)).alias("n"))
+        .where("n > 1"),
         "buckets",
     )
-    members = stored(members.join(buckets, "band").distinct(), "members")
-    pairs = stored(members.where("k != leader").select(F.col("leader").alias("a"), F.col("k").alias("b")).distinct(), "pairs")
-    wanted = stored(pairs.select(F.col("a").alias("k")).union(pairs.select("b")).distinct(), "wanted")
-    lines = cut.select(F.explode(F.arrays_zip("ks", "lines")).alias("l")).select("l.ks", F.col("l.lines").alias("line"))
-    texts = stored(
-        lines.withColumnRenamed("ks", "k").join(wanted, "k").groupBy("k").agg(F.min("line").alias("line")), "texts"
+    # A bucket of two is the pair of its least and its greatest line; only larger ones ask for their members.
+    members = stored(members.join(buckets.where("n > 2").select("band", "leader", "n"), "band"), "members")
+    pairs = stored(
+        buckets.where("n = 2").select(F.col("leader").alias("a"), F.col("last").alias("b"))
+        .union(members.where("k != leader").select("leader", "k")).distinct(),
+        "pairs",
     )
+    wanted = pairs.select(F.col("a").alias("k")).union(pairs.select("b")).distinct()
+    texts = stored(distinct.select("k", "line").join(wanted, "k"), "texts", compression="zstd")
     links = stored(_verified(pairs, texts, similarity, shingle), "links")
     found = stored(connected_components(links), "components")
 
-    def placed(frame: DataFrame, key: str, name: str) -> DataFrame:
-        of = found.select(F.col("node").alias(key), F.col("component").alias(name))
-        return frame.join(of, key, "left").withColumn(name, F.coalesce(name, key))
-
-    apart = stored(placed(members.select("band", "k"), "k", "component"), "placed")
+    of = found.select(F.col("node").alias("k"), "component")
+    apart = stored(
+        members.join(of, "k", "left").select("band", "leader", "k", F.coalesce("component", "k").alias("component")), "placed"
+    )
     unclear = apart.groupBy("band").agg(
-        F.count(F.lit(1)).alias("n"), F.min("component").alias("low"), F.max("component").alias("high")
-    ).where("n > 2 and low < high").select("band", F.ceil(F.col("n") / BLOCK).cast("long").alias("blocks"))
-    rows = apart.join(stored(unclear, "unclear"), "band").withColumn("block", F.pmod(F.xxhash64("k"), F.col("blocks")))
+        F.count(F.lit(1)).alias("n"), F.min("component").alias("low"), F.max("component").alias("high"),
+        F.bit_xor(F.xxhash64("k")).alias("mark"), F.bit_xor(F.xxhash64("k", F.lit(1))).alias("second"),
+    ).where("low < high")
+    # Bands often gather the same lines: one bucket of equal members is compared.
+    unclear = unclear.groupBy("n", "mark", "second").agg(F.min("band").alias("band"))
+    unclear = stored(unclear.select("band", F.ceil(F.col("n") / BLOCK).cast("long").alias("blocks")), "unclear")
+    rows = apart.join(unclear, "band").withColumn("block", F.pmod(F.xxhash64("k"), F.col("blocks")))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     rows = stored(rows.select(
-        F.xxhash64("band", F.least("block", "other"), F.greatest("block", "other")).alias("bucket"), "k", "component"
+        F.xxhash64("band", F.least("block", "other"), F.greatest("block", "other")).alias("bucket"), "k", "component",
+        (F.col("k") == F.col("leader")).alias("settled"),
     ).distinct(), "unclear_rows")
     tasks = F.lit(max(1, -(-rows.count() // _TASK_LINES)))
 
     def compare(task: pd.DataFrame) -> pd.DataFrame:
-        out = []
+        out, small = [], []
+        task = task.sort_values(["bucket", "settled"], ascending=[True, False], ignore_index=True)
+        numbers, keys = pd.factorize(task["k"])
+        at = pd.Series(np.arange(len(task))).groupby(numbers).first().to_numpy()
+        lines, groups = task["line"].to_numpy()[at].tolist(), task["component"].to_numpy(np.int64)[at]
         for _, part in task.groupby("bucket", sort=False):
-            keys = part["k"].to_numpy(np.int64)
-            found = joining_links(part["line"].tolist(), part["component"].to_numpy(np.int64), similarity, shingle)
-            out += [(keys[x], keys[y]) for x, y in found]
-        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+            of = numbers[part.index]
+            if len(of) <= _SMALL:
+                small.append((of, int(part["settled"].sum())))
+            else:
+                out += [(of[x], of[y]) for x, y in joining_links([lines[n] for n in of], groups[of], similarity, shingle)]
+        out += small_bucket_links(lines, groups, small, similarity, shingle)
+        return pd.DataFrame([(keys[x], keys[y]) for x, y in out], columns=["a", "b"], dtype="int64")
 
     more = stored(
         rows.join(texts, "k").groupBy(F.pmod(F.xxhash64("bucket"), tasks).alias("task"))
@@ -277,34 +379,39 @@ def line_dedup(
     agree, which at 10^9 lines has odds of about 3 in 100.
     """
     kind = docs.schema[id_col].dataType.simpleString()
-    row_key = F.xxhash64(F.col(id_col), F.col(text_col))
-    source = docs.select(F.col(id_col).cast("string").alias("id"), row_key.alias("row_key"), F.col(text_col).alias("text"))
-    cut = stored(cut_lines(source, shingle, bands, rows), "lines", compression="zstd")
-    places = cut.select(F.col("id").cast(kind).alias("id"), "row_key", F.explode(F.arrays_zip("ats", "ks")).alias("l")).select(
-        "id", "row_key", F.col("l.ats").alias("at"), F.col("l.ks").alias("k")
+    key, text = F.col(f"`{id_col}`"), F.col(f"`{text_col}`")
+    row_key = F.xxhash64(key, text)
+    source = docs.select(key.cast("string").alias("id"), row_key.alias("row_key"), text.alias("text"))
+    cut = stored(cut_lines(source), "lines", compression="zstd")
+    places = cut.select(
+        F.col("id").cast(kind).alias("id"), "row_key", F.explode(F.arrays_zip("ats", "ks", "lines")).alias("l")
+    ).select("id", "row_key", F.col("l.ats").alias("at"), F.col("l.ks").alias("k"), F.col("l.lines").alias("line"))
+    distinct = stored(
+        places.groupBy("k").agg(
+            F.min(F.struct("id", "row_key", "at")).alias("first"), F.count(F.lit(1)).alias("n"), F.min("line").alias("line")
+        ),
+        "distinct_lines", compression="zstd",
     )
     components = stored(
-        line_components(cut, shingle=shingle, bands=bands, similarity=similarity), "line_components"
+        line_components(distinct, shingle=shingle, bands=bands, rows=rows, similarity=similarity), "line_components"
     )
-    lines = F.split(F.col(text_col), "\n", -1)
     firsts = (
-        places.groupBy("k").agg(F.min(F.struct("id", "row_key", "at")).alias("first"), F.count(F.lit(1)).alias("n"))
-        .join(components, F.col("k") == F.col("node"), "left").drop("node")
+        distinct.select("k", "first", "n").join(components.withColumnRenamed("node", "k"), "k", "left")
+        .where("n > 1 or component is not null").withColumn("component", F.coalesce("component", "k"))
     )
-    firsts = stored(firsts.where("n > 1 or component is not null")
-                    .withColumn("component", F.coalesce("component", "k")), "firsts")
+    firsts = stored(firsts, "firsts")
     kept = stored(firsts.groupBy("component").agg(F.min("first").alias("kept")), "kept")
     repeated = stored(firsts.join(kept, "component").select("k", "kept"), "repeated")
     gone = stored(
-        places.join(repeated, "k").where(~F.struct("id", "row_key", "at").eqNullSafe(F.col("kept")))
+        places.drop("line").join(repeated, "k").where(~F.struct("id", "row_key", "at").eqNullSafe(F.col("kept")))
         .groupBy("row_key").agg(F.collect_set("at").alias("gone")),
         "gone",
     )
-    names, text = docs.columns, f"`{text_col}`"
-    stay = F.array_join(F.filter(lines, lambda _, i: ~F.array_contains("__gone", i)), "\n")
+    row, taken = fresh("row_key", docs.columns), fresh("gone", docs.columns)
+    stay = F.array_join(F.filter(F.split(text, "\n", -1), lambda _, i: ~F.array_contains(taken, i)), "\n")
     return (
-        docs.withColumn("__row_key", row_key)
-        .join(gone.select(F.col("row_key").alias("__row_key"), F.col("gone").alias("__gone")), "__row_key", "left")
-        .withColumn(text_col, F.when(F.col("__gone").isNull(), F.col(text)).otherwise(stay))
-        .select(*[f"`{n}`" for n in names])
+        docs.withColumn(row, row_key)
+        .join(gone.select(F.col("row_key").alias(row), F.col("gone").alias(taken)), row, "left")
+        .withColumn(text_col, F.when(F.col(taken).isNull(), text).otherwise(stay))
+        .select(*[f"`{n}`" for n in docs.columns])
     )

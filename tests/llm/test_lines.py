@@ -3,9 +3,10 @@
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from ordermart.llm import line_dedup as line_dedup_module
-from ordermart.llm.line_dedup import band_keys, joining_links, line_dedup, similar
+from ordermart.llm.line_dedup import band_keys, joining_links, line_dedup, similar, small_bucket_links
 
 
 def normal(line):
@@ -79,8 +80,9 @@ def test_keys_do_not_depend_on_the_batch():
 def test_equals_brute_force(spark):
     rows = corpus(2) + [(100, None), (101, ""), (102, "\n\n"), (103, "One\n one \n\nTwo words\nONE")]
     frame = spark.createDataFrame([(i, t, i, "x") for i, t in rows], "doc_id long, text string, k long, line string")
+    frame = frame.withColumns({"gone": F.lit(1), "Row_Key": F.lit(2), "__gone": F.lit(3)})
     found = line_dedup(frame)
-    assert found.columns == ["doc_id", "text", "k", "line"]
+    assert found.columns == ["doc_id", "text", "k", "line", "gone", "Row_Key", "__gone"]
     assert {r["doc_id"]: r["text"] for r in found.collect()} == brute(rows)
 
 
@@ -126,6 +128,19 @@ def test_joining_links_connect_what_all_pairs_connect():
         everything = [(x, y) for y in range(len(lines)) for x in range(y) if similar(lines[x], lines[y])]
         found = joining_links(lines, np.arange(len(lines)))
         assert labels(found) == labels(everything) and len(found) < len(lines)
+        settled = [(x, y) for x, y in everything if x == 0]
+        others = small_bucket_links(lines, np.arange(len(lines)), [(np.arange(len(lines)), 1)])
+        assert labels(settled + others) == labels(everything)
+
+
+def test_very_long_lines_and_a_very_common_line(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup_module, "_CHUNK_SHINGLES", 1 << 12)
+    rng = random.Random(3)
+    long = " ".join(f"w{rng.randrange(10**6)}" for _ in range(40_000))
+    rows = [(i, "the very common line\n" + f"own line {i * 7919} of its document") for i in range(300)]
+    rows += [(400, long), (401, long[:-40]), (402, "x" + long), (403, "\n".join(["the very common line"] * 50))]
+    found = {r[0]: r[1] for r in line_dedup(spark.createDataFrame(rows, "doc_id long, text string").repartition(7)).collect()}
+    assert found == brute(rows)
 
 
 def test_large_group_of_near_copies_in_blocks(spark, monkeypatch):
