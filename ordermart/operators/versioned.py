@@ -57,10 +57,13 @@ def read_versioned(spark: SparkSession, root: str, schema: T.StructType, version
 
 
 def write_versioned(
-    frame: DataFrame, root: str, version: str, partition_by: Sequence[str], keep_others: bool = False, keep: int = 3
+    frame: DataFrame, root: str, version: str, partition_by: Sequence[str], keep_others: bool = False, keep: int = 3,
+    without: Sequence[str] = (),
 ) -> None:
     """Make ``frame`` a version of the table: all of it, or with ``keep_others`` the partitions it touches.
 
+    Other partitions named in ``without`` (as folders ``a=1/b=2``) leave the table.
+
     A retry of a version replaces what the version has written. The last ``keep``
     versions can still be read; data that only earlier ones named is removed.
     """
@@ -68,7 +71,7 @@ def write_versioned(
     others = manifest(spark, root) if keep_others else {}
     publish(frame, f"{root}/data/{VERSION}={version}", partition_by=partition_by)
     touched = _leaves(spark, f"{root}/data/{VERSION}={version}", len(partition_by))
-    held = {**others, **dict.fromkeys(touched, version)}
+    held = {p: v for p, v in others.items() if p not in set(without)} | dict.fromkeys(touched, version)
     listed = spark.createDataFrame(sorted(held.items()), _MANIFEST)
     publish(listed.coalesce(1), f"{root}/manifests/{version}")
     _remove_unnamed(spark, root, len(partition_by), keep)

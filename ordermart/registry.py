@@ -21,7 +21,7 @@ from ordermart.functions.dates import as_date, date_key, day_name, days_until, i
 from ordermart.functions.text import clean_email, clean_name, strip
 from ordermart.operators.dedup import keep_first
 from ordermart.operators.ranking import ntile_scores
-from ordermart.plans import forecast as fc
+from ordermart.plans import forecast as fc, incremental
 from ordermart.plans import group_forecast as gf
 from ordermart.plans import marts, quality, reports, segments
 from ordermart.plans.job import read_fact_range
@@ -232,6 +232,17 @@ def _mart_upsert_written(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.upserted_mart(spark, root)
 
 
+def _mart_changed_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mart of an earlier load with orders that were changed and deleted since, refreshed where they differ."""
+    star, root = dv.star(spark, sf_dir), scratch_path(spark, MONTHLY_MART.name)
+    orders, days, shops = star[ORDERS], star[DAYS], star[SHOPS]
+    earlier = orders.filter(F.col("date_id") <= EARLIER_LOAD_END)
+    once = earlier.filter("date_id % 100 <> 1").withColumn("net_total", F.when(F.col("date_id") % 1000 > 700, F.col("net_total")))
+    incremental.refresh_changed(root, "1", once, days, shops)
+    incremental.refresh_changed(root, "2", orders, days, shops)
+    return incremental.refreshed_mart(spark, root)
+
+
 def _parquet_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw orders written as Parquet with a column too many, and read as a declared source."""
     path = scratch_path(spark, "raw")
@@ -441,6 +452,8 @@ _QUERIES: dict[str, Query] = {
     "catalog_mart": _catalog_mart,
     "mart_refresh_written": _mart_refresh_written,
     "mart_upsert_written": _mart_upsert_written,
+    "mart_changed_months_written": _mart_changed_months,
+    "span_figures_check": _over(incremental.span_check, ORDERS, DAYS),
     "metrics_history_written": _metrics_history,
     # quality
     "source_gate": _source_gate,
