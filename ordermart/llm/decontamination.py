@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ordermart.llm.common import Numbering, stored
+from ordermart.llm.common import Numbering, fresh, stored
 
 WINDOW, MIN_LITERALS, MIN_COVERAGE, MIN_CONSISTENCY = 8, 4, 0.6, 0.8
 #: Bits of the bitmap: 64 for each window of the benchmark, within these bounds (2 MB and 16 MB).
@@ -464,6 +464,7 @@ def contaminated(
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` without the rows that hold a benchmark item; columns as they were. See ``contaminated``."""
-    bad = contaminated(docs, benchmark, id_col=id_col, text_col=text_col, **options).select(F.col("row_key").alias("__key"))
+    key = fresh("row_key", docs.columns)
+    bad = contaminated(docs, benchmark, id_col=id_col, text_col=text_col, **options).select(F.col("row_key").alias(key))
     bad = stored(bad.distinct(), "contaminated")
-    return docs.join(bad, F.xxhash64(F.col(id_col), F.col(text_col)) == F.col("__key"), "left_anti")
+    return docs.join(bad, F.xxhash64(F.col(id_col), F.col(text_col)) == F.col(key), "left_anti")

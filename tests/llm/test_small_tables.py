@@ -201,6 +201,7 @@ def test_contaminated(spark):
     found = sorted({(r["doc_id"] or -1, r["item_id"]) for r in contaminated(frame, bench).collect()})
     assert (1, 100) in found and (2, 100) in found and (10, 100) in found and (-1, 100) in found and (8, 101) in found
     assert not {3, 4, 5, 6, 9, 11} & {d for d, _ in found}
+    frame = frame.withColumns({"__key": F.lit(1), "Row_Key": F.lit(2)})
     kept = decontaminate(frame, bench)
     assert kept.columns == frame.columns
     assert {3, 4, 5, 6, 9, 11} <= {r["doc_id"] for r in kept.collect()}
