@@ -132,6 +132,23 @@ def test_a_cluster_refuses_folders_of_one_machine():
             shared_dir(session(folder, default))
 
 
+def test_a_cluster_may_share_a_mounted_folder(spark, tmp_path):
+    """A standalone master whose shared folder is a path: accepted if the driver sees what the tasks write."""
+    def session(folder, written, name="app"):
+        context = SimpleNamespace(master="spark://head:7077", applicationId=name, defaultParallelism=3)
+        named = {"spark.checkpoint.dir": folder}
+        return SimpleNamespace(
+            conf=SimpleNamespace(get=lambda key, otherwise=None: named.get(key, otherwise)),
+            sparkContext=context, read=spark.read, range=written,
+        )
+
+    for folder in (f"file://{tmp_path}/x", f"{tmp_path}/y/"):
+        assert shared_dir(session(folder, spark.range)) == folder.rstrip("/")
+        assert shared_dir(session(folder, None)) == folder.rstrip("/")  # asked once
+        with pytest.raises(ValueError, match="one machine"):
+            shared_dir(session(folder, lambda *_: spark.range(1), "other"))
+
+
 def test_first_in_the_file_is_kept(spark, tmp_path):
     """Copies that differ, in a file long enough for several splits."""
     lines = ["item_id,restaurant_id,item_name,category,price,is_available,is_veg,calories"]
