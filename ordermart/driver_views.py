@@ -129,6 +129,7 @@ def raw_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     quantity = F.col("l_quantity").cast("int")
     unit = F.call_function("div", paid * 2 + quantity, quantity * 2)
     order_items = lines.select(
+        "l_orderkey",
         line_id(lines).alias("order_item_id"),
         F.col("l_orderkey").alias("order_id"),
         F.col("l_partkey").alias("item_id"),
@@ -155,15 +156,16 @@ def raw_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         _amount(F.lit(2000) + o % 4001).alias("delivery_fee"),
         _pick(METHODS, o % 5).alias("method"),
     )
-    items = _declared("order_items", order_items)
+    # Lines lie together by order since they were numbered: with the order in the key they are not shuffled again.
+    unique_items = keep_first(_text_ids(order_items), ["l_orderkey", "order_item_id"]).drop("l_orderkey")
     return {
         "customers": _declared("customers", customers),
         "restaurants": _declared("restaurants", restaurants),
         "menu_items": _declared("menu_items", menu_items),
         "delivery_agents": _declared("delivery_agents", agents),
         "orders": _declared("orders", orders_full.drop("delivery_fee", "method")),
-        "order_items": items,
-        "payments": derive_payments(_text_ids(orders_full), keep_first(items, "order_item_id")),
+        "order_items": _declared("order_items", order_items),
+        "payments": derive_payments(_text_ids(orders_full), unique_items),
     }
 
 

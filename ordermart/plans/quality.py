@@ -85,17 +85,13 @@ def null_profile(name: str, frame: DataFrame) -> DataFrame:
 def duplicate_profile(name: str, frame: DataFrame) -> DataFrame:
     """Rows that repeat an earlier row in full.
 
-    Rows are counted by a hash first; whole rows are shuffled only where a hash
-    repeats, and their own comparison decides.
+    The frame is read once, and its whole rows are shuffled once, to be compared.
     """
-    hashed = frame.withColumn("_hash", F.xxhash64(*frame.columns))
-    counts = hashed.groupBy("_hash").agg(F.count(F.lit(1)).alias("_rows"))
-    suspects = hashed.join(counts.filter(F.col("_rows") > 1).select("_hash"), "_hash", "left_semi")
-    copies = suspects.groupBy(*frame.columns).agg((F.count(F.lit(1)) - 1).alias("_extra"))
-    return counts.agg(F.coalesce(F.sum("_rows"), F.lit(0)).alias("row_count")).select(
-        F.lit(name).alias("table_name"), "row_count",
-        copies.agg(F.coalesce(F.sum("_extra"), F.lit(0))).scalar().alias("duplicate_rows"),
-    )
+    copies = frame.groupBy(*frame.columns).agg(F.count(F.lit(1)).alias("_rows"))
+    return copies.agg(
+        F.coalesce(F.sum("_rows"), F.lit(0)).alias("row_count"),
+        F.coalesce(F.sum(F.col("_rows") - 1), F.lit(0)).alias("duplicate_rows"),
+    ).select(F.lit(name).alias("table_name"), "row_count", "duplicate_rows")
 
 
 def null_profiles(frames: Mapping[str, DataFrame]) -> DataFrame:

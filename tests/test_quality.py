@@ -1,8 +1,10 @@
+import datetime as dt
 from decimal import Decimal
 
 import pytest
 from conftest import rows
 
+from ordermart.driver_views import raw_sources
 from ordermart.plans import quality
 from ordermart.schemas import MINIMUM_ROWS, STAR, Table, _declare
 
@@ -51,6 +53,38 @@ def test_profiles(spark):
     assert rows(quality.duplicate_profile("t", frame.filter("false"))) == [("t", 0, 0)]
 
 
+def test_duplicate_profile_reads_and_shuffles_rows_once(spark, tmp_path):
+    copies = [(i % 40 or None, "x" * (i % 3), float(i % 4)) for i in range(300)]
+    spark.createDataFrame(copies, "a int, b string, c double").write.parquet(f"{tmp_path}/t")
+    found = quality.duplicate_profile("t", spark.read.parquet(f"{tmp_path}/t"))
+    assert rows(found) == [("t", 300, 300 - len(set(copies)))]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 1 and "Join" not in plan
+
+
+def test_lines_are_shuffled_once_for_the_payments(spark, tmp_path):
+    lines = [(k, 10 + k % 3, k % 2, n, 1.0 + k % 5, 10.5) for k in range(1, 30) for n in (1, 1, 2)]
+    lines += [(k, 12, 1, 1, 2.0, 7.25) for k in range(1, 30)] + [(None, 10, 0, 1, 1.0, 3.0)] * 2
+    tables = {
+        "nation": ([(0, "N", 0)], "n_nationkey long, n_name string, n_regionkey long"),
+        "region": ([(0, "R")], "r_regionkey long, r_name string"),
+        "customer": ([(1, "C#1", 0, 1.0)], "c_custkey long, c_name string, c_nationkey long, c_acctbal double"),
+        "supplier": ([(0, "S#0", 0), (1, "S#1", 0)], "s_suppkey long, s_name string, s_nationkey long"),
+        "part": ([(k, "a b", "t", 910.0) for k in (10, 11, 12)], "p_partkey long, p_name string, p_type string, p_retailprice double"),
+        "orders": (
+            [(k, 1, "F", "1-URGENT", dt.datetime(1996, 1, 1 + k % 28)) for k in range(1, 30)],
+            "o_orderkey long, o_custkey long, o_orderstatus string, o_orderpriority string, o_orderdate timestamp",
+        ),
+        "lineitem": (lines, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double"),
+    }
+    for name, (data, schema) in tables.items():
+        spark.createDataFrame(data, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    payments = raw_sources(spark, str(tmp_path))["payments"]
+    found = {r["order_id"]: r["gross_total"] for r in payments.collect()}
+    assert found == {str(k): sum(Decimal(str(x[-1])) for x in {x for x in lines if x[0] == k}) for k in range(1, 30)}
+    assert "hashpartitioning(order_item_id" not in payments._jdf.queryExecution().executedPlan().toString()
+
+
 def test_flag_mismatches(spark):
     frame = spark.createDataFrame([("O1", 1, "Delivered"), ("O2", 1, "Refunded"), ("O3", 0, "Refunded")],
                                   "order_id string, is_delivered int, status string")
