@@ -40,11 +40,17 @@ UNKNOWN = "und"
 #: Signs that count as word characters without being letters or decimal digits, such as fractions and Roman numerals.
 _NUMERALS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if unicodedata.category(c) in ("Nl", "No"))
 _LETTERS = re.compile(rf"[^\W\d_{_NUMERALS}]+")
+#: The same without these signs, whose long list is slow to match; texts that hold none of them are cut by these.
+_ASCII, _PLAIN = re.compile("[a-z]+"), re.compile(r"[^\W\d_]+")
 _FLUSH, _CACHE, _CHUNK_CHARS = 200_000, 200_000, 1 << 21
 
 
 def words_of(text: str | None) -> list[str]:
-    return _LETTERS.findall(text.lower()) if text else []
+    text = (text or "").lower()
+    if text.isascii():
+        return _ASCII.findall(text)
+    words = _PLAIN.findall(text)
+    return words if all(map(str.isalpha, words)) else _LETTERS.findall(text)
 
 
 def grams_of(word: str, n: int) -> list[str]:
@@ -185,8 +191,8 @@ class Counts:
 
 def count(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", longest: int = LONGEST) -> Counts:
     """Count the rows of ``docs`` that name a language."""
-    words = stored(word_counts(docs, text_col, lang_col), "words")
-    grams = stored(gram_counts(words, longest), "grams")
+    words = stored(word_counts(docs, text_col, lang_col), "words", compression="zstd")
+    grams = stored(gram_counts(words, longest), "grams", compression="zstd")
     totals = {(r["lang"], 0): r["n"] for r in words.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
     langs = sorted(x for x, _ in totals)
     by_size = grams.groupBy("lang", F.length("word").alias("size")).agg(F.sum("n").alias("n"))
@@ -229,7 +235,7 @@ def _rows_of_words(wanted: DataFrame, counts: Counts) -> DataFrame:
         return table.select("word", F.struct(number.alias("lang"), excess.alias("excess")).alias("row"))
 
     found = wanted.join(rows(counts.words), "word", "left").groupBy("word").agg(F.array_sort(F.collect_list("row")).alias("rows"))
-    found = stored(found.withColumn("id", F.monotonically_increasing_id()), "known_words")
+    found = stored(found.withColumn("id", F.monotonically_increasing_id()), "known_words", compression="zstd")
     out = found.where(F.size("rows") > 0).select("word", F.lit(0).alias("size"), "rows")
     open_words = found.where(F.size("rows") == 0).select("id", "word")
     grams = rows(counts.grams).groupBy(F.col("word").alias("gram")).agg(F.collect_list("row").alias("rows"))
@@ -237,15 +243,17 @@ def _rows_of_words(wanted: DataFrame, counts: Counts) -> DataFrame:
         # A gram that a word holds twice counts twice in the mean.
         pieces = open_words.select("id", F.explode(_grams(size)).alias("gram")).groupBy("id", "gram").agg(F.count("*").alias("times"))
         of_size = grams.where(F.length("gram") == size)
-        hits = stored(pieces.join(of_size, "gram").select("id", "times", "rows"), f"grams_{size}")
-        means = hits.groupBy("id").agg(F.sum("times").alias("all"))
-        sums = (
-            hits.select("id", "times", F.explode("rows").alias("row"))
-            .groupBy("id", "row.lang").agg(F.sum(F.col("times") * F.col("row.excess")).alias("sum"))
+        # Every piece counts its times once, beside the first of its rows.
+        hits = pieces.join(of_size, "gram").select("id", "times", F.posexplode("rows").alias("at", "row"))
+        sums = hits.groupBy("id", "row.lang").agg(
+            F.sum(F.col("times") * F.col("row.excess")).alias("sum"), F.sum(F.when(F.col("at") == 0, F.col("times"))).alias("times")
         )
-        row = F.struct("lang", (F.col("sum") / F.col("all")).alias("excess"))
-        means = sums.join(means, "id").groupBy("id").agg(F.array_sort(F.collect_list(row)).alias("rows"))
-        done = stored(open_words.join(means, "id", "left"), f"by_grams_{size}")
+        means = sums.groupBy("id").agg(
+            F.sum("times").alias("all"), F.array_sort(F.collect_list(F.struct("lang", "sum"))).alias("sums")
+        )
+        row = F.transform("sums", lambda r: F.struct(r["lang"].alias("lang"), (r["sum"] / F.col("all")).alias("excess")))
+        means = means.select("id", row.alias("rows"))
+        done = stored(open_words.join(means, "id", "left"), f"by_grams_{size}", compression="zstd")
         out = out.unionByName(done.where("rows is not null").select("word", F.lit(size).alias("size"), "rows"))
         open_words = done.where("rows is null").select("id", "word")
     nothing = F.array().cast(out.schema["rows"].dataType)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ordermart.llm.decontamination import Template, consistent_share, contaminated, decontaminate
 from ordermart.llm.exact_dedup import exact_dedup
+from ordermart.llm import language_id
 from ordermart.llm.language_id import count, held_out_language_id, identify, identify_whole, train
 from ordermart.llm.source_mixing import mix_sources, mixing_exponent
 from ordermart.llm.warc_revisits import canonical_url, resolve_revisits
@@ -310,3 +311,11 @@ def test_texts_of_numerals_have_no_language(spark):
     rows = [(i, "the cat sat on the mat", "en") for i in range(9)] + [(100 + i, t, "en") for i, t in enumerate(["½ ² Ⅷ", "①②", "12 _", "x½"])]
     out = {r["doc_id"]: r for r in held_out_language_id(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
     assert [out[i]["lang_pred"] for i in range(100, 104)] == ["und", "und", "und", "en"]
+
+
+def test_words_of_plain_texts_need_no_list_of_numerals(monkeypatch):
+    texts = ["The cat_sat 12 times", "Größe, Maß 12 und là-bas", "x½y Ⅷth Ünder", "日本 ٣x", "", None, "\x1c ǅ ʰ İx"]
+    wanted = [language_id._LETTERS.findall(t.lower()) if t else [] for t in texts]
+    assert [language_id.words_of(t) for t in texts] == wanted
+    monkeypatch.setattr(language_id, "_LETTERS", None)
+    assert [language_id.words_of(t) for t in texts[:2]] == wanted[:2]
