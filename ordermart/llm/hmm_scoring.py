@@ -35,14 +35,17 @@ _SEGMENT, _RESCALE, _PRIOR, _JOINED = 256, 8, 0.5, 400_000
 _ASCII_LOWER = bytes.maketrans(UPPER.encode(), LOWER.encode())
 _BLOCK = (
     "block long, ids array<string>, held_out array<boolean>, sizes array<int>, words array<string>, "
-    "trained array<long>, tokens binary"
+    "trained array<long>, classes binary, tokens binary"
 )
 
 
 # ---- blocks ----------------------------------------------------------------
 
-def _pack(block: int, ids: list, held: list, texts: list) -> pd.DataFrame:
-    """One row of ``_BLOCK``; token 0 is the closing mark, token i the word i - 1."""
+def _pack(block: int, ids: list, held: list, texts: list, classes: int) -> pd.DataFrame:
+    """One row of ``_BLOCK``; token 0 is the closing mark, token i the word i - 1.
+
+    The words' classes are kept beside them, so only the counts by word ask for the words again.
+    """
     numbers = Numbering({b" ": 0})  # no word holds a blank
     number, parts = numbers.__getitem__, []
     for text in texts:
@@ -53,14 +56,15 @@ def _pack(block: int, ids: list, held: list, texts: list) -> pd.DataFrame:
     train = np.repeat(~np.array(held, bool), sizes)
     trained = np.bincount(tokens[train], minlength=len(numbers))
     words = [w.decode("utf-8", "surrogatepass") for w in numbers][1:]
+    own = np.fromiter((class_of(w, classes) for w in words), np.uint32, len(words))
     narrow = tokens.astype(np.uint16) if len(numbers) <= 1 << 16 else tokens
     return pd.DataFrame({
         "block": [block], "ids": [ids], "held_out": [held], "sizes": [sizes], "words": [words],
-        "trained": [trained.tolist()], "tokens": [narrow.tobytes()],
+        "trained": [trained.tolist()], "classes": [own.tobytes()], "tokens": [narrow.tobytes()],
     })
 
 
-def pack_blocks(docs: DataFrame, block_chars: int) -> DataFrame:
+def pack_blocks(docs: DataFrame, block_chars: int, classes: int) -> DataFrame:
     """Blocks of (id as text, held_out, text) rows."""
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -70,31 +74,33 @@ def pack_blocks(docs: DataFrame, block_chars: int) -> DataFrame:
             for i, h, t in zip(batch["id"], batch["held_out"], batch["text"]):
                 size = len(t) if t else 0
                 if ids and chars + size > block_chars:
-                    yield _pack(block, ids, held, texts)
+                    yield _pack(block, ids, held, texts, classes)
                     block, chars, ids, held, texts = block + 1, 0, [], [], []
                 ids.append(i)
                 held.append(bool(h))
                 texts.append(t)
                 chars += size + 1
         if ids:
-            yield _pack(block, ids, held, texts)
+            yield _pack(block, ids, held, texts, classes)
 
     return docs.mapInPandas(pack, _BLOCK)
 
 
-def _tokens(row) -> np.ndarray:
-    kind = np.uint16 if len(row.words) + 1 <= 1 << 16 else np.uint32
-    return np.frombuffer(row.tokens, kind).astype(np.int64)
-
-
 def class_of(word: str, classes: int) -> int:
     return xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"), 42) % classes
 
 
+def _tokens(row) -> tuple[np.ndarray, np.ndarray]:
+    """Tokens of a block, and the classes of its words."""
+    own = np.frombuffer(row.classes, np.uint32)
+    kind = np.uint16 if len(own) + 1 <= 1 << 16 else np.uint32
+    return np.frombuffer(row.tokens, kind).astype(np.int64), own.astype(np.int64)
+
+
 def _classes(row, classes: int) -> np.ndarray:
     """Class of every token of a block; the closing mark is the class after the last."""
-    own = np.fromiter((class_of(w, classes) for w in row.words), np.int64, len(row.words))
-    return np.concatenate(([classes], own))[_tokens(row)]
+    tokens, own = _tokens(row)
+    return np.concatenate(([classes], own))[tokens]
 
 
 # ---- recursions ------------------------------------------------------------
@@ -288,7 +294,7 @@ def baum_welch_step(blocks: DataFrame, model: Hmm, classes: int) -> Hmm:
             at = np.nonzero(flat)[0]
             yield pd.DataFrame({"at": at, "n": flat[at]})
 
-    rows = blocks.select("held_out", "sizes", "words", "tokens").mapInPandas(count, "at long, n double")
+    rows = blocks.select("held_out", "sizes", "classes", "tokens").mapInPandas(count, "at long, n double")
     summed = stored(rows.groupBy("at").agg(F.sum("n").alias("n")), "expected").toPandas()
     flat = np.zeros(k + k * k + (classes + 1) * k)
     flat[summed["at"].to_numpy(np.int64)] = summed["n"]
@@ -317,7 +323,7 @@ def score_documents(
         F.col(id_col).cast("string").alias("id"), F.coalesce(held_out, F.lit(False)).alias("held_out"),
         F.col(text_col).alias("text"),
     )
-    blocks = stored(pack_blocks(source, block_chars), "blocks", compression="zstd")
+    blocks = stored(pack_blocks(source, block_chars, classes), "blocks", compression="zstd")
 
     own = blocks.select("block", F.posexplode("words").alias("at", "word"), "trained").select(
         "block", "at", "word", F.get("trained", F.col("at") + 1).alias("n")
@@ -344,8 +350,8 @@ def score_documents(
         "looked_up", compression="zstd",
     )
     none = F.array().cast("array<struct<at:int,c:bigint>>")
-    ready = blocks.drop("trained").join(looked_up, "block", "left").select(
-        "ids", "held_out", "sizes", "words", "tokens",
+    ready = blocks.drop("trained", "words").join(looked_up, "block", "left").select(
+        "ids", "held_out", "sizes", "classes", "tokens",
         F.transform(F.coalesce("known", none), lambda x: x["at"]).alias("ats"),
         F.transform(F.coalesce("known", none), lambda x: x["c"]).alias("cs"),
     )
@@ -357,10 +363,10 @@ def score_documents(
         for batch in batches:
             for row in batch.itertuples(index=False):
                 sizes = np.array(row.sizes, np.int64)
-                seen = np.zeros(len(row.words) + 1)
+                tokens, own = _tokens(row)
+                seen, symbols = np.zeros(len(own) + 1), np.concatenate(([classes], own))[tokens]
                 seen[0] = marks
                 seen[np.array(row.ats, np.int64) + 1] = np.array(row.cs, float)
-                tokens, symbols = _tokens(row), _classes(row, classes)
                 starts = np.cumsum(sizes) - sizes
                 logs = np.add.reduceat(np.log10(seen + 1)[tokens], starts)
                 inner = np.add.reduceat(np.where(symbols < classes, np.log10(seen + 1)[tokens] - log_mass[symbols], 0.0), starts)

@@ -9,7 +9,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from ordermart.llm.hmm_scoring import Hmm, Sequences, class_of, estimate, first_guess, score_documents
+from ordermart.llm.hmm_scoring import (
+    Hmm, Sequences, baum_welch_step, class_of, estimate, first_guess, pack_blocks, score_documents,
+)
 
 
 def plain_expected(hmm, docs):
@@ -123,3 +125,19 @@ def test_probabilities_of_one_word_texts_sum_to_one(spark):
 def test_empty_table(spark):
     frame = spark.createDataFrame([], "doc_id long, text string")
     assert score_documents(frame, F.col("doc_id") == 1).collect() == []
+
+
+def test_training_asks_for_classes_and_not_for_words(spark):
+    docs = spark.createDataFrame([("1", False, "a B c a"), ("2", True, "d"), ("3", False, None)], "id string, held_out boolean, text string")
+    blocks = pack_blocks(docs.coalesce(1), 1 << 20, 8)
+    row = blocks.first()
+    assert np.frombuffer(row["classes"], np.uint32).tolist() == [class_of(w, 8) for w in row["words"]]
+    model = first_guess(np.full(9, 1 / 9), 2)
+    learned = baum_welch_step(blocks.drop("words"), model, 8)
+    assert learned.emit.shape == (2, 9) and learned.emit.sum() == pytest.approx(2)
+
+
+def test_texts_without_words_are_scored(spark):
+    frame = spark.createDataFrame([(1, ""), (2, None), (3, " ")], "doc_id long, text string").coalesce(1)
+    out = score_documents(frame, F.col("doc_id") == 3).collect()
+    assert [(r["n_tokens"], r["n_known"], r["train_tokens"]) for r in out] == [(1, 1, 2)] * 3
