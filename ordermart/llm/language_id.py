@@ -21,9 +21,10 @@ from __future__ import annotations
 import re
 import sys
 import unicodedata
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain, compress, repeat
 
 import numpy as np
 import pandas as pd
@@ -42,7 +43,8 @@ _NUMERALS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if unicodedat
 _LETTERS = re.compile(rf"[^\W\d_{_NUMERALS}]+")
 #: The same without these signs, whose long list is slow to match; texts that hold none of them are cut by these.
 _ASCII, _PLAIN = re.compile("[a-z]+"), re.compile(r"[^\W\d_]+")
-_FLUSH, _CACHE, _CHUNK_CHARS = 200_000, 200_000, 1 << 21
+#: Counts a task holds before it passes them on, words remembered, and characters of a block of documents.
+_FLUSH, _CACHE, _CHUNK_CHARS = 400_000, 200_000, 1 << 22
 
 
 def words_of(text: str | None) -> list[str]:
@@ -61,24 +63,32 @@ def grams_of(word: str, n: int) -> list[str]:
     return [marked[i:i + n] for i in range(len(marked) - n + 1)]
 
 
+def _passed_on(seen: dict[str, dict[str, int]]) -> pd.DataFrame:
+    """The counts by language and word as rows; ``seen`` is empty afterwards."""
+    out = pd.DataFrame({
+        "lang": pd.Series(chain.from_iterable(repeat(lang, len(of)) for lang, of in seen.items()), dtype=object),
+        "word": pd.Series(chain.from_iterable(seen.values()), dtype=object),
+        "n": np.fromiter(chain.from_iterable(of.values() for of in seen.values()), np.int64),
+    })
+    seen.clear()
+    return out
+
+
 def word_counts(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
     """(lang, word, n) over all rows with a language."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen: Counter = Counter()
-
-        def flush() -> pd.DataFrame:
-            out = pd.DataFrame([(k[0], k[1], n) for k, n in seen.items()], columns=["lang", "word", "n"])
-            seen.clear()
-            return out
-
+        seen, held = defaultdict(Counter), 0
         for batch in batches:
             for lang, text in zip(batch["lang"], batch["text"]):
-                for word, n in Counter(words_of(text)).items():
-                    seen[lang, word] += n
-                if len(seen) > _FLUSH:
-                    yield flush()
-        yield flush()
+                of = seen[lang]
+                held -= len(of)
+                of.update(words_of(text))
+                held += len(of)
+                if held > _FLUSH:
+                    yield _passed_on(seen)
+                    held = 0
+        yield _passed_on(seen)
 
     rows = docs.where(F.col(lang_col).isNotNull()).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
     return rows.mapInPandas(count, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
@@ -94,11 +104,24 @@ def _grams(size: int) -> Column:
 
 def gram_counts(counts: DataFrame, longest: int) -> DataFrame:
     """(lang, word, n) of the n-grams of the counted words, an n-gram standing as its word."""
-    grams = [_grams(size) for size in range(1, longest + 1)]
-    return (
-        counts.select("lang", "n", F.explode(F.concat(*grams)).alias("word"))
-        .groupBy("lang", "word").agg(F.sum("n").alias("n"))
-    )
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen, held = defaultdict(lambda: defaultdict(int)), 0
+        for batch in batches:
+            for lang, word, n in zip(batch["lang"], batch["word"], batch["n"].tolist()):
+                of = seen[lang]
+                held -= len(of)
+                for size in range(1, longest + 1):
+                    for gram in grams_of(word, size):
+                        of[gram] += n
+                held += len(of)
+                if held > _FLUSH:
+                    yield _passed_on(seen)
+                    held = 0
+        yield _passed_on(seen)
+
+    rows = counts.select("lang", "word", "n").mapInPandas(cut, "lang string, word string, n long")
+    return rows.groupBy("lang", "word").agg(F.sum("n").alias("n"))
 
 
 class Lookup:
@@ -297,18 +320,15 @@ def identify_whole(
                 for i, text in enumerate(part["__text"]):
                     seen = Counter(words_of(text))
                     sizes[i] = sum(seen.values())
-                    at, n = [], []
-                    for w, c in seen.items():
-                        j = known.get(w)
-                        if j is None:
-                            owner.append(i)
-                            word.append(left[w])
-                            times.append(c)
-                        else:
-                            at.append(j)
-                            n.append(c)
-                    if at:
-                        sums[i] = np.array(n, np.float64) @ scores[at]
+                    at = np.fromiter(map(known.get, seen, repeat(-1)), np.int64, len(seen))
+                    n = np.fromiter(seen.values(), np.int64, len(seen))
+                    held = at >= 0
+                    if held.any():
+                        sums[i] = n[held].astype(np.float64) @ scores[at[held]]
+                    others = list(compress(seen, ~held))
+                    owner += [i] * len(others)
+                    word += map(left.__getitem__, others)
+                    times += n[~held].tolist()
                 yield pd.DataFrame({
                     "block": [block], **{f"c{i}": [part[x].tolist()] for i, x in enumerate(names)},
                     "sizes": [sizes], "sums": [sums.ravel()], "words": [list(left)], "owner": [np.array(owner, np.int32)],

@@ -319,3 +319,23 @@ def test_words_of_plain_texts_need_no_list_of_numerals(monkeypatch):
     assert [language_id.words_of(t) for t in texts] == wanted
     monkeypatch.setattr(language_id, "_LETTERS", None)
     assert [language_id.words_of(t) for t in texts[:2]] == wanted[:2]
+
+
+def test_counts_are_passed_on_in_parts_and_grams_are_counted_before_they_are_rows(spark, monkeypatch):
+    from collections import Counter
+
+    rows = [(TEXTS[x] + " naïve 日本 a ab", x) for x in TEXTS] * 3 + [("no language", None), (None, "en"), ("", "xx")]
+    frame = spark.createDataFrame(rows, "text string, lang string").repartition(2)
+    words = Counter((x, w) for t, x in rows if x for w in language_id.words_of(t))
+    grams = Counter()
+    for (x, w), n in words.items():
+        for size in range(1, 4):
+            for gram in language_id.grams_of(w, size):
+                grams[x, gram] += n
+    for held in (1, 40, 10**6):
+        monkeypatch.setattr(language_id, "_FLUSH", held)
+        found = language_id.word_counts(frame, "text", "lang")
+        assert {(r["lang"], r["word"]): r["n"] for r in found.collect()} == words
+        cut = language_id.gram_counts(found, 3)
+        assert {(r["lang"], r["word"]): r["n"] for r in cut.collect()} == grams
+        assert "Generate" not in cut._jdf.queryExecution().optimizedPlan().toString()
