@@ -31,7 +31,7 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ordermart.llm.common import fresh, stored
@@ -298,19 +298,15 @@ def line_bands(distinct: DataFrame, shingle: int, bands: int, rows: int) -> Data
 
 def line_components(distinct: DataFrame, *, shingle: int, bands: int, rows: int, similarity: float) -> DataFrame:
     """(node, component) of the keys of lines that have a similar other line; ``distinct`` has (k, line), as stored."""
-    members = stored(line_bands(distinct, shingle, bands, rows), "bands").select("k", F.explode("bands").alias("band"))
-    buckets = stored(
-        members.groupBy("band").agg(F.min("k").alias("leader"), F.max("k").alias("last"), F.count(F.lit(1)).alias("n"))
+    signed = line_bands(distinct, shingle, bands, rows).select("k", F.explode("bands").alias("band"))
+    # All lines of a band meet in one shuffle; only those of bands that others share are written.
+    of_band = Window.partitionBy("band")
+    members = stored(
+        signed.select("band", "k", F.min("k").over(of_band).alias("leader"), F.count(F.lit(1)).over(of_band).alias("n"))
         .where("n > 1"),
-        "buckets",
-    )
-    # A bucket of two is the pair of its least and its greatest line; only larger ones ask for their members.
-    members = stored(members.join(buckets.where("n > 2").select("band", "leader", "n"), "band"), "members")
-    pairs = stored(
-        buckets.where("n = 2").select(F.col("leader").alias("a"), F.col("last").alias("b"))
-        .union(members.where("k != leader").select("leader", "k")).distinct(),
-        "pairs",
+        "members",
     )
+    pairs = stored(members.where("k != leader").select(F.col("leader").alias("a"), F.col("k").alias("b")).distinct(), "pairs")
     wanted = pairs.select(F.col("a").alias("k")).union(pairs.select("b")).distinct()
     texts = stored(distinct.select("k", "line").join(wanted, "k"), "texts", compression="zstd")
     links = stored(_verified(pairs, texts, similarity, shingle), "links")
@@ -318,7 +314,7 @@ def line_components(distinct: DataFrame, *, shingle: int, bands: int, rows: int,
 
     of = found.select(F.col("node").alias("k"), "component")
     apart = stored(
-        members.join(of, "k", "left").select("band", "leader", "k", F.coalesce("component", "k").alias("component")), "placed"
+        members.where("n > 2").join(of, "k", "left").select("band", "leader", "k", F.coalesce("component", "k").alias("component")), "placed"
     )
     unclear = apart.groupBy("band").agg(
         F.count(F.lit(1)).alias("n"), F.min("component").alias("low"), F.max("component").alias("high"),

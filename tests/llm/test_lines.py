@@ -155,3 +155,24 @@ def test_large_group_of_near_copies_in_blocks(spark, monkeypatch):
         rows.append((i, " ".join(words)))
     found = {r[0]: r[1] for r in line_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert found == brute(rows)
+
+
+def test_bands_are_shuffled_once_and_not_written(spark, monkeypatch):
+    written, inner = [], line_dedup_module.stored
+
+    def recorded(frame, name, **options):
+        out = inner(frame, name, **options)
+        written.append((name, out.count()))
+        return out
+
+    monkeypatch.setattr(line_dedup_module, "stored", recorded)
+    rng = random.Random(9)
+    alone = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(20)) for _ in range(40)]
+    pair = alone[:2] + [alone[0] + "s", alone[1] + " e"]
+    group = [alone[2] + end for end in ("a", "b", "c", "d")]
+    rows = list(enumerate(alone + pair + group))
+    found = {r[0]: r[1] for r in line_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found == brute(rows)
+    sizes = dict(written)
+    assert not {"bands", "buckets"} & set(sizes)
+    assert 0 < sizes["members"] <= 16 * 9  # of the lines that are alike only
