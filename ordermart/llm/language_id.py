@@ -24,7 +24,7 @@ import unicodedata
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain, compress, repeat
+from itertools import chain, repeat
 
 import numpy as np
 import pandas as pd
@@ -44,7 +44,7 @@ _LETTERS = re.compile(rf"[^\W\d_{_NUMERALS}]+")
 #: The same without these signs, whose long list is slow to match; texts that hold none of them are cut by these.
 _ASCII, _PLAIN = re.compile("[a-z]+"), re.compile(r"[^\W\d_]+")
 #: Counts a task holds before it passes them on, words remembered, and characters of a block of documents.
-_FLUSH, _CACHE, _CHUNK_CHARS = 400_000, 200_000, 1 << 22
+_FLUSH, _CACHE, _CHUNK_CHARS = 400_000, 200_000, 1 << 21
 
 
 def words_of(text: str | None) -> list[str]:
@@ -320,15 +320,18 @@ def identify_whole(
                 for i, text in enumerate(part["__text"]):
                     seen = Counter(words_of(text))
                     sizes[i] = sum(seen.values())
-                    at = np.fromiter(map(known.get, seen, repeat(-1)), np.int64, len(seen))
-                    n = np.fromiter(seen.values(), np.int64, len(seen))
-                    held = at >= 0
-                    if held.any():
-                        sums[i] = n[held].astype(np.float64) @ scores[at[held]]
-                    others = list(compress(seen, ~held))
-                    owner += [i] * len(others)
-                    word += map(left.__getitem__, others)
-                    times += n[~held].tolist()
+                    at, n = [], []
+                    for w, c in seen.items():
+                        j = known.get(w)
+                        if j is None:
+                            owner.append(i)
+                            word.append(left[w])
+                            times.append(c)
+                        else:
+                            at.append(j)
+                            n.append(c)
+                    if at:
+                        sums[i] = np.array(n, np.float64) @ scores[at]
                 yield pd.DataFrame({
                     "block": [block], **{f"c{i}": [part[x].tolist()] for i, x in enumerate(names)},
                     "sizes": [sizes], "sums": [sums.ravel()], "words": [list(left)], "owner": [np.array(owner, np.int32)],
