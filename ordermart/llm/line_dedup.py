@@ -1,12 +1,12 @@
 """Line dedup: fuzzy lines by MinHash.
 
 Lines are compared in normal form (lower case, white space collapsed). Repeated
-lines are brought together first, each with its count and its first place, so a
-common line is one row in all that follows. Each distinct line is cut into
-character shingles and gets a MinHash signature (one permutation hashing,
-densified); ``bands`` groups of ``rows`` values are its bands, and lines that
-share a band are candidates. Verification computes the exact Jaccard similarity
-of the shingle sets:
+lines are brought together by their keys, each with its count and its first place;
+texts stay where they were cut but for those of candidates. A line that a chunk of
+documents shows for the first time is cut into character shingles and gets a MinHash
+signature (one permutation hashing, densified); ``bands`` groups of ``rows`` values
+are its bands, and lines that share a band are candidates. Verification computes the
+exact Jaccard similarity of the shingle sets:
 
 1. every member of a band bucket is verified against the least line of the
    bucket, and the links found are joined to components (distributed union-find);
@@ -30,11 +30,12 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ordermart.llm.common import fresh, stored
+from ordermart.llm.common import fresh, passing_tables, stored
 from ordermart.llm.components import connected_components
 
 SHINGLE, BANDS, ROWS, SIMILARITY = 8, 16, 5, 0.8
@@ -42,8 +43,10 @@ SHINGLE, BANDS, ROWS, SIMILARITY = 8, 16, 5, 0.8
 BLOCK, _TASK_LINES, _COLUMNS = 2048, 20_000, 4096
 #: Buckets up to this size are compared pair by pair, larger ones as matrices.
 _SMALL = 48
-#: Characters that are hashed, and shingles that are compared, at a time.
-_CHUNK_CHARS, _CHUNK_SHINGLES = 1 << 19, 1 << 20
+#: Characters that are hashed or signed, and shingles that are compared, at a time.
+_CHUNK_CHARS, _SIGN_CHARS, _CHUNK_SHINGLES = 1 << 19, 1 << 17, 1 << 20
+#: Bands that a bucket of them is planned for, and that are dealt to buckets at a time.
+_BUCKET_BANDS, _DEALT_BANDS = 1 << 18, 1 << 21
 #: Bits of a shingle's hash beside the number of its line or pair.
 _HASH_BITS = np.uint64(40)
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
@@ -53,6 +56,15 @@ def normal_line(line: str) -> str:
     return " ".join(line.lower().split())
 
 
+def normal_lines(text: str) -> list[str]:
+    """``normal_line`` of every line; most texts have no white space but single blanks inside lines."""
+    low = text.lower()
+    loose = "  " in low or " \n" in low or "\n " in low or low.startswith(" ") or low.endswith(" ")
+    if not loose and low.replace("\n", "").isprintable():  # no white space but the blank is printable
+        return low.split("\n")
+    return [" ".join(line.split()) for line in low.split("\n")]
+
+
 # ---- signatures ------------------------------------------------------------
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -263,52 +275,91 @@ def cut_lines(docs: DataFrame) -> DataFrame:
     where the same chunk of documents has shown it before.
     """
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for span in _chunks(np.fromiter((len(t) if t else 0 for t in batch["text"]), np.int64, len(batch)), 4 * _CHUNK_CHARS):
-                part, shown = batch.iloc[span], {}
-                ats, ks, lines = [], [], []
-                for t in part["text"]:
-                    here = [(at, line) for at, raw in enumerate(t.split("\n")) if (line := normal_line(raw))] if t else []
-                    ats.append([at for at, _ in here])
-                    lines.append([None if line in shown else line for _, line in here])
-                    for _, line in here:
-                        if line not in shown:
-                            key = xxhash.xxh64_intdigest(line.encode("utf-8", "surrogatepass"), 42)
-                            shown[line] = key - (1 << 64) if key >> 63 else key
-                    ks.append([shown[line] for _, line in here])
-                yield pd.DataFrame({
-                    "id": part["id"].tolist(), "row_key": part["row_key"].to_numpy(np.int64), "ats": ats, "ks": ks, "lines": lines,
-                })
-
-    return docs.mapInPandas(cut, "id string, row_key long, ats array<int>, ks array<long>, lines array<string>")
-
-
-def line_bands(distinct: DataFrame, shingle: int, bands: int, rows: int) -> DataFrame:
-    """(k, bands) of the distinct lines (k, line)."""
+            texts = batch.column("text").to_pylist()
+            for span in _chunks(np.fromiter((len(t) if t else 0 for t in texts), np.int64, len(texts)), 4 * _CHUNK_CHARS):
+                shown, ends, ats, ks, lines = {}, [0], [], [], []
+                for t in texts[span]:
+                    for at, line in enumerate(normal_lines(t) if t else ()):
+                        if not line:
+                            continue
+                        key = shown.get(line)
+                        lines.append(line if key is None else None)
+                        if key is None:
+                            key = shown[line] = xxhash.xxh64_intdigest(line.encode("utf-8", "surrogatepass"), 42)
+                        ats.append(at)
+                        ks.append(key)
+                    ends.append(len(ats))
+                columns = pa.array(ats, pa.int32()), pa.array(np.array(ks, np.uint64).view(np.int64)), pa.array(lines, pa.string())
+                part = batch.slice(span.start, span.stop - span.start)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("id"), part.column("row_key"), *[pa.ListArray.from_arrays(pa.array(ends, pa.int32()), c) for c in columns]],
+                    ["id", "row_key", "ats", "ks", "lines"],
+                )
+
+    return docs.mapInArrow(cut, "id string, row_key long, ats array<int>, ks array<long>, lines array<string>")
+
+
+def shared_bands(cut: DataFrame, number: int, *, shingle: int, bands: int, rows: int) -> DataFrame:
+    """(band, k, leader, n): the keys of the lines of every band that several of them have, the least of them as leader.
+
+    ``cut`` is as ``cut_lines`` returns it, with about ``number`` distinct lines. The bands
+    of many lines travel as one row per bucket; a line that several chunks show is one.
+    """
+    buckets = max(1, -(-number * bands // _BUCKET_BANDS))
 
-    def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in _chunks(batch["line"].str.len().to_numpy(np.int64) + shingle, _CHUNK_CHARS):
-                some = batch.iloc[part]
-                yield pd.DataFrame({"k": some["k"], "bands": list(band_keys(some["line"].tolist(), bands, rows, shingle))})
-
-    return distinct.select("k", "line").mapInPandas(sign, "k long, bands array<long>")
+            texts, keys = batch.column("lines").flatten(), batch.column("ks").flatten()
+            shown = texts.is_valid()
+            texts, keys = texts.filter(shown).to_pylist(), keys.filter(shown).to_numpy()
+            for span in _chunks(np.full(len(texts), bands), _DEALT_BANDS):
+                lines = texts[span]
+                sizes = np.fromiter((len(x) + shingle for x in lines), np.int64, len(lines))
+                band = np.concatenate([band_keys(lines[part], bands, rows, shingle) for part in _chunks(sizes, _SIGN_CHARS)]).ravel()
+                bucket = (band.view(np.uint64) % np.uint64(buckets)).astype(np.min_scalar_type(buckets))
+                order = np.argsort(bucket, kind="stable")
+                band, k, bucket = band[order], np.repeat(keys[span], bands)[order], bucket[order]
+                first = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+                parts = [slice(x, y) for x, y in zip(first, [*first[1:], len(bucket)])]
+                yield pa.RecordBatch.from_pydict({
+                    "bucket": pa.array(bucket[first].astype(np.int64)),
+                    "bands": [band[part].tobytes() for part in parts], "ks": [k[part].tobytes() for part in parts],
+                })
 
+    def gather(bucket: pd.DataFrame) -> pd.DataFrame:
+        band, k = (np.frombuffer(b"".join(bucket[x]), np.int64) for x in ("bands", "ks"))
+        order = np.argsort(band)
+        band, k = band[order], k[order]
+        again = band[1:] == band[:-1]
+        several = np.append(again, False) | np.append(False, again)
+        band, k = band[several], k[several]
+        order = np.lexsort((k, band))
+        band, k = band[order], k[order]
+        fresh = np.append(True, (band[1:] != band[:-1]) | (k[1:] != k[:-1]))[:len(band)]
+        band, k = band[fresh], k[fresh]
+        first = np.flatnonzero(np.append(True, band[1:] != band[:-1])[:len(band)])
+        n = np.diff(np.append(first, len(band)))
+        out = pd.DataFrame({"band": band, "k": k, "leader": np.repeat(k[first], n), "n": np.repeat(n, n)})
+        return out[out["n"] > 1]
 
-def line_components(distinct: DataFrame, *, shingle: int, bands: int, rows: int, similarity: float) -> DataFrame:
-    """(node, component) of the keys of lines that have a similar other line; ``distinct`` has (k, line), as stored."""
-    signed = line_bands(distinct, shingle, bands, rows).select("k", F.explode("bands").alias("band"))
-    # All lines of a band meet in one shuffle; only those of bands that others share are written.
-    of_band = Window.partitionBy("band")
-    members = stored(
-        signed.select("band", "k", F.min("k").over(of_band).alias("leader"), F.count(F.lit(1)).over(of_band).alias("n"))
-        .where("n > 1"),
-        "members",
+    return (
+        cut.select("lines", "ks").mapInArrow(sign, "bucket long, bands binary, ks binary")
+        .groupBy("bucket").applyInPandas(gather, "band long, k long, leader long, n long")
     )
+
+
+def line_components(
+    cut: DataFrame, number: int, *, shingle: int, bands: int, rows: int, similarity: float
+) -> DataFrame:
+    """(node, component) of the keys of lines that have a similar other line; ``cut`` as stored, with ``number`` distinct lines."""
+    members = stored(shared_bands(cut, number, shingle=shingle, bands=bands, rows=rows), "members")
     pairs = stored(members.where("k != leader").select(F.col("leader").alias("a"), F.col("k").alias("b")).distinct(), "pairs")
     wanted = pairs.select(F.col("a").alias("k")).union(pairs.select("b")).distinct()
-    texts = stored(distinct.select("k", "line").join(wanted, "k"), "texts", compression="zstd")
+    shown = cut.select(F.explode(F.arrays_zip("ks", "lines")).alias("l")).where("l.lines is not null")
+    shown = shown.select(F.col("l.ks").alias("k"), F.col("l.lines").alias("line"))
+    texts = stored(shown.join(wanted, "k").groupBy("k").agg(F.min("line").alias("line")), "texts", compression="zstd")
     links = stored(_verified(pairs, texts, similarity, shingle), "links")
     found = stored(connected_components(links), "components")
 
@@ -378,31 +429,27 @@ def line_dedup(
     key, text = F.col(f"`{id_col}`"), F.col(f"`{text_col}`")
     row_key = F.xxhash64(key, text)
     source = docs.select(key.cast("string").alias("id"), row_key.alias("row_key"), text.alias("text"))
-    cut = stored(cut_lines(source), "lines", compression="zstd")
-    places = cut.select(
-        F.col("id").cast(kind).alias("id"), "row_key", F.explode(F.arrays_zip("ats", "ks", "lines")).alias("l")
-    ).select("id", "row_key", F.col("l.ats").alias("at"), F.col("l.ks").alias("k"), F.col("l.lines").alias("line"))
-    distinct = stored(
-        places.groupBy("k").agg(
-            F.min(F.struct("id", "row_key", "at")).alias("first"), F.count(F.lit(1)).alias("n"), F.min("line").alias("line")
-        ),
-        "distinct_lines", compression="zstd",
-    )
-    components = stored(
-        line_components(distinct, shingle=shingle, bands=bands, rows=rows, similarity=similarity), "line_components"
-    )
-    firsts = (
-        distinct.select("k", "first", "n").join(components.withColumnRenamed("node", "k"), "k", "left")
-        .where("n > 1 or component is not null").withColumn("component", F.coalesce("component", "k"))
-    )
-    firsts = stored(firsts, "firsts")
-    kept = stored(firsts.groupBy("component").agg(F.min("first").alias("kept")), "kept")
-    repeated = stored(firsts.join(kept, "component").select("k", "kept"), "repeated")
-    gone = stored(
-        places.drop("line").join(repeated, "k").where(~F.struct("id", "row_key", "at").eqNullSafe(F.col("kept")))
-        .groupBy("row_key").agg(F.collect_set("at").alias("gone")),
-        "gone",
-    )
+    with passing_tables(docs.sparkSession):
+        cut = stored(cut_lines(source), "lines", compression="zstd")
+        places = cut.select(
+            F.col("id").cast(kind).alias("id"), "row_key", F.explode(F.arrays_zip("ats", "ks")).alias("l")
+        ).select("id", "row_key", F.col("l.ats").alias("at"), F.col("l.ks").alias("k"))
+        place = F.struct("id", "row_key", "at")
+        distinct = stored(places.groupBy("k").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")), "distinct_lines")
+        found = line_components(cut, distinct.count(), shingle=shingle, bands=bands, rows=rows, similarity=similarity)
+        components = stored(found, "line_components")
+        firsts = (
+            distinct.join(components.withColumnRenamed("node", "k"), "k", "left")
+            .where("n > 1 or component is not null").withColumn("component", F.coalesce("component", "k"))
+        )
+        firsts = stored(firsts, "firsts")
+        kept = stored(firsts.groupBy("component").agg(F.min("first").alias("kept")), "kept")
+        repeated = stored(firsts.join(kept, "component").select("k", "kept"), "repeated")
+        gone = stored(
+            places.join(repeated, "k").where(~place.eqNullSafe(F.col("kept")))
+            .groupBy("row_key").agg(F.collect_set("at").alias("gone")),
+            "gone", lasting=True,
+        )
     row, taken = fresh("row_key", docs.columns), fresh("gone", docs.columns)
     stay = F.array_join(F.filter(F.split(text, "\n", -1), lambda _, i: ~F.array_contains(taken, i)), "\n")
     return (

@@ -176,3 +176,53 @@ def test_bands_are_shuffled_once_and_not_written(spark, monkeypatch):
     sizes = dict(written)
     assert not {"bands", "buckets"} & set(sizes)
     assert 0 < sizes["members"] <= 16 * 9  # of the lines that are alike only
+
+
+def test_normal_lines_are_those_of_each_line():
+    texts = ["", " ", "\n", "A b\nC d", "a  b\nc", "a \nb", "a\n b", " a", "a\r\nb", "a\tb", "x\u00a0y\nz", "x\u2028y", "x\u0085y", "ΑΣ\nΣΑΣ", "\u0130i\nß", "\x1f"]
+    for text in texts:
+        assert line_dedup_module.normal_lines(text) == [normal(raw) for raw in text.split("\n")]
+
+
+def test_texts_of_lines_are_kept_once_and_scratch_tables_go(spark, monkeypatch):
+    written, inner = [], line_dedup_module.stored
+
+    def recorded(frame, name, **options):
+        written.append((name, inner(frame, name, **options)))
+        return written[-1][1]
+
+    monkeypatch.setattr(line_dedup_module, "stored", recorded)
+    rng = random.Random(21)
+    alone = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(20)) for _ in range(30)]
+    rows = list(enumerate(alone + [alone[0] + "s", "\n".join(["again", "again"]), "again"]))
+    frame = line_dedup(spark.createDataFrame(rows, "doc_id long, text string").repartition(5))
+    columns = {name: out.columns for name, out in written}
+    assert "line" not in columns["distinct_lines"]
+    # The result reads the one table that tells which lines go; the others are no longer there.
+    left = [name for name, out in written if files_of(spark, out)]
+    assert left == ["gone"]
+    assert {r[0]: r[1] for r in frame.collect()} == brute(rows)
+
+
+def files_of(spark, frame):
+    """Files of a stored table that are still there."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    return [f for f in frame.inputFiles() if (p := path(f)).getFileSystem(conf).exists(p)]
+
+
+def test_bands_of_many_buckets_and_of_lines_shown_in_many_chunks(spark, monkeypatch):
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(300)]
+    base = [" ".join(rng.choice(words) for _ in range(30)) for _ in range(12)]
+    rows = [(i, "\n".join([base[i % 12], base[i % 5] + f" {i % 7}", "of all"])) for i in range(90)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(9)
+    plain = {r[0]: r[1] for r in line_dedup(docs).collect()}
+    monkeypatch.setattr(line_dedup_module, "_BUCKET_BANDS", 16)
+    monkeypatch.setattr(line_dedup_module, "_DEALT_BANDS", 64)
+    monkeypatch.setattr(line_dedup_module, "_SIGN_CHARS", 200)
+    assert plain == {r[0]: r[1] for r in line_dedup(docs).collect()} == brute(rows)
+    cut = line_dedup_module.cut_lines(docs.selectExpr("cast(doc_id as string) id", "doc_id row_key", "text")).cache()
+    found = [tuple(r) for r in line_dedup_module.shared_bands(cut, 40, shingle=8, bands=16, rows=5).collect()]
+    assert len(found) == len({(band, k) for band, k, _, _ in found})  # a line is in its band once
+    assert all(leader == min(k for b, k, _, _ in found if b == band) for band, _, leader, _ in found)
