@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ordermart.llm.common import Numbering, stored
+from ordermart.llm.common import Numbering, passing_tables, stored
 
 LONGEST, SMOOTHING = 4, 0.5
 #: Entries times languages of a packed table of words or n-grams; the driver holds it while it packs it.
@@ -258,7 +258,7 @@ def _rows_of_words(wanted: DataFrame, counts: Counts) -> DataFrame:
         return table.select("word", F.struct(number.alias("lang"), excess.alias("excess")).alias("row"))
 
     found = wanted.join(rows(counts.words), "word", "left").groupBy("word").agg(F.array_sort(F.collect_list("row")).alias("rows"))
-    found = stored(found.withColumn("id", F.monotonically_increasing_id()), "known_words", compression="zstd")
+    found = stored(found.withColumn("id", F.monotonically_increasing_id()), "known_words", compression="zstd", lasting=True)
     out = found.where(F.size("rows") > 0).select("word", F.lit(0).alias("size"), "rows")
     open_words = found.where(F.size("rows") == 0).select("id", "word")
     grams = rows(counts.grams).groupBy(F.col("word").alias("gram")).agg(F.collect_list("row").alias("rows"))
@@ -276,7 +276,7 @@ def _rows_of_words(wanted: DataFrame, counts: Counts) -> DataFrame:
         )
         row = F.transform("sums", lambda r: F.struct(r["lang"].alias("lang"), (r["sum"] / F.col("all")).alias("excess")))
         means = means.select("id", row.alias("rows"))
-        done = stored(open_words.join(means, "id", "left"), f"by_grams_{size}", compression="zstd")
+        done = stored(open_words.join(means, "id", "left"), f"by_grams_{size}", compression="zstd", lasting=True)
         out = out.unionByName(done.where("rows is not null").select("word", F.lit(size).alias("size"), "rows"))
         open_words = done.where("rows is null").select("id", "word")
     nothing = F.array().cast(out.schema["rows"].dataType)
@@ -343,7 +343,7 @@ def identify_whole(
     blocks = stored(source.mapInPandas(
         pack, f"block long, {columns}, sizes array<int>, sums array<double>, words array<string>, owner array<int>, "
         "word array<int>, times array<int>",
-    ), "blocks", compression="zstd")
+    ), "blocks", compression="zstd", lasting=True)
     wanted = blocks.select("block", F.posexplode("words").alias("i", "word"))
     rows = _rows_of_words(wanted.select("word").distinct(), counts)
     row = F.struct("i", "size", "langs", "excess")
@@ -404,8 +404,10 @@ def identify(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col:
 def held_out_language_id(docs: DataFrame) -> DataFrame:
     """Learn where crc32(doc_id) mod 3 is not 1 and predict every document; a null id counts as empty text."""
     rest = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 3
-    counts = count(docs.where(rest != 1))
     # The identifier travels as text, so that a null one is not turned into a float.
     kind = docs.schema["doc_id"].dataType.simpleString()
     named = docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text", (rest == 1).alias("held_out"))
-    return identify_whole(named, counts, keep=("held_out",)).withColumn("doc_id", F.col("doc_id").cast(kind))
+    # Once the words of the blocks have their rows, the counts are no longer read.
+    with passing_tables(docs.sparkSession):
+        found = identify_whole(named, count(docs.where(rest != 1)), keep=("held_out",))
+    return found.withColumn("doc_id", F.col("doc_id").cast(kind))

@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
+from ordermart.llm.common import passing_tables, stored
 from ordermart.llm.decontamination import Template, consistent_share, contaminated, decontaminate
 from ordermart.llm.exact_dedup import exact_dedup
 from ordermart.llm import language_id
@@ -339,3 +340,40 @@ def test_counts_are_passed_on_in_parts_and_grams_are_counted_before_they_are_row
         cut = language_id.gram_counts(found, 3)
         assert {(r["lang"], r["word"]): r["n"] for r in cut.collect()} == grams
         assert "Generate" not in cut._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_counts_and_shuffles_are_removed_before_documents_are_scored(spark, monkeypatch):
+    written, inner = [], language_id.stored
+
+    def recorded(frame, name, **options):
+        written.append((name, inner(frame, name, **options)))
+        return written[-1][1]
+
+    monkeypatch.setattr(language_id, "stored", recorded)
+    before = spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled")
+    rows = [(i, TEXTS[x] + f" own{i}", x) for i, x in enumerate(list(TEXTS) * 10)]
+    found = held_out_language_id(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    path, conf = spark.sparkContext._jvm.org.apache.hadoop.fs.Path, spark.sparkContext._jsc.hadoopConfiguration()
+    there = lambda f: (p := path(f)).getFileSystem(conf).exists(p)
+    left = {name for name, out in written if any(map(there, out.inputFiles()))}
+    assert {"words", "grams", "frequent"} <= {name for name, _ in written} and not {"words", "grams", "frequent"} & left
+    assert {"blocks", "known_words"} <= left
+    assert {r["doc_id"]: r["lang_pred"] for r in found.collect()} == {i: x for i, _, x in rows}
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == before
+
+
+def test_passing_tables(spark):
+    with passing_tables(spark):
+        with passing_tables(spark):
+            passing, kept = stored(spark.range(3), "passing"), stored(spark.range(4), "kept", lasting=True)
+        with pytest.raises(Exception, match="(?i)file"):
+            passing.collect()
+        assert kept.count() == 4
+    with pytest.raises(Exception, match="(?i)file"):
+        kept.collect()
+    with pytest.raises(ValueError), passing_tables(spark):
+        failed = stored(spark.range(2), "failed")
+        raise ValueError
+    with pytest.raises(Exception, match="(?i)file"):
+        failed.collect()
+    assert stored(spark.range(5), "alone", lasting=True).count() == 5
