@@ -4,6 +4,7 @@ import random
 
 import pytest
 
+from ordermart.llm import suffix_dedup
 from ordermart.llm.suffix_dedup import Anchors, remove_repeated_passages
 
 
@@ -75,3 +76,11 @@ def test_stretches_cover_every_start_once():
         data = bytes(rng.choice(b"abc") for _ in range(n))
         starts = [p for _, _, first, last in anchors.stretches(data) for p in range(first, last + 1)]
         assert starts == list(range(n - 49))
+
+
+@pytest.mark.parametrize("most_bytes,most_rows", [(200, 1 << 14), (1 << 22, 3), (1 << 22, 1 << 14)])
+def test_contexts_are_passed_on_for_many_documents_at_once(spark, monkeypatch, most_bytes, most_rows):
+    monkeypatch.setattr(suffix_dedup, "_PASSED_BYTES", most_bytes)
+    monkeypatch.setattr(suffix_dedup, "_PASSED_ROWS", most_rows)
+    rows = corpus(31)
+    assert run(spark, rows, 40) == brute(rows, 40)
