@@ -25,7 +25,7 @@ Of each component the first line in the order (id, position) stays.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -68,26 +68,35 @@ def normal_lines(text: str) -> list[str]:
 # ---- signatures ------------------------------------------------------------
 
 def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+    part = x >> np.uint64(30)
+    x = x ^ part
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= np.right_shift(x, np.uint64(27), out=part)
+    x *= np.uint64(0x94D049BB133111EB)
+    x ^= np.right_shift(x, np.uint64(31), out=part)
+    return x
 
 
+@lru_cache(maxsize=8)
 def _fallbacks(bins: int) -> np.ndarray:
     """For every bin an order in which the other bins are asked while it is empty."""
     draw = np.random.default_rng(17)
     return np.stack([draw.permutation(bins) for _ in range(bins)])
 
 
-def shingle_hashes(lines: list[str], shingle: int) -> tuple[np.ndarray, np.ndarray]:
-    """(line, hash) of every shingle; a line shorter than a shingle is one shingle."""
+def _window_hashes(lines: list[str], shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    """Length of every line, a shingle at least, and the hash at every character of the joined lines.
+
+    The last ``shingle - 1`` hashes of a line run into the next one.
+    """
     lengths = np.fromiter((len(x) for x in lines), np.int64, len(lines))
     padded = np.maximum(lengths, shingle)
     codes = np.frombuffer(
         "".join(x if len(x) >= shingle else x.ljust(shingle, "\0") for x in lines).encode("utf-32-le", "surrogatepass"),
         np.uint32,
     ).astype(np.uint64)
-    hashes, width = _mix(codes + np.uint64(1)), 1
+    codes += np.uint64(1)
+    hashes, width = _mix(codes), 1
     parts, offset, rest = [], 0, shingle
     while rest:  # a polynomial over the shingle, by doubling
         if rest & 1:
@@ -95,25 +104,40 @@ def shingle_hashes(lines: list[str], shingle: int) -> tuple[np.ndarray, np.ndarr
             offset += width
         rest >>= 1
         if rest:
-            hashes = hashes[:-width] * _mix(np.array([width + 7], np.uint64)) + hashes[width:]
+            doubled = hashes[:-width] * _mix(np.array([width + 7], np.uint64))
+            doubled += hashes[width:]
+            hashes = doubled
             width *= 2
     whole = np.zeros(max(0, len(codes) - shingle + 1), np.uint64)
     for at, part in parts:
-        whole = whole * _MULTIPLIER + part[at:at + len(whole)]
+        whole *= _MULTIPLIER
+        whole += part[at:at + len(whole)]
+    return padded, _mix(whole)
+
+
+def shingle_hashes(lines: list[str], shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    """(line, hash) of every shingle; a line shorter than a shingle is one shingle."""
+    padded, whole = _window_hashes(lines, shingle)
     counts = padded - shingle + 1
     line = np.repeat(np.arange(len(lines)), counts)
     shift = (np.cumsum(padded) - padded) - (np.cumsum(counts) - counts)
-    return line, _mix(whole)[np.arange(len(line)) + np.repeat(shift, counts)]
+    return line, whole[np.arange(len(line)) + np.repeat(shift, counts)]
 
 
 def band_keys(lines: list[str], bands: int = BANDS, rows: int = ROWS, shingle: int = SHINGLE) -> np.ndarray:
     """Array (line, band) of 64-bit keys."""
     bins = bands * rows
-    line, value = shingle_hashes(lines, shingle)
+    padded, value = _window_hashes(lines, shingle)
     empty = np.uint64(0xFFFFFFFFFFFFFFFF)
     signature = np.full(len(lines) * bins, empty)
-    slot = line * bins + ((value >> np.uint64(32)) * np.uint64(bins) >> np.uint64(32)).astype(np.int64)
-    np.minimum.at(signature, slot, _mix(value))
+    mixed = _mix(value)
+    across = (np.cumsum(padded)[:-1, None] - np.arange(1, shingle)).ravel()
+    mixed[across] = empty  # of no line, and never less than what is there
+    value >>= np.uint64(32)
+    value *= np.uint64(bins)
+    value >>= np.uint64(32)
+    value += np.repeat(np.arange(len(lines), dtype=np.uint64) * np.uint64(bins), padded)[:len(value)]
+    np.minimum.at(signature, value.view(np.int64), mixed)
     signature = signature.reshape(len(lines), bins)
     own, order = signature.copy(), _fallbacks(bins)
     row, column = np.nonzero(own == empty)
@@ -136,10 +160,33 @@ def _shingles(line: str, shingle: int) -> frozenset[str]:
     return frozenset(line[i:i + shingle] for i in range(max(1, len(line) - shingle + 1)))
 
 
+@lru_cache(maxsize=512)
+def _packed_shingles(line: str, shingle: int) -> np.ndarray | None:
+    """The shingles as sorted numbers, none twice, if each fits into eight bytes; None if not or if the line is shorter than one."""
+    if shingle > 8 or len(line) < shingle:
+        return None
+    try:
+        codes = line.encode("latin-1") + bytes(8)
+    except UnicodeEncodeError:
+        return None
+    # Eight bytes from every character on, of which those behind the shingle are shifted out.
+    packed = np.ndarray(len(line) - shingle + 1, "<u8", codes, strides=(1,)) << np.uint64(64 - 8 * shingle)
+    packed.sort()
+    return packed[np.append(True, packed[1:] != packed[:-1])]
+
+
 def similar(x: str, y: str, least: float = SIMILARITY, shingle: int = SHINGLE) -> bool:
     """Exact Jaccard similarity of the character shingles, compared with ``least``."""
-    a, b = _shingles(x, shingle), _shingles(y, shingle)
-    shared = len(a & b)
+    a, b = _packed_shingles(x, shingle), _packed_shingles(y, shingle)
+    if a is None or b is None:
+        a, b = _shingles(x, shingle), _shingles(y, shingle)
+        shared = len(a & b)
+    elif min(len(a), len(b)) < least * max(len(a), len(b)):
+        return False
+    else:
+        both = np.concatenate((a, b))
+        both.sort()
+        shared = int(np.count_nonzero(both[1:] == both[:-1]))
     return shared >= least * (len(a) + len(b) - shared)
 
 
@@ -189,17 +236,13 @@ def joining_links(
 ) -> list[tuple[int, int]]:
     """Pairs of similar lines that connect the groups just as all similar pairs would."""
     line, hashes = shingle_hashes(lines, shingle)
-    order = np.lexsort((hashes, line))
-    line, hashes = line[order], hashes[order]
-    fresh = np.append(True, (line[1:] != line[:-1]) | (hashes[1:] != hashes[:-1]))[:len(line)]
-    line, hashes = line[fresh], hashes[fresh]
+    number = np.unique(hashes, return_inverse=True)[1]
+    number, line = np.divmod(np.unique(number * len(lines) + line), max(1, len(lines)))  # once in a line, by shingle
     sizes = np.bincount(line, minlength=len(lines)).astype(np.float32)
-    _, inverse, times = np.unique(hashes, return_inverse=True, return_counts=True)
-    shared = times[inverse] > 1  # a shingle of one line only is in no intersection
-    line, columns = line[shared], np.unique(inverse[shared], return_inverse=True)[1]
+    several = np.bincount(number) > 1  # a shingle of one line only is in no intersection
+    shared = several[number]
+    line, columns = line[shared], (np.cumsum(several) - 1)[number[shared]]
     both = np.zeros((len(lines), len(lines)), np.float32)
-    order = np.argsort(columns, kind="stable")
-    line, columns = line[order], columns[order]
     for lo in range(0, int(columns[-1]) + 1 if len(columns) else 0, _COLUMNS):
         a, b = np.searchsorted(columns, (lo, lo + _COLUMNS))
         matrix = np.zeros((len(lines), _COLUMNS), np.float32)
@@ -209,10 +252,8 @@ def joining_links(
     return _joined(near, lines, groups, least, shingle)
 
 
-def _joined(
-    near: Iterable[tuple[int, int]], lines: list[str], groups: np.ndarray, least: float, shingle: int
-) -> list[tuple[int, int]]:
-    """Of the pairs those that are similar and join groups that earlier ones have not joined."""
+def _joined(near: np.ndarray, lines: list[str], groups: np.ndarray, least: float, shingle: int) -> list[tuple[int, int]]:
+    """Of the pairs, the rows of ``near``, those that are similar and join groups that earlier ones have not joined."""
     parent = {}
 
     def root(x):
@@ -220,12 +261,12 @@ def _joined(
             x = parent[x]
         return x
 
-    links = []
-    for x, y in near:
-        a, b = root(groups[x]), root(groups[y])
+    links, near = [], near[groups[near[:, 0]] != groups[near[:, 1]]]
+    for (x, y), a, b in zip(near.tolist(), groups[near[:, 0]].tolist(), groups[near[:, 1]].tolist()):
+        a, b = root(a), root(b)
         if a != b and similar(lines[x], lines[y], least, shingle):
             parent[max(a, b)] = min(a, b)
-            links.append((int(x), int(y)))
+            links.append((x, y))
     return links
 
 
@@ -243,7 +284,8 @@ def small_bucket_links(
     if not pairs:
         return []
     pairs = np.concatenate(pairs, axis=1)
-    pairs = np.unique(pairs[:, groups[pairs[0]] != groups[pairs[1]]], axis=1)
+    pairs = pairs[:, groups[pairs[0]] != groups[pairs[1]]]
+    pairs = np.stack(np.divmod(np.unique(pairs[0] * len(lines) + pairs[1]), len(lines)))
     near = pairs[:, _ShingleSets(lines, shingle).near(pairs[0], pairs[1], least)]
     return _joined(near.T, lines, groups, least, shingle)
 
@@ -257,11 +299,15 @@ def _verified(pairs: DataFrame, texts: DataFrame, least: float, shingle: int) ->
         for batch in batches:
             for part in _chunks((batch["ta"].str.len() + batch["tb"].str.len()).to_numpy(np.int64), _CHUNK_SHINGLES):
                 some = batch.iloc[part]
-                numbers, lines = pd.factorize(pd.concat([some["ta"], some["tb"]], ignore_index=True))
-                x, y = numbers[:len(some)], numbers[len(some):]
-                near = np.flatnonzero(_ShingleSets(lines.tolist(), shingle).near(x, y, least))
-                good = [at for at in near if similar(lines[x[at]], lines[y[at]], least, shingle)]
-                yield some.iloc[good][["a", "b"]]
+                left, right = some["ta"].tolist(), some["tb"].tolist()
+                plain = [x.isascii() and y.isascii() for x, y in zip(left, right)]
+                passed = np.fromiter((not p or similar(x, y, least, shingle) for p, x, y in zip(plain, left, right)), bool, len(some))
+                rest = np.flatnonzero(~np.array(plain, bool))
+                if len(rest):
+                    numbers, lines = pd.factorize(np.array([*(left[at] for at in rest), *(right[at] for at in rest)], object))
+                    near = _ShingleSets(lines.tolist(), shingle).near(numbers[:len(rest)], numbers[len(rest):], least)
+                    passed[rest] = [n and similar(left[at], right[at], least, shingle) for n, at in zip(near, rest)]
+                yield some.loc[passed, ["a", "b"]]
 
     left = texts.select(F.col("k").alias("a"), F.col("line").alias("ta"))
     right = texts.select(F.col("k").alias("b"), F.col("line").alias("tb"))

@@ -226,3 +226,35 @@ def test_bands_of_many_buckets_and_of_lines_shown_in_many_chunks(spark, monkeypa
     found = [tuple(r) for r in line_dedup_module.shared_bands(cut, 40, shingle=8, bands=16, rows=5).collect()]
     assert len(found) == len({(band, k) for band, k, _, _ in found})  # a line is in its band once
     assert all(leader == min(k for b, k, _, _ in found if b == band) for band, _, leader, _ in found)
+
+
+def test_plain_lines_are_compared_as_packed_numbers(monkeypatch):
+    """Same verdict as on sets of texts; lines of one byte a character never become such sets."""
+    sets, rng = line_dedup_module._shingles, random.Random(5)
+    base = ["hello there, a line of text " * 2, "ünïcode " * 6, "日本語テキスト " * 4, "short", "short\0", "abc\0", "abc", "\0" * 9]
+    pairs = []
+    for _ in range(600):
+        x = rng.choice(base)
+        y = list(rng.choice([x, rng.choice(base)]))
+        for _ in range(rng.randint(0, 3)):
+            y[rng.randrange(len(y))] = rng.choice("ab é日\0")
+        pairs.append((x, "".join(y)))
+    for x, y in pairs:
+        for shingle in (1, 3, 8, 9):
+            a, b = sets(x, shingle), sets(y, shingle)
+            for least in (0.3, 0.8, 1):
+                assert similar(x, y, least, shingle) == (len(a & b) >= least * len(a | b))
+    monkeypatch.setattr(line_dedup_module, "_shingles", None)
+    assert similar(base[0], base[0] + "x") and similar(base[1], base[1]) and not similar(base[0], base[1])
+
+
+def test_candidates_of_any_script_are_verified(spark):
+    """Plain and other lines side by side, each with a near copy and with one that is not near enough."""
+    lines = ["some words that are in every line of this page " * 2, "日本語のテキストがここにあります、" * 5, "naïve “quoted” words — and more of them " * 2]
+    near = [x + "!" for x in lines]
+    far = [x[:len(x) // 2] + "0123456789 other end " * 3 for x in lines]
+    texts = [(k, x) for k, x in enumerate(lines + near + far)]
+    places = spark.createDataFrame(texts, "k long, line string")
+    pairs = spark.createDataFrame([(n, n + 3 * m) for n in range(3) for m in (1, 2)], "a long, b long")
+    found = line_dedup_module._verified(pairs, places, 0.8, 8).collect()
+    assert sorted((r.a, r.b) for r in found) == [(0, 3), (1, 4), (2, 5)]
