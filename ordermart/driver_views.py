@@ -14,12 +14,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ordermart.functions.bands import Bands
-from ordermart.operators.dedup import keep_first
+from ordermart.operators.slices import slice_count, slices
 from ordermart.plans.calendar import calendar_of
 from ordermart.plans.job import load_star
 from ordermart.plans.star import derive_payments
 from ordermart.schemas import SOURCES
-from ordermart.session import scratch_path
+from ordermart.session import remove_path, scratch_path, shuffles_removed
 
 # Fixed values of the mapping; the SQL texts in oracle.py repeat them.
 AS_OF = "2001-08-01"
@@ -66,8 +66,27 @@ def line_id(lines: DataFrame):
     return F.col("l_orderkey") * F.lit(LINES_PER_ORDER).cast("bigint") + ranked
 
 
-def raw_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The seven raw sources as lazy frames over the given tables."""
+def numbered_lines(lines: DataFrame) -> DataFrame:
+    """The lines with their number and their paid cents; ``l_first`` marks one row of each number, as ``keep_first`` takes it.
+
+    Lines lie together by order since they were numbered: with the order in the key they are not shuffled again.
+    """
+    # Prices have two decimals: whole cents first, as casting doubles to decimals is slow.
+    paid = F.rint(F.col("l_extendedprice") * 100).cast("bigint")
+    numbered = lines.select(
+        "l_orderkey", line_id(lines).alias("l_id"), "l_partkey", F.col("l_quantity").cast("int").alias("l_quantity"), paid.alias("l_paid")
+    )
+    ranking = [F.col("l_partkey").cast("string"), F.col("l_quantity"), _unit_cents(), F.col("l_paid")]
+    first = F.row_number().over(Window.partitionBy("l_orderkey", "l_id").orderBy(*[c.asc_nulls_last() for c in ranking]))
+    return numbered.withColumn("l_first", first == 1)
+
+
+def _unit_cents():
+    return F.call_function("div", F.col("l_paid") * 2 + F.col("l_quantity"), F.col("l_quantity") * 2)
+
+
+def raw_sources(spark: SparkSession, sf_dir: str, numbered: DataFrame | None = None) -> dict[str, DataFrame]:
+    """The seven raw sources as lazy frames over the given tables, and over a copy of the ``numbered_lines`` where there is one."""
 
     def table(name: str) -> DataFrame:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -124,18 +143,14 @@ def raw_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         (F.lit(100) + p % 900).cast("int").alias("calories"),
     )
 
-    # Prices have two decimals: whole cents first, as casting doubles to decimals is slow.
-    paid = F.rint(F.col("l_extendedprice") * 100).cast("bigint")
-    quantity = F.col("l_quantity").cast("int")
-    unit = F.call_function("div", paid * 2 + quantity, quantity * 2)
-    order_items = lines.select(
-        "l_orderkey",
-        line_id(lines).alias("order_item_id"),
+    order_items = (numbered_lines(lines) if numbered is None else numbered).select(
+        F.col("l_id").alias("order_item_id"),
         F.col("l_orderkey").alias("order_id"),
         F.col("l_partkey").alias("item_id"),
-        quantity.alias("quantity"),
-        _amount(unit).alias("unit_price"),
-        _amount(paid).alias("line_total"),
+        F.col("l_quantity").alias("quantity"),
+        _amount(_unit_cents()).alias("unit_price"),
+        _amount(F.col("l_paid")).alias("line_total"),
+        "l_first",
     )
 
     o = F.col("o_orderkey")
@@ -156,8 +171,7 @@ def raw_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         _amount(F.lit(2000) + o % 4001).alias("delivery_fee"),
         _pick(METHODS, o % 5).alias("method"),
     )
-    # Lines lie together by order since they were numbered: with the order in the key they are not shuffled again.
-    unique_items = keep_first(_text_ids(order_items), ["l_orderkey", "order_item_id"]).drop("l_orderkey")
+    unique_items = _text_ids(order_items.filter("l_first").drop("l_first"))
     return {
         "customers": _declared("customers", customers),
         "restaurants": _declared("restaurants", restaurants),
@@ -188,16 +202,28 @@ def calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
     return calendar_of(bounds, HOLIDAYS)
 
 
+def copy_numbered(spark: SparkSession, sf_dir: str, path: str) -> DataFrame:
+    """The ``numbered_lines`` written to ``path`` in slices of orders, so that both facts are built on lines numbered once."""
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    with shuffles_removed(spark):
+        for some in slices("l_orderkey", slice_count(lines, most=2)):
+            part = numbered_lines(lines.filter(some))
+            part.write.mode("append").parquet(path, compression="zstd")
+    return spark.read.schema(part.schema).parquet(path)
+
+
 _loaded: dict[tuple[str, str], tuple[str, dict[str, DataFrame]]] = {}
 
 
 def _load(spark: SparkSession, sf_dir: str) -> tuple[str, dict[str, DataFrame]]:
     slot = (spark.sparkContext.applicationId, sf_dir)
     if slot not in _loaded:
-        path = scratch_path(spark, "star")
-        tables = load_star(
-            raw_sources(spark, sf_dir), calendar(spark, sf_dir), path, as_of=AS_OF, price_bands=PRICE_BANDS
-        )
+        path, copy = scratch_path(spark, "star"), scratch_path(spark, "lines")
+        try:
+            raw = raw_sources(spark, sf_dir, copy_numbered(spark, sf_dir, copy))
+            tables = load_star(raw, calendar(spark, sf_dir), path, as_of=AS_OF, price_bands=PRICE_BANDS)
+        finally:
+            remove_path(spark, copy.rpartition("/")[0])
         _loaded[slot] = (path, tables)
     return _loaded[slot]
 

@@ -18,6 +18,7 @@ def publish(
     partition_by: Sequence[str] = (),
     only_touched: bool = False,
     sort_by: Sequence[str] = (),
+    compression: str | None = None,
 ) -> None:
     """Write Parquet: ``overwrite`` replaces, ``append`` adds.
 
@@ -26,7 +27,7 @@ def publish(
     Rows are sorted by ``sort_by`` inside each file, so that ranges of it are
     skipped by statistics.
     With ``only_touched`` an overwrite replaces just the partitions present in
-    ``frame``.
+    ``frame``. Without ``compression`` files are packed as the session says.
     """
     writer = frame
     if partition_by:
@@ -38,7 +39,7 @@ def publish(
         out = out.partitionBy(*partition_by)
     if only_touched:
         out = out.option("partitionOverwriteMode", "dynamic")
-    out.parquet(path)
+    out.parquet(path, compression=compression)
 
 
 def conform(frame: DataFrame, table: Table) -> DataFrame:
