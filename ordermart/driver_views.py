@@ -59,26 +59,28 @@ def _dirty(name):
     return F.concat(F.lit(" \t"), F.lower(name), F.lit("\n "))
 
 
+def _by_line(lines: DataFrame):
+    others = [c for c in lines.columns if c not in ("l_orderkey", "l_linenumber")]
+    return Window.partitionBy("l_orderkey").orderBy("l_linenumber", *others)
+
+
 def line_id(lines: DataFrame):
     """One number per distinct line: line numbers repeat within an order, so lines are ranked by all columns."""
-    others = [c for c in lines.columns if c not in ("l_orderkey", "l_linenumber")]
-    ranked = F.dense_rank().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", *others))
-    return F.col("l_orderkey") * F.lit(LINES_PER_ORDER).cast("bigint") + ranked
+    return F.col("l_orderkey") * F.lit(LINES_PER_ORDER).cast("bigint") + F.dense_rank().over(_by_line(lines))
 
 
 def numbered_lines(lines: DataFrame) -> DataFrame:
-    """The lines with their number and their paid cents; ``l_first`` marks one row of each number, as ``keep_first`` takes it.
+    """The lines with their number and their paid cents; ``l_first`` holds for one of several equal lines.
 
-    Lines lie together by order since they were numbered: with the order in the key they are not shuffled again.
+    It is known from the order in which lines are numbered: the payments need no sort or shuffle of their own.
     """
     # Prices have two decimals: whole cents first, as casting doubles to decimals is slow.
     paid = F.rint(F.col("l_extendedprice") * 100).cast("bigint")
-    numbered = lines.select(
-        "l_orderkey", line_id(lines).alias("l_id"), "l_partkey", F.col("l_quantity").cast("int").alias("l_quantity"), paid.alias("l_paid")
+    place = _by_line(lines)
+    return lines.select(
+        "l_orderkey", line_id(lines).alias("l_id"), "l_partkey", F.col("l_quantity").cast("int").alias("l_quantity"),
+        paid.alias("l_paid"), (F.row_number().over(place) == F.rank().over(place)).alias("l_first"),
     )
-    ranking = [F.col("l_partkey").cast("string"), F.col("l_quantity"), _unit_cents(), F.col("l_paid")]
-    first = F.row_number().over(Window.partitionBy("l_orderkey", "l_id").orderBy(*[c.asc_nulls_last() for c in ranking]))
-    return numbered.withColumn("l_first", first == 1)
 
 
 def _unit_cents():

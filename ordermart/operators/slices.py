@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 #: Bytes of input up to which a frame is not cut, and after which one slice more is made.
 SLICE_BYTES = 64 << 20
 #: Every slice reads the whole input, so there are no more than these.
-MOST = 8
+MOST = 6
 _UNKNOWN = 1 << 60  # Spark's size of what it can't measure is larger
 
 
